@@ -27,11 +27,30 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT. Wrap every
+    ``count_if(...)`` of an oracle in a BIGINT cast so the schemas agree."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"CAST({sql[j:k]} AS BIGINT)")
+        i = k
+
+
 def query(name: str, ids: str = "", sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, sql, tuple(ids.split()))
+        oracle = _bigint_count_if(sql) if sql else None
+        REGISTRY[name] = Entry(name, fn, oracle, tuple(ids.split()))
         return fn
     return deco
 
