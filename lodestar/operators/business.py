@@ -16,7 +16,22 @@ from pyspark.sql import functions as F
 from lodestar.operators import windows as W
 from lodestar.operators.joins import bounded
 
-NET = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+# Money is summed as exact decimals: price (12,2) x (1 - discount) (5,2) is
+# a DECIMAL(18,4) (long-backed); sums are exact in any order, so totals do
+# not depend on partitioning and half-cent ties round the same everywhere.
+NET = (F.col("l_extendedprice").cast("decimal(12,2)")
+       * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(4,2)")))
+NET_SQL = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+
+
+def money(c):
+    """Exact decimal amount -> cents -> double (for reports)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("decimal(18,2)").cast("double")
+
+
+def money_sql(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(18,2)) AS DOUBLE)"
 
 
 def part_revenue(lineitem: DataFrame) -> DataFrame:
@@ -31,7 +46,7 @@ def revenue_by_category(lineitem: DataFrame, part: DataFrame, by: str = "p_type"
     """B1: revenue per category."""
     pr = part_revenue(lineitem)
     j = pr.join(part.select("p_partkey", by), pr.l_partkey == part.p_partkey)
-    return j.groupBy(by).agg(F.round(F.sum("revenue"), 2).alias("revenue"),
+    return j.groupBy(by).agg(money(F.sum("revenue")).alias("revenue"),
                              F.sum("n_lines").alias("n_lines"))
 
 
@@ -43,7 +58,7 @@ def top_items(lineitem: DataFrame, part: DataFrame, k: int = 10) -> DataFrame:
     names = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
     return top.join(names, "l_partkey").select(
         F.col("l_partkey").alias("p_partkey"), "p_name",
-        F.round("revenue", 2).alias("revenue"))
+        money("revenue").alias("revenue"))
 
 
 def month_of(col: str):

@@ -53,9 +53,11 @@ def latest_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
 
 def hashed_sample_per_group(df: DataFrame, keys, id_col: str, n: int,
                             seed: int = 42) -> DataFrame:
-    """N pseudo-random rows per group, reproducible: rank by
-    ``xxhash64(id, seed)`` (partial top-n before the shuffle)."""
-    order = [F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)]
+    """N pseudo-random rows per group, reproducible on any cluster and
+    by a SQL oracle: rank by ``md5(id || ':' || seed)`` (partial top-n
+    before the shuffle)."""
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    order = [h, F.col(id_col)]
     return top_n_per_group(df, keys, order, n, name="_r").drop("_r")
 
 
@@ -91,7 +93,7 @@ def running_sum(df: DataFrame, key: str, order: str, value: str,
     x = x.withColumn("_in", F.sum(value).over(w))
     tot = x.groupBy(key, "_b").agg(F.sum(value).alias("_bt"))
     wb = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(wb), F.lit(0.0))).drop("_bt")
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(wb), F.lit(0))).drop("_bt")
     return (x.join(tot, [key, "_b"])
              .withColumn(name, F.col("_off") + F.col("_in"))
              .drop("_b", "_in", "_off"))
@@ -112,13 +114,13 @@ def global_running_share(df: DataFrame, value: str, tiebreak: str,
     r = cut_lineage(r)
     tot = r.groupBy("_p").agg(F.sum(value).alias("_pt"))
     wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_pt").over(wp), F.lit(0.0)))
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_pt").over(wp), F.lit(0)))
     grand = tot.agg(F.sum("_pt")).scalar()
     w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = (r.withColumn("_in", F.sum(value).over(w))
             .join(F.broadcast(tot.select("_p", "_off")), "_p")  # <= parts rows
             .withColumn("_cum", F.col("_off") + F.col("_in")))
-    return (out.withColumn(name, F.col("_cum") / grand)
+    return (out.withColumn(name, F.col("_cum").cast("double") / grand.cast("double"))
                .drop("_p", "_in", "_off", "_cum"))
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from lodestar.operators import business as B
+from lodestar.operators.business import NET_SQL, money, money_sql  # noqa: F401
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
 
 
-@query("b1_revenue_by_type", "B1 J1 A5", sql="""
-SELECT p_type, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+@query("b1_revenue_by_type", "B1 J1 A5", sql=f"""
+SELECT p_type, {money_sql(f"sum({NET_SQL})")} AS revenue,
        count(*) AS n_lines
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def b1_revenue_by_type(spark, sf):
@@ -16,9 +17,9 @@ def b1_revenue_by_type(spark, sf):
     return B.revenue_by_category(t.lineitem, t.part, "p_type")
 
 
-@query("b1_top_items", "B1 O3 D4", sql="""
-SELECT p_partkey, p_name, round(revenue, 2) AS revenue FROM (
-  SELECT l_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue
+@query("b1_top_items", "B1 O3 D4", sql=f"""
+SELECT p_partkey, p_name, {money_sql("revenue")} AS revenue FROM (
+  SELECT l_partkey, sum({NET_SQL}) AS revenue
   FROM lineitem GROUP BY l_partkey ORDER BY revenue DESC, l_partkey LIMIT 10) r
 JOIN part ON p_partkey = l_partkey""")
 def b1_top_items(spark, sf):

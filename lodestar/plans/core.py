@@ -9,6 +9,7 @@ from lodestar.operators import aggregates as A
 from lodestar.operators import joins as J
 from lodestar.operators import relational as R
 from lodestar.operators import reshape as H
+from lodestar.operators.business import NET_SQL, money, money_sql
 from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, dirty_customer
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
@@ -314,15 +315,16 @@ def a_value_stats_by_type(spark, sf):
                     *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75", "p95")])
 
 
-@query("a_brand_share_top5", "A13 U2 Q19 D4", sql="""
-WITH b AS (SELECT p_brand, sum(l_extendedprice * (1 - l_discount)) AS revenue
+@query("a_brand_share_top5", "A13 U2 Q19 D4", sql=f"""
+WITH b AS (SELECT p_brand, sum({NET_SQL}) AS revenue
            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand),
      t AS (SELECT * FROM b ORDER BY revenue DESC, p_brand LIMIT 5),
      tot AS (SELECT sum(revenue) AS s FROM b)
-SELECT p_brand, round(revenue, 2) AS revenue, round(revenue * 100.0 / s, 4) AS pct FROM t, tot
+SELECT p_brand, {money_sql("revenue")} AS revenue,
+       round(CAST(revenue AS DOUBLE) * 100.0 / CAST(s AS DOUBLE), 4) AS pct FROM t, tot
 UNION ALL
-SELECT 'Others', round(s - (SELECT sum(revenue) FROM t), 2),
-       round((s - (SELECT sum(revenue) FROM t)) * 100.0 / s, 4) FROM tot""")
+SELECT 'Others', {money_sql("s - (SELECT sum(revenue) FROM t)")},
+       round(CAST(s - (SELECT sum(revenue) FROM t) AS DOUBLE) * 100.0 / CAST(s AS DOUBLE), 4) FROM tot""")
 def a_brand_share_top5(spark, sf):
     from lodestar.operators.business import part_revenue
     t = Tables(spark, sf)
@@ -331,7 +333,7 @@ def a_brand_share_top5(spark, sf):
                        pr.l_partkey == F.col("p_partkey")).groupBy("p_brand").agg(
         F.sum("revenue").alias("revenue"))
     out = A.top_k_with_others(by_brand, "p_brand", "revenue", 5)
-    return out.select("p_brand", F.round("revenue", 2).alias("revenue"),
+    return out.select("p_brand", money("revenue").alias("revenue"),
                       F.round("pct", 4).alias("pct"))
 
 
