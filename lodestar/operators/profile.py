@@ -77,9 +77,11 @@ def anomaly_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
         x = F.col(c)
         if k == "number":
             cond = x.isNull() | F.isnan(x.cast("double")) | (x == 0)
-        elif k == "array":
+        elif k == "array" and isinstance(fields[c].elementType, NumericType):
             cond = x.isNull() | F.exists(
                 x, lambda e: e.isNull() | F.isnan(e.cast("double")) | (e == 0))
+        elif k == "array":
+            cond = x.isNull() | F.exists(x, lambda e: e.isNull())
         else:
             cond = x.isNull()
         aggs.append(F.count_if(cond).alias(f"a_{i}"))
