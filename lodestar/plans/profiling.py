@@ -43,8 +43,8 @@ WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day,
                   list(event_type ORDER BY ts, event_id) AS types
            FROM events GROUP BY 1, 2)
 SELECT 'user_id' AS "column", 'number' AS kind, count_if(user_id IS NULL OR user_id = 0) AS n_anomalous FROM s
-UNION ALL SELECT 'vals', 'array', count_if(vals IS NULL OR len(list_filter(vals, x -> x IS NULL OR isnan(x) OR x = 0)) > 0) FROM s
-UNION ALL SELECT 'types', 'array', count_if(types IS NULL OR len(list_filter(types, x -> x IS NULL)) > 0) FROM s""")
+UNION ALL SELECT 'vals', 'array', count_if(vals IS NULL OR len(list_filter(vals, lambda x: x IS NULL OR isnan(x) OR x = 0)) > 0) FROM s
+UNION ALL SELECT 'types', 'array', count_if(types IS NULL OR len(list_filter(types, lambda x: x IS NULL)) > 0) FROM s""")
 def i_anomaly_scan(spark, sf):
     e = Tables(spark, sf).events.withColumn(
         "value", F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")))
