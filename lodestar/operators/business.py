@@ -82,3 +82,266 @@ def monthly_sales_trend(orders: DataFrame) -> DataFrame:
     icpt = m.agg(F.regr_intercept("sales", "idx")).scalar()
     return m.select("month", F.round("sales", 2).alias("sales"),
                     F.round(icpt + slope * F.col("idx"), 2).alias("trend"))
+
+
+def _ymd(col: str):
+    return F.to_date(F.col(col))
+
+
+def slow_movers(lineitem: DataFrame, part: DataFrame, days: int = 365) -> DataFrame:
+    """Parts with no sale in the last ``days`` days of the data (the end
+    date is a scalar subquery); anti-join, no id list through the driver."""
+    end = lineitem.agg(F.max("l_shipdate")).scalar()
+    recent = lineitem.where(F.col("l_shipdate") > end - F.make_interval(days=F.lit(days)))
+    last = lineitem.groupBy("l_partkey").agg(F.max("l_shipdate").alias("last_sold"))
+    slow = part.select("p_partkey", "p_name").join(
+        recent.select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti")
+    return slow.join(last.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left")
+
+
+def turnover(lineitem: DataFrame) -> DataFrame:
+    """Units sold per active month, per part."""
+    return lineitem.groupBy("l_partkey").agg(
+        F.sum("l_quantity").alias("qty"),
+        F.countDistinct(F.trunc(_ymd("l_shipdate"), "month")).alias("months_active")
+    ).withColumn("turnover", F.col("qty") / F.col("months_active"))
+
+
+def supplier_lead_times(lineitem: DataFrame, orders: DataFrame, late_days: int = 90) -> DataFrame:
+    """Mean order->ship lead time and share of late lines per supplier."""
+    lead = F.datediff(_ymd("l_shipdate"), _ymd("o_orderdate"))
+    j = lineitem.select("l_orderkey", "l_suppkey", "l_shipdate").join(
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    return j.groupBy("l_suppkey").agg(
+        F.avg(lead).alias("avg_lead_days"),
+        F.avg(F.when(lead > late_days, 1.0).otherwise(0.0)).alias("late_rate"),
+        F.count(F.lit(1)).alias("n_lines"))
+
+
+def return_rates(lineitem: DataFrame, part: DataFrame, by: list[str]) -> DataFrame:
+    """Share of returned lines per part attribute(s)."""
+    per = lineitem.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("r"))
+    j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), *by), "l_partkey")
+    return j.groupBy(*by).agg((F.sum("r") / F.sum("n")).alias("return_rate"),
+                              F.sum("n").alias("n_lines"))
+
+
+def loyalty_tiers(customer: DataFrame, orders: DataFrame, edges, labels) -> DataFrame:
+    """Order frequency vs balance by balance tier (customers without
+    orders count as 0)."""
+    from lodestar.operators.relational import band
+    n = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    c = customer.select("c_custkey", "c_acctbal").join(
+        n.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left").fillna(0, ["n_orders"])
+    return c.groupBy(band(F.col("c_acctbal"), edges, labels).alias("tier")).agg(
+        F.count(F.lit(1)).alias("n_customers"), F.avg("n_orders").alias("avg_orders"),
+        F.corr("c_acctbal", "n_orders").alias("corr_balance_orders"))
+
+
+def user_day_flags(events: DataFrame, types) -> DataFrame:
+    """One row per (user, day) with a 0/1 flag per event type
+    (``max(when)``: map-side combined)."""
+    aggs = [F.max(F.when(F.col("event_type") == t, 1).otherwise(0)).alias(t) for t in types]
+    return events.groupBy("user_id", F.to_date("ts").alias("day")).agg(*aggs)
+
+
+def abandoned_carts(events: DataFrame) -> DataFrame:
+    """Per day, user-days that viewed but did not purchase."""
+    f = user_day_flags(events, ["view", "purchase"])
+    return f.groupBy("day").agg(
+        F.count_if(F.col("view") == 1).alias("n_viewing"),
+        F.count_if((F.col("view") == 1) & (F.col("purchase") == 0)).alias("n_abandoned"))
+
+
+def baskets(lineitem: DataFrame, part: DataFrame, item: str = "p_brand") -> DataFrame:
+    """One row per order with its distinct item set (an order is a
+    bounded group: its lines; the set is bounded by the item domain)."""
+    j = lineitem.select("l_orderkey", "l_partkey").join(
+        part.select(F.col("p_partkey").alias("l_partkey"), F.col(item).alias("item")), "l_partkey")
+    return j.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def frequent_pairs(basket_df: DataFrame, min_support: float) -> DataFrame:
+    """Item pairs bought together, by distributed FP-growth
+    (no pair self-join: nothing quadratic per basket is materialised)."""
+    from pyspark.ml.fpm import FPGrowth
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(basket_df)
+    fi = model.freqItemsets.where(F.size("items") == 2)
+    s = F.array_sort("items")
+    return fi.select(s[0].alias("item_a"), s[1].alias("item_b"), F.col("freq").alias("support"))
+
+
+def time_to_purchase(events: DataFrame) -> DataFrame:
+    """Seconds from the latest earlier view to each purchase, within the
+    same user-day (window per user-day: bounded group)."""
+    from pyspark.sql import Window
+    w = (Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last_view = F.last(F.when(F.col("event_type") == "view", F.col("ts")), ignorenulls=True).over(w)
+    x = events.select("user_id", "event_type", "ts", last_view.alias("lv"))
+    us = (F.unix_micros(F.col("ts").cast("timestamp")) -
+          F.unix_micros(F.col("lv").cast("timestamp")))
+    x = x.where((F.col("event_type") == "purchase") & F.col("lv").isNotNull())
+    return x.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_purchases"),
+                                    micros_to_secs(F.avg(us)).alias("avg_secs"))
+
+
+def micros_to_secs(avg_us):
+    """Mean of exact integer microseconds, rounded to whole microseconds,
+    in seconds (exact integer sums make the result order-independent)."""
+    return F.round(avg_us, 0) / F.lit(1e6)
+
+
+def promotion_roi(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Discounted vs full-price revenue per category."""
+    promo = F.col("l_discount") > 0
+    per = lineitem.groupBy("l_partkey").agg(
+        F.sum(F.when(promo, NET)).alias("promo"), F.sum(F.when(~promo, NET)).alias("full"),
+        F.sum(F.when(promo, F.col("l_extendedprice").cast("decimal(12,2)") - NET)).alias("given"))
+    j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    return j.groupBy("p_type").agg(F.sum("promo").alias("promo_revenue"),
+                                   F.sum("full").alias("full_revenue"),
+                                   F.sum("given").alias("discount_given"))
+
+
+def seasonality(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Month-of-year revenue / the category's mean month-of-year revenue."""
+    from pyspark.sql import Window
+    per = lineitem.groupBy("l_partkey", F.month("l_shipdate").alias("moy")).agg(
+        F.sum(NET).alias("rev"))
+    j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    m = j.groupBy("p_type", "moy").agg(F.sum("rev").alias("rev"))
+    avg = F.avg(F.col("rev").cast("double")).over(Window.partitionBy("p_type"))  # 12 rows per type
+    return m.withColumn("coef", F.col("rev").cast("double") / avg)
+
+
+def price_elasticity(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Log-log slope of quantity on unit price, per category."""
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    j = lineitem.select("l_partkey", "l_quantity", unit.alias("unit")).join(
+        part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    return j.groupBy("p_type").agg(
+        F.regr_slope(F.ln("l_quantity"), F.ln("unit")).alias("elasticity"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def price_bands(lineitem: DataFrame, width: float) -> DataFrame:
+    """Revenue and volume per unit-price band of fixed width."""
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    b = F.floor(unit / width).cast("bigint")
+    return lineitem.groupBy(b.alias("band")).agg(
+        F.sum(NET).alias("revenue"), F.sum("l_quantity").alias("qty"))
+
+
+def delivery_cost(lineitem, part, orders, customer, nation, region) -> DataFrame:
+    """Tax-as-delivery-cost by customer region and part type. Lines are
+    reduced to (order, type) before meeting orders; region/nation are
+    bounded dimensions (broadcast)."""
+    cost = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
+    lt = lineitem.select("l_orderkey", "l_partkey", cost.alias("cost")).join(
+        part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    per_order = lt.groupBy("l_orderkey", "p_type").agg(F.sum("cost").alias("cost"))
+    oc = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(
+        customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    j = per_order.join(oc, "l_orderkey").groupBy("c_nationkey", "p_type").agg(
+        F.sum("cost").alias("cost"))
+    geo = bounded(nation, 25).join(bounded(region, 5), F.col("n_regionkey") == F.col("r_regionkey"))
+    j = j.join(F.broadcast(geo.select("n_nationkey", "r_name")),
+               F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("r_name", "p_type").agg(F.sum("cost").alias("cost"))
+
+
+def churn_and_ltv(events: DataFrame, inactive_days: int = 3) -> DataFrame:
+    """Last activity, purchase value and churn flag per user."""
+    end = events.agg(F.max("ts")).scalar()
+    u = events.groupBy("user_id").agg(
+        F.max("ts").alias("last_seen"),
+        F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(0.0)).alias("ltv"),
+        F.count(F.lit(1)).alias("n_events"))
+    return u.withColumn("churned",
+                        F.col("last_seen") < end - F.make_interval(days=F.lit(inactive_days)))
+
+
+def segment_summary(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per market segment: customers, orders per customer, order size."""
+    per = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"),
+                                          F.sum("o_totalprice").alias("spend"))
+    j = customer.select("c_custkey", "c_mktsegment").join(
+        per.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
+    return j.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        F.avg(F.coalesce(F.col("n"), F.lit(0))).alias("orders_per_customer"),
+        (F.sum("spend") / F.sum("n")).alias("avg_order_size"))
+
+
+def marketplace_profit(lineitem, supplier, nation, commission: float = 0.08) -> DataFrame:
+    """Gross, net, commission and tax per supplier nation."""
+    per = lineitem.groupBy("l_suppkey").agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("gross"),
+        F.sum(NET).alias("net"),
+        F.sum(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"))
+         .alias("tax"))
+    j = per.join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
+    j = j.groupBy("s_nationkey").agg(F.sum("gross").alias("gross"), F.sum("net").alias("net"),
+                                     F.sum("tax").alias("tax"))
+    j = j.join(bounded(nation, 25), F.col("s_nationkey") == F.col("n_nationkey"))
+    return j.select("n_name", "gross", "net", "tax",
+                    (F.col("net") * F.lit(commission).cast("decimal(3,2)")).alias("commission"))
+
+
+def best_discount(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Mean quantity per discount level per category, and the level
+    with the highest mean (ties: the larger discount)."""
+    per = lineitem.groupBy("l_partkey", "l_discount").agg(
+        F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"))
+    j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    g = j.groupBy("p_type", "l_discount").agg((F.sum("q") / F.sum("n")).alias("avg_qty"))
+    best = g.groupBy("p_type").agg(F.max(F.struct("avg_qty", "l_discount")).alias("b"))
+    return best.select("p_type", F.col("b.l_discount").alias("best_discount"),
+                       F.col("b.avg_qty").alias("best_avg_qty"))
+
+
+def funnel(events: DataFrame, steps) -> DataFrame:
+    """User-days reaching each successive step (all earlier steps
+    present the same day) and the conversion from the previous step."""
+    f = user_day_flags(events, steps)
+    aggs = []
+    cond = F.lit(True)
+    for s in steps:
+        cond = cond & (F.col(s) == 1)
+        aggs.append(F.count_if(cond).alias(s))
+    wide = f.agg(*aggs)
+    stack = ", ".join(f"{i}, '{s}', `{s}`" for i, s in enumerate(steps))
+    return wide.selectExpr(f"stack({len(steps)}, {stack}) AS (step_no, step, n)")
+
+
+def idle_time(events: DataFrame, threshold_s: float = 3600.0) -> DataFrame:
+    """Busy vs idle seconds per user from gaps between events."""
+    g = W.gaps(events.select("user_id", "ts"), "user_id", "ts")
+    idle = F.col("gap_s") > threshold_s
+    return g.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum(F.when(idle, F.col("gap_s")).otherwise(0.0)).alias("idle_s"),
+        F.sum(F.when(~idle, F.col("gap_s")).otherwise(0.0)).alias("busy_s"))
+
+
+def processing_time(events: DataFrame) -> DataFrame:
+    """First->last event seconds per user-day, averaged per user."""
+    d = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+    us = (F.unix_micros(F.col("t1").cast("timestamp")) -
+          F.unix_micros(F.col("t0").cast("timestamp")))
+    return d.groupBy("user_id").agg(micros_to_secs(F.avg(us)).alias("avg_secs"),
+                                    F.count(F.lit(1)).alias("n_days"))
+
+
+def retention_cohorts(events: DataFrame) -> DataFrame:
+    """Users active in each week after their first-active week."""
+    wk = F.date_trunc("week", F.col("ts")).cast("date")
+    uw = events.select("user_id", wk.alias("week")).distinct()
+    first = uw.groupBy("user_id").agg(F.min("week").alias("cohort"))
+    j = uw.join(first, "user_id")
+    off = (F.datediff("week", "cohort") / 7).cast("int")
+    return j.groupBy("cohort", off.alias("week_offset")).agg(
+        F.count(F.lit(1)).alias("n_users"))
