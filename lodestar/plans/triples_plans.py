@@ -1,3 +1,106 @@
-"""Queries."""
+"""Triple-pattern queries (G-series) on the part graph."""
 
-from lodestar.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from lodestar.operators import triples as G
+from lodestar.plans.registry import query
+from lodestar.session import scratch_dir
+from lodestar.tables import Tables
+
+_GRAPH_SQL = """g AS (
+  SELECT 'ex:Part_' || p_partkey AS s, 'ex:name' AS p, p_name AS o, CAST(NULL AS VARCHAR) AS datatype FROM part
+  UNION ALL SELECT 'ex:Part_' || p_partkey, 'ex:type', p_type, NULL FROM part
+  UNION ALL SELECT 'ex:Part_' || p_partkey, 'ex:size', CAST(p_size AS VARCHAR), 'xsd:integer' FROM part
+  UNION ALL SELECT 'ex:Part_' || p_partkey, 'ex:brand',
+                   CASE WHEN p_partkey % 11 = 0 THEN 'Unknown' ELSE p_brand END, NULL
+            FROM part WHERE p_partkey % 7 <> 0)"""
+
+
+@query("g_star_pattern", "G1 G3 F5", sql=f"""
+WITH {_GRAPH_SQL}
+SELECT split_part(t.s, '_', 2) AS local_id, n.o AS name, TRY_CAST(z.o AS INTEGER) AS size
+FROM g t JOIN g n ON n.s = t.s AND n.p = 'ex:name'
+         JOIN g z ON z.s = t.s AND z.p = 'ex:size'
+WHERE t.p = 'ex:type' AND t.o = 'STANDARD' AND TRY_CAST(z.o AS INTEGER) > 45""")
+def g_star_pattern(spark, sf):
+    g = G.part_graph(Tables(spark, sf).part)
+    m = G.star(g, [("ex:type", "type"), ("ex:name", "name"), ("ex:size", "size")])
+    m = m.withColumn("size", G.typed_value("size", "size__dt"))
+    m = m.where((F.col("type") == "STANDARD") & (F.col("size") > 45))
+    return m.select(F.substring_index(G.local("s"), "_", -1).alias("local_id"), "name", "size") \
+            .orderBy(F.col("size").desc(), "local_id")
+
+
+@query("g_optional_unbound", "G2 P16", sql=f"""
+WITH {_GRAPH_SQL}
+SELECT t.o AS type, count(*) AS n_missing_brand
+FROM g t LEFT JOIN g b ON b.s = t.s AND b.p = 'ex:brand'
+WHERE t.p = 'ex:type' AND (b.o IS NULL OR b.o = 'Unknown') GROUP BY 1""")
+def g_optional_unbound(spark, sf):
+    from lodestar.operators.relational import missing_or_placeholder
+    g = G.part_graph(Tables(spark, sf).part)
+    m = G.star(g, [("ex:type", "type")], optional=[("ex:brand", "brand")])
+    return m.where(missing_or_placeholder(F.col("brand"))).groupBy("type").agg(
+        F.count(F.lit(1)).alias("n_missing_brand"))
+
+
+@query("g_typed_literal_stats", "G3", sql=f"""
+WITH {_GRAPH_SQL}
+SELECT t.o AS type, CAST(sum(CAST(z.o AS INTEGER)) AS BIGINT) AS total_size, count(*) AS n
+FROM g t JOIN g z ON z.s = t.s AND z.p = 'ex:size' AND z.datatype = 'xsd:integer'
+WHERE t.p = 'ex:type' GROUP BY 1""")
+def g_typed_literal_stats(spark, sf):
+    g = G.part_graph(Tables(spark, sf).part)
+    m = G.star(g, [("ex:type", "type"), ("ex:size", "size")])
+    return m.groupBy("type").agg(F.sum(G.typed_value("size", "size__dt")).alias("total_size"),
+                                 F.count(F.lit(1)).alias("n"))
+
+
+@query("g_turtle_roundtrip", "S18 S5 G3", sql=f"""
+WITH {_GRAPH_SQL}
+SELECT p, count(*) AS n, count(datatype) AS n_typed FROM g GROUP BY p""")
+def g_turtle_roundtrip(spark, sf):
+    """Write the graph as Turtle-subset text to the shared scratch folder,
+    read it back with the text source and parse it as a Spark job."""
+    g = G.part_graph(Tables(spark, sf).part)
+    path = scratch_dir(spark, f"turtle-{uuid.uuid4().hex}")
+    G.to_turtle_lines(g).write.mode("overwrite").text(path)
+    back = G.parse_turtle_lines(spark.read.text(path))
+    return back.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count("datatype").alias("n_typed"))
+
+
+@query("g_multi_hop_recommend", "G4 J4 W1 M7", sql="""
+WITH cb AS (SELECT o_custkey, p_brand, count(*) AS n FROM orders
+            JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+     topb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, p_brand) AS r
+                             FROM cb) WHERE r <= 2),
+     pop AS (SELECT p_brand, l_partkey, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+     topp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, l_partkey) AS r
+                             FROM pop) WHERE r <= 3),
+     seen AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT b.o_custkey, p.l_partkey AS rec_partkey, b.p_brand
+FROM topb b JOIN topp p ON p.p_brand = b.p_brand
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.o_custkey = b.o_custkey AND s.l_partkey = p.l_partkey)""")
+def g_multi_hop_recommend(spark, sf):
+    """customer -> bought part -> brand -> popular parts of that brand the
+    customer has not bought. Fan-out is bounded: 2 brands per customer x 3
+    parts per brand (both partial top-n windows), then an anti-join."""
+    t = Tables(spark, sf)
+    lines = t.lineitem.select("l_orderkey", "l_partkey").join(
+        t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+    cl = lines.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    cb = cl.groupBy("o_custkey", "p_brand").agg(F.count(F.lit(1)).alias("n"))
+    topb = cb.withColumn("r", F.row_number().over(
+        Window.partitionBy("o_custkey").orderBy(F.col("n").desc(), "p_brand"))).where("r <= 2")
+    pop = lines.groupBy("p_brand", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    topp = pop.withColumn("r", F.row_number().over(
+        Window.partitionBy("p_brand").orderBy(F.col("n").desc(), "l_partkey"))).where("r <= 3")
+    rec = topb.select("o_custkey", "p_brand").join(topp.select("p_brand", "l_partkey"), "p_brand")
+    seen = cl.select("o_custkey", "l_partkey")
+    rec = rec.join(seen, ["o_custkey", "l_partkey"], "left_anti")
+    return rec.select("o_custkey", F.col("l_partkey").alias("rec_partkey"), "p_brand")
