@@ -1,3 +1,127 @@
-"""Queries."""
+"""Streaming queries (K-series): each builds a landing folder from
+``events``, runs a Structured Streaming job to completion (availableNow)
+into files in the shared checkpoint folder and returns the sink read back
+as a batch DataFrame."""
 
-from lodestar.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from lodestar.session import scratch_dir
+from lodestar.streaming import ops as K
+from lodestar.tables import Tables
+
+
+def _land(spark, sf, name):
+    """K2 landing zone: the events table split into one file per day (a
+    stand-in for the bus), so the stream sees many micro-batches."""
+    base = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    e = Tables(spark, sf).events
+    e.repartition(F.to_date("ts")).write.parquet(f"{base}/landing")
+    return base
+
+
+def _register():
+    from lodestar.plans.registry import query
+
+    @query("k_alert_stream", "K1 K3 K4 S21 F19", sql="""
+    SELECT event_id, user_id, ts, 'new ' || event_type || ' by user ' || CAST(user_id AS VARCHAR) AS message,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+    FROM events WHERE event_type = 'signup'""")
+    def k_alert_stream(spark, sf):
+        base = _land(spark, sf, "k1")
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=4)
+        q = K.run_to_files(K.alerts(s), f"{base}/out", f"{base}/ckpt")
+        q.awaitTermination()
+        return spark.read.parquet(f"{base}/out")
+
+    @query("k_restart_exactly_once", "K5", sql="""
+    SELECT count(*) AS n_alerts, count(DISTINCT event_id) AS n_distinct FROM events
+    WHERE event_type = 'signup'""")
+    def k_restart_exactly_once(spark, sf):
+        """Run the same query twice on one checkpoint: the restart resumes
+        from the committed offsets, so nothing is emitted twice."""
+        base = _land(spark, sf, "k5")
+        for _ in range(2):
+            s = K.event_stream(spark, f"{base}/landing", files_per_batch=8)
+            K.run_to_files(K.alerts(s), f"{base}/out", f"{base}/ckpt").awaitTermination()
+        out = spark.read.parquet(f"{base}/out")
+        return out.agg(F.count(F.lit(1)).alias("n_alerts"),
+                       F.countDistinct("event_id").alias("n_distinct"))
+
+    @query("k_ingest_partitioned", "K2 S13 S20", sql="""
+    SELECT CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""")
+    def k_ingest_partitioned(spark, sf):
+        base = _land(spark, sf, "k2")
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=6)
+        s = s.withColumn("day", F.to_date("ts"))
+        K.run_to_files(s, f"{base}/out", f"{base}/ckpt", partition_by=["day"]).awaitTermination()
+        back = spark.read.parquet(f"{base}/out")
+        return back.groupBy("day").agg(F.count(F.lit(1)).alias("n"),
+                                       F.round(F.sum("value"), 4).alias("total"))
+
+    @query("k_windowed_counts", "K9 K3", sql="""
+    SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total
+    FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+    GROUP BY 1, 2""")
+    def k_windowed_counts(spark, sf):
+        """Append mode: a window is emitted once the watermark (max event
+        time - 2 h) passes its end; the final no-data batch flushes every
+        window that closed."""
+        base = _land(spark, sf, "k9")
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=4)
+        w = K.windowed_counts(s, "1 hour", "2 hours")
+        K.run_to_files(w, f"{base}/out", f"{base}/ckpt").awaitTermination()
+        back = spark.read.parquet(f"{base}/out")
+        return back.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type",
+                           "n", F.round("total", 4).alias("total"))
+
+    @query("k_latest_state", "K6 W2", sql="""
+    SELECT user_id, ts, event_id, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1""")
+    def k_latest_state(spark, sf):
+        base = _land(spark, sf, "k6")
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=8)
+        K.run_upserting(K.latest_state(s), f"{base}/out", f"{base}/ckpt").awaitTermination()
+        return spark.read.parquet(f"{base}/out")
+
+    @query("k_lambda_merge", "K7 U1", sql="""
+    SELECT event_type, count(*) AS n FROM events GROUP BY 1""")
+    def k_lambda_merge(spark, sf):
+        """Batch layer (history before the cut) + speed layer (stream after
+        it), merged at serve time and re-aggregated by key."""
+        base = _land(spark, sf, "k7")
+        cut = F.lit("2024-01-20").cast("timestamp_ntz")
+        hist = Tables(spark, sf).events.where(F.col("ts") < cut)
+        batch_mart = hist.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=8).where(F.col("ts") >= cut)
+        speed = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        K.run_upserting(speed, f"{base}/speed", f"{base}/ckpt").awaitTermination()
+        merged = batch_mart.unionByName(spark.read.parquet(f"{base}/speed"))
+        return merged.groupBy("event_type").agg(F.sum("n").alias("n"))
+
+    @query("k_score_stream", "K8 M1 E4")
+    def k_score_stream(spark, sf):
+        """Model trained in batch (purchase vs other from value/hour), then
+        applied to the event stream; rows-only check."""
+        from pyspark.ml import Pipeline
+        from pyspark.ml.classification import LogisticRegression
+        from pyspark.ml.feature import SQLTransformer, VectorAssembler
+        base = _land(spark, sf, "k8")
+        e = Tables(spark, sf).events
+        feats = SQLTransformer(statement="SELECT *, CAST(hour(ts) AS DOUBLE) AS hr, "
+                                         "CAST(event_type = 'purchase' AS DOUBLE) AS label FROM __THIS__")
+        pipe = Pipeline(stages=[feats, VectorAssembler(inputCols=["value", "hr"], outputCol="features"),
+                                LogisticRegression(maxIter=20)])
+        model = pipe.fit(e)
+        s = K.event_stream(spark, f"{base}/landing", files_per_batch=8)
+        K.score_stream(s, model, f"{base}/out", f"{base}/ckpt").awaitTermination()
+        return spark.read.parquet(f"{base}/out").groupBy("prediction").agg(
+            F.count(F.lit(1)).alias("n"))
+
+
+_register()
