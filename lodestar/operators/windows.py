@@ -124,6 +124,26 @@ def global_running_share(df: DataFrame, value: str, tiebreak: str,
                .drop("_p", "_in", "_off", "_cum"))
 
 
+def global_prefix_sum(df: DataFrame, order: Sequence[Column], values: Sequence[str],
+                      parts: int = 64, suffix: str = "_before") -> DataFrame:
+    """Exclusive running sums of ``values`` over a total order of the whole
+    frame (``<v>_before`` = sum over all earlier rows), computed without a
+    single-task window: range partitions (pinned by a reliable checkpoint)
+    -> per-partition totals (<= ``parts`` rows, broadcast) -> in-partition
+    running sums + partition offsets. Used by exact AUC / ROC (V5, V6)."""
+    r = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
+    r = cut_lineage(r)
+    tot = r.groupBy("_p").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select("_p", *[F.coalesce(F.sum(f"_t_{v}").over(wp), F.lit(0)).alias(f"_o_{v}")
+                             for v in values])
+    w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = r.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_i_{v}") for v in values])
+    out = out.join(F.broadcast(tot), "_p")  # <= parts rows
+    return out.select(*df.columns, *[(F.col(f"_o_{v}") + F.col(f"_i_{v}")).alias(f"{v}{suffix}")
+                                     for v in values])
+
+
 def since_start(df: DataFrame, key: str, ts: str, name: str = "t_rel_s") -> DataFrame:
     """Seconds since the first row of the key (min aggregated map-side
     and joined back: no per-key sort)."""

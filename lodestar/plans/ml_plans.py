@@ -1,3 +1,340 @@
-"""Queries."""
+"""MLlib queries (E/M/V/T series). Models are seeded; results depend on
+MLlib internals, so most are rows-only checks (tests assert bounds). The
+evaluation operators on a deterministic score (exact AUC, ROC points,
+confusion matrix) have SQL oracles."""
 
-from lodestar.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import IndexToString, QuantileDiscretizer, SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from lodestar.ml import evaluate as V
+from lodestar.ml import models as M
+from lodestar.operators import text as TX
+from lodestar.operators.charts import histogram
+from lodestar.operators.sampling import hash_split
+from lodestar.plans.fixtures import user_day_series
+from lodestar.plans.registry import query
+from lodestar.sources.generator import churn_records
+from lodestar.tables import Tables
+from lodestar.functions import arrays as X
+
+
+def _split(df, key: str, train: float = 0.8, seed: int = 42):
+    s = hash_split(df, key, [train, 1 - train], seed)
+    return s.where("split = 0").drop("split"), s.where("split = 1").drop("split")
+
+
+def _lineitem_xy(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_key"),
+                     "l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_linestatus",
+                     F.when(F.col("l_returnflag") == "R", "yes").otherwise("no").alias("returned"))
+
+
+@query("m_return_flag_leaderboard", "M1 M2 M3 M5 M8 M12 E1 E3 E4 E5 E11 V1 T5 R3")
+def m_return_flag_leaderboard(spark, sf):
+    """Same split, seven classifiers, one leaderboard (ROC-AUC on test)."""
+    xy = _lineitem_xy(spark, sf)
+    train, test = _split(xy, "row_key")
+    prep = M.tabular_stages(["l_linestatus"], ["l_quantity", "l_discount", "l_tax", "l_extendedprice"],
+                            label="returned")
+    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
+    fast = {k: v for k, v in M.classifiers().items()
+            if k in ("logistic", "logistic_ridge", "logistic_lasso", "decision_tree", "linear_svc")}
+    return M.leaderboard(spark, train, test, prep, fast, ev.evaluate)
+
+
+@query("m_logistic_summary", "V9 M1 V2 E6")
+def m_logistic_summary(spark, sf):
+    """LR with min-max scaling; ``model.evaluate(test).accuracy`` (V9) next
+    to the multiclass evaluator's metrics (V2)."""
+    xy = _lineitem_xy(spark, sf)
+    train, test = _split(xy, "row_key")
+    prep = M.tabular_stages(["l_linestatus"], ["l_quantity", "l_discount", "l_tax"],
+                            label="returned", scale="minmax")
+    model = Pipeline(stages=prep + [LogisticRegression(maxIter=30)]).fit(train)
+    lr = model.stages[-1]
+    prepared = Pipeline(stages=prep).fit(train)
+    summary_acc = lr.evaluate(prepared.transform(test)).accuracy
+    mets = V.multiclass_metrics(model.transform(test))
+    mets["summary_accuracy"] = summary_acc
+    return V.metrics_frame(spark, mets)
+
+
+@query("m_train_validation_split", "T2 T1")
+def m_train_validation_split(spark, sf):
+    xy = _lineitem_xy(spark, sf)
+    train, _ = _split(xy, "row_key")
+    prep = M.tabular_stages([], ["l_quantity", "l_discount", "l_tax"], label="returned")
+    lr = LogisticRegression(maxIter=30)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
+    ev = BinaryClassificationEvaluator(labelCol="label")
+    tvs = M.train_validation(Pipeline(stages=prep + [lr]), grid, ev, train, 0.8, seed=42)
+    return spark.createDataFrame(
+        [(str(r), float(m)) for r, m in zip([0.0, 0.1], tvs.validationMetrics)],
+        "reg_param STRING, auc DOUBLE")
+
+
+def _text_data(spark, sf):
+    t = Tables(spark, sf)
+    return t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id") \
+        .withColumn("label", F.col("quality").cast("double"))
+
+
+@query("m_text_cv_grid", "N4 N5 N6 N7 N8 M4 T1 T3 T4 Y5 E11")
+def m_text_cv_grid(spark, sf):
+    """Quality classifier on whole documents: TF-IDF + naive Bayes, 3-fold
+    CV over smoothing x feature count (parallelism 2), per-combination
+    mean F1."""
+    d = _text_data(spark, sf)
+    train, _ = _split(d, "doc_id")
+    tf = TX.tfidf_model()
+    nb = NaiveBayes(smoothing=1.0)
+    pipe = Pipeline(stages=tf.getStages() + [nb])
+    hashing = tf.getStages()[2]
+    grid = (ParamGridBuilder().addGrid(nb.smoothing, [0.5, 1.0])
+            .addGrid(hashing.numFeatures, [1 << 10, 1 << 12]).build())
+    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    cv = M.cross_validate(pipe, grid, ev, train, folds=3, parallelism=2, seed=42)
+    return M.grid_table(spark, cv)
+
+
+@query("m_text_recover_missing", "N9 N8 M5 E2")
+def m_text_recover_missing(spark, sf):
+    """Fill the missing label: train on labelled documents, predict the
+    documents that have no label, map indices back with IndexToString."""
+    t = Tables(spark, sf)
+    docs = t.documents.select("doc_id", "text")
+    lab = docs.join(t.labels.select("doc_id", F.col("quality").cast("string").alias("q")), "doc_id")
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import StringIndexer
+    idx = StringIndexer(inputCol="q", outputCol="label", stringOrderType="alphabetAsc")
+    stages = [idx] + TX.tfidf_model().getStages() + [LinearSVC(maxIter=30)]
+    model = Pipeline(stages=stages).fit(lab)
+    unl = docs.join(t.labels.select("doc_id"), "doc_id", "left_anti").withColumn("q", F.lit("0"))
+    pred = model.transform(unl)
+    back = IndexToString(inputCol="prediction", outputCol="quality_pred",
+                         labels=model.stages[0].labelsArray[0]).transform(pred)
+    return back.groupBy("quality_pred").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m_als_recommend", "M6 M7 O6 V3 J4")
+def m_als_recommend(spark, sf):
+    """Ratings = how often a customer bought a part; ALS; RMSE on a held-out
+    split; top-5 unseen parts for every customer."""
+    t = Tables(spark, sf)
+    r = t.lineitem.select("l_orderkey", "l_partkey").join(
+        t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    ratings = r.groupBy(F.col("o_custkey").cast("int").alias("user"),
+                        F.col("l_partkey").cast("int").alias("item")).agg(
+        F.count(F.lit(1)).cast("float").alias("rating"))
+    ratings = ratings.withColumn("rk", F.col("user").cast("bigint") * 1000003 + F.col("item"))
+    train, test = _split(ratings, "rk")
+    model = M.als().fit(train)
+    err = V.rmse(model.transform(test), label="rating")
+    users = ratings.select("user").distinct()
+    recs = M.recommend_unseen(model, ratings, users, 5)
+    return recs.groupBy("rank").agg(F.count(F.lit(1)).alias("n_users")).withColumn(
+        "rmse", F.lit(err))
+
+
+def _churn(spark, sf):
+    ch = churn_records(Tables(spark, sf).customer, "c_custkey", seed=42)
+    return ch
+
+
+def _churn_model(spark, sf):
+    ch = _churn(spark, sf)
+    train, test = _split(ch, "CustomerID")
+    prep = M.tabular_stages(["ContractType"], ["TenureMonths", "MonthlyCharges", "TotalCharges",
+                                               "TechSupportCalls"], label="Churn", scale=None)
+    rf = RandomForestClassifier(numTrees=40, maxDepth=6, seed=42)
+    model = Pipeline(stages=prep + [rf]).fit(train)
+    return model, train, test
+
+
+@query("m_churn_high_risk", "T6 P18 V1 R6")
+def m_churn_high_risk(spark, sf):
+    """Campaign list: test customers whose churn probability exceeds 0.80."""
+    model, _, test = _churn_model(spark, sf)
+    scored = V.positive_score(model.transform(test))
+    return scored.where(F.col("score") > 0.8).select("CustomerID", "ContractType", "score")
+
+
+@query("m_churn_probability_hist", "D13")
+def m_churn_probability_hist(spark, sf):
+    model, _, test = _churn_model(spark, sf)
+    scored = V.positive_score(model.transform(test))
+    h = histogram(scored, "score", 10, lo=0.0, hi=1.0)
+    above = scored.agg(F.count_if(F.col("score") > 0.8)).scalar()
+    return h.withColumn("n_above_0_8", above)
+
+
+@query("m_churn_importances", "V8 M2")
+def m_churn_importances(spark, sf):
+    model, train, _ = _churn_model(spark, sf)
+    assembled = Pipeline(stages=model.stages[:-1]).fit(train).transform(train.limit(1))
+    imp = V.named_importances(model.stages[-1], assembled, "features")
+    return spark.createDataFrame(imp, "feature STRING, importance DOUBLE")
+
+
+@query("m_churn_leaderboard", "M12 M1 M2 M3 M5 M8 V1")
+def m_churn_leaderboard(spark, sf):
+    ch = _churn(spark, sf)
+    train, test = _split(ch, "CustomerID")
+    prep = M.tabular_stages(["ContractType"], ["TenureMonths", "MonthlyCharges", "TotalCharges",
+                                               "TechSupportCalls"], label="Churn")
+    ev = BinaryClassificationEvaluator(labelCol="label")
+    return M.leaderboard(spark, train, test, prep, M.classifiers(), ev.evaluate)
+
+
+@query("m_series_cv_verdict", "E9 T1 T3 T4 T5 Y2 Y5 R4 V2 V7")
+def m_series_cv_verdict(spark, sf):
+    """User-day series features -> did the day end in a purchase? Baseline
+    forest vs 3-fold CV-tuned forest on a stratified split; verdict row."""
+    s = user_day_series(Tables(spark, sf).events).where(F.size("value") >= 3)
+    v = X.as_double("value")
+    f = s.select(
+        (F.col("user_id") * 100000 + F.datediff("day", F.lit("2000-01-01"))).alias("k"),
+        X.mean(v).alias("v_mean"), F.array_max(v).alias("v_max"), F.array_min(v).alias("v_min"),
+        X.trend(v).alias("v_trend"), X.rolling_std_mean(v, 5).alias("v_rstd"),
+        F.size(v).cast("double").alias("length"),
+        F.when(F.array_contains("event_type", "purchase"), 1.0).otherwise(0.0).alias("label"))
+    f = f.persist()
+    from lodestar.operators.sampling import stratified_split
+    sp = stratified_split(f, "k", "label", 0.8, seed=42)
+    train, test = sp.where("is_train").drop("is_train"), sp.where("NOT is_train").drop("is_train")
+    asm = VectorAssembler(inputCols=["v_mean", "v_max", "v_min", "v_trend", "v_rstd", "length"],
+                          outputCol="features")
+    rf = RandomForestClassifier(numTrees=10, maxDepth=3, seed=42)
+    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    import time
+    t0 = time.time()
+    base = Pipeline(stages=[asm, rf]).fit(train)
+    t_base = time.time() - t0
+    m_base = ev.evaluate(base.transform(test))
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 30]).addGrid(rf.maxDepth, [3, 6]).build()
+    t0 = time.time()
+    cv = M.cross_validate(Pipeline(stages=[asm, rf]), grid, ev, train, 3, 2, 42)
+    t_cv = time.time() - t0
+    m_cv = ev.evaluate(cv.transform(test))
+    conf = V.confusion(cv.transform(test))
+    n_conf = conf.count()
+    f.unpersist()
+    return spark.createDataFrame(
+        [("baseline_f1", m_base), ("tuned_f1", m_cv), ("time_ratio", t_cv / max(t_base, 1e-9)),
+         ("confusion_rows", float(n_conf))], "metric STRING, value DOUBLE").withColumn(
+        "verdict", F.lit(M.verdict(m_base, m_cv)))
+
+
+@query("m_kmeans_segments", "M9 M11 V4 E7 E8 B14")
+def m_kmeans_segments(spark, sf):
+    t = Tables(spark, sf)
+    per = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
+                                            F.sum("o_totalprice").alias("spend"))
+    c = t.customer.select("c_custkey", "c_acctbal").join(
+        per.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left").fillna(0)
+    qd = QuantileDiscretizer(numBuckets=4, inputCol="c_acctbal", outputCol="bal_q", relativeError=0.001)
+    sql = SQLTransformer(statement="SELECT *, CAST(n_orders AS DOUBLE) AS n_orders_d, "
+                                   "spend / 1000.0 AS spend_k FROM __THIS__")
+    asm = VectorAssembler(inputCols=["bal_q", "n_orders_d", "spend_k"], outputCol="features")
+    km = KMeans(k=4, seed=42)
+    model = Pipeline(stages=[qd, sql, asm, km]).fit(c)
+    out = model.transform(c)
+    sil = V.silhouette(out)
+    return out.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "silhouette", F.lit(sil))
+
+
+@query("m_demand_forecast", "M10 M9 V3 W7")
+def m_demand_forecast(spark, sf):
+    """Monthly revenue per part type with lag-1/2/12 features; linear and
+    boosted-tree regressors trained before the last 12 months, RMSE after."""
+    t = Tables(spark, sf)
+    per = t.lineitem.groupBy("l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias("m")).agg(
+        F.sum("l_extendedprice").alias("rev"))
+    j = per.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    m = j.groupBy("p_type", "m").agg(F.sum("rev").alias("label"))
+    w = Window.partitionBy("p_type").orderBy("m")      # months per type: bounded series
+    for k in (1, 2, 12):
+        m = m.withColumn(f"lag{k}", F.lag("label", k).over(w))
+    m = m.withColumn("month_no", F.month("m").cast("double")).dropna()
+    cut = m.agg(F.add_months(F.max("m"), -12)).scalar()
+    train, test = m.where(F.col("m") <= cut), m.where(F.col("m") > cut)
+    asm = VectorAssembler(inputCols=["lag1", "lag2", "lag12", "month_no"], outputCol="features")
+    out = {}
+    for name, est in (("linear", LinearRegression(maxIter=50)),
+                      ("gbt", GBTRegressor(maxIter=20, maxDepth=3, seed=42))):
+        model = Pipeline(stages=[asm, est]).fit(train)
+        out[name] = V.rmse(model.transform(test))
+    return V.metrics_frame(spark, out)
+
+
+# ------------------------------------------ deterministic-score evaluation
+
+def _scored_customers(spark, sf):
+    t = Tables(spark, sf)
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").alias("c_custkey")).distinct()
+    flag = t.customer.join(urgent.withColumn("label", F.lit(1)), "c_custkey", "left")
+    return flag.select("c_custkey", F.col("c_acctbal").alias("score"),
+                       F.coalesce("label", F.lit(0)).alias("label"))
+
+
+_SCORED_SQL = """s AS (SELECT c_acctbal AS score,
+         CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+              THEN 1 ELSE 0 END AS label FROM customer),
+  t AS (SELECT score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+        FROM s GROUP BY score)"""
+
+
+@query("v_exact_auc", "V5 V1", sql=f"""
+WITH {_SCORED_SQL},
+  c AS (SELECT score, pos, neg, coalesce(sum(neg) OVER (ORDER BY score
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM t)
+SELECT round(sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)), 10) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""")
+def v_exact_auc(spark, sf):
+    a = V.exact_auc(_scored_customers(spark, sf), "score", "label")
+    return a.select(F.round("auc", 10).alias("auc"), "n_pos", "n_neg")
+
+
+@query("v_roc_points", "V6", sql=f"""
+WITH {_SCORED_SQL},
+  c AS (SELECT score, pos, neg,
+               sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+        FROM t)
+SELECT score AS threshold, round(fp / (SELECT sum(neg) FROM t), 10) AS fpr,
+       round(tp / (SELECT sum(pos) FROM t), 10) AS tpr FROM c""")
+def v_roc_points(spark, sf):
+    r = V.roc_points(_scored_customers(spark, sf), "score", "label")
+    return r.select("threshold", F.round("fpr", 10).alias("fpr"), F.round("tpr", 10).alias("tpr"))
+
+
+@query("v_confusion_matrix", "V7 H1", sql="""
+WITH s AS (SELECT CAST(CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+              THEN 1 ELSE 0 END AS INTEGER) AS label,
+                  CASE WHEN c_acctbal > 5000 THEN 1.0 ELSE 0.0 END AS prediction FROM customer)
+SELECT label, count_if(prediction = 0.0) AS "0.0", count_if(prediction = 1.0) AS "1.0",
+       round(count_if(prediction = 0.0) / count(*), 10) AS "0.0_share",
+       round(count_if(prediction = 1.0) / count(*), 10) AS "1.0_share"
+FROM s GROUP BY label""")
+def v_confusion_matrix(spark, sf):
+    s = _scored_customers(spark, sf).withColumn(
+        "prediction", F.when(F.col("score") > 5000, 1.0).otherwise(0.0))
+    c = V.confusion(s)
+    return c.select("label", "`0.0`", "`1.0`", F.round("`0.0_share`", 10).alias("0.0_share"),
+                    F.round("`1.0_share`", 10).alias("1.0_share"))
+
+
+_ = vector_to_array  # re-exported helper used by callers of positive_score
