@@ -19,8 +19,12 @@ from lodestar.operators.joins import bounded
 # Money is summed as exact decimals: price (12,2) x (1 - discount) (5,2) is
 # a DECIMAL(18,4) (long-backed); sums are exact in any order, so totals do
 # not depend on partitioning and half-cent ties round the same everywhere.
-NET = (F.col("l_extendedprice").cast("decimal(12,2)")
-       * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(4,2)")))
+def net():
+    """Net line amount (exact decimal)."""
+    return (F.col("l_extendedprice").cast("decimal(12,2)")
+            * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(4,2)")))
+
+
 NET_SQL = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 
 
@@ -38,7 +42,7 @@ def part_revenue(lineitem: DataFrame) -> DataFrame:
     """Revenue, quantity and line count per part (the map-side combined
     pre-aggregate most item reports start from)."""
     return lineitem.groupBy("l_partkey").agg(
-        F.sum(NET).alias("revenue"), F.sum("l_quantity").alias("qty"),
+        F.sum(net()).alias("revenue"), F.sum("l_quantity").alias("qty"),
         F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -197,8 +201,8 @@ def promotion_roi(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Discounted vs full-price revenue per category."""
     promo = F.col("l_discount") > 0
     per = lineitem.groupBy("l_partkey").agg(
-        F.sum(F.when(promo, NET)).alias("promo"), F.sum(F.when(~promo, NET)).alias("full"),
-        F.sum(F.when(promo, F.col("l_extendedprice").cast("decimal(12,2)") - NET)).alias("given"))
+        F.sum(F.when(promo, net())).alias("promo"), F.sum(F.when(~promo, net())).alias("full"),
+        F.sum(F.when(promo, F.col("l_extendedprice").cast("decimal(12,2)") - net())).alias("given"))
     j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     return j.groupBy("p_type").agg(F.sum("promo").alias("promo_revenue"),
                                    F.sum("full").alias("full_revenue"),
@@ -209,7 +213,7 @@ def seasonality(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Month-of-year revenue / the category's mean month-of-year revenue."""
     from pyspark.sql import Window
     per = lineitem.groupBy("l_partkey", F.month("l_shipdate").alias("moy")).agg(
-        F.sum(NET).alias("rev"))
+        F.sum(net()).alias("rev"))
     j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     m = j.groupBy("p_type", "moy").agg(F.sum("rev").alias("rev"))
     avg = F.avg(F.col("rev").cast("double")).over(Window.partitionBy("p_type"))  # 12 rows per type
@@ -231,7 +235,7 @@ def price_bands(lineitem: DataFrame, width: float) -> DataFrame:
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     b = F.floor(unit / width).cast("bigint")
     return lineitem.groupBy(b.alias("band")).agg(
-        F.sum(NET).alias("revenue"), F.sum("l_quantity").alias("qty"))
+        F.sum(net()).alias("revenue"), F.sum("l_quantity").alias("qty"))
 
 
 def delivery_cost(lineitem, part, orders, customer, nation, region) -> DataFrame:
@@ -279,7 +283,7 @@ def marketplace_profit(lineitem, supplier, nation, commission: float = 0.08) ->
     """Gross, net, commission and tax per supplier nation."""
     per = lineitem.groupBy("l_suppkey").agg(
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("gross"),
-        F.sum(NET).alias("net"),
+        F.sum(net()).alias("net"),
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"))
          .alias("tax"))
     j = per.join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")

@@ -137,6 +137,20 @@ def i_frequency_table(spark, sf):
     return group_count(Tables(spark, sf).customer, "c_mktsegment").orderBy(F.col("n").desc())
 
 
+@query("x_registered_band_udf", "X1 X3 Q10 Y1", sql="""
+SELECT CASE WHEN c_acctbal / 2.0 < 450 THEN 'Underdeveloped'
+            WHEN c_acctbal / 2.0 < 6000 THEN 'Developing' ELSE 'Developed' END AS band,
+       count(*) AS n
+FROM customer GROUP BY 1""")
+def x_registered_band_udf(spark, sf):
+    """Arrow-batched pandas UDF registered for SQL (the only UDF kept)."""
+    from lodestar.functions.udfs import register
+    name = register(spark)
+    c = Tables(spark, sf).customer
+    return spark.sql(f"SELECT {name}(c_acctbal / 2.0) AS band, count(*) AS n FROM {{c}} GROUP BY 1",
+                     c=c)
+
+
 # --------------------------------------------------------------- C-series
 
 
