@@ -16,13 +16,29 @@ from pyspark.sql import functions as F
 from lodestar.operators import windows as W
 from lodestar.operators.joins import bounded
 
-# Money is summed as exact decimals: price (12,2) x (1 - discount) (5,2) is
-# a DECIMAL(18,4) (long-backed); sums are exact in any order, so totals do
-# not depend on partitioning and half-cent ties round the same everywhere.
-def net():
-    """Net line amount (exact decimal)."""
-    return (F.col("l_extendedprice").cast("decimal(12,2)")
-            * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(4,2)")))
+# Money is exact. Per row it is integer arithmetic on the 2-decimal inputs
+# (cents x hundredths = 1e-4 currency units, a BIGINT: codegen-fast); sums
+# run in DECIMAL(28,0), so they are exact in any order (totals do not depend
+# on partitioning, half-cent ties round the same everywhere) and cannot
+# overflow even when one key holds a third of a 100 TB table.
+def cents(col: str):
+    """A 2-decimal amount as exact integer hundredths."""
+    return F.rint(F.col(col) * F.lit(100.0)).cast("bigint")
+
+
+def net_units():
+    """Net line amount, price x (1 - discount), in 1e-4 units."""
+    return cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))
+
+
+def units_sum(units, scale: int):
+    """Exact sum of integer ``units`` of 10^-scale, as a decimal."""
+    unit = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({scale},{scale})")
+    return F.sum(units.cast("decimal(18,0)")) * unit
+
+
+def net_sum():
+    return units_sum(net_units(), 4)
 
 
 NET_SQL = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -42,7 +58,7 @@ def part_revenue(lineitem: DataFrame) -> DataFrame:
     """Revenue, quantity and line count per part (the map-side combined
     pre-aggregate most item reports start from)."""
     return lineitem.groupBy("l_partkey").agg(
-        F.sum(net()).alias("revenue"), F.sum("l_quantity").alias("qty"),
+        net_sum().alias("revenue"), F.sum("l_quantity").alias("qty"),
         F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -201,8 +217,9 @@ def promotion_roi(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Discounted vs full-price revenue per category."""
     promo = F.col("l_discount") > 0
     per = lineitem.groupBy("l_partkey").agg(
-        F.sum(F.when(promo, net())).alias("promo"), F.sum(F.when(~promo, net())).alias("full"),
-        F.sum(F.when(promo, F.col("l_extendedprice").cast("decimal(12,2)") - net())).alias("given"))
+        units_sum(F.when(promo, net_units()), 4).alias("promo"),
+        units_sum(F.when(~promo, net_units()), 4).alias("full"),
+        units_sum(F.when(promo, cents("l_extendedprice") * 100 - net_units()), 4).alias("given"))
     j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     return j.groupBy("p_type").agg(F.sum("promo").alias("promo_revenue"),
                                    F.sum("full").alias("full_revenue"),
@@ -213,7 +230,7 @@ def seasonality(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Month-of-year revenue / the category's mean month-of-year revenue."""
     from pyspark.sql import Window
     per = lineitem.groupBy("l_partkey", F.month("l_shipdate").alias("moy")).agg(
-        F.sum(net()).alias("rev"))
+        net_sum().alias("rev"))
     j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     m = j.groupBy("p_type", "moy").agg(F.sum("rev").alias("rev"))
     avg = F.avg(F.col("rev").cast("double")).over(Window.partitionBy("p_type"))  # 12 rows per type
@@ -235,17 +252,17 @@ def price_bands(lineitem: DataFrame, width: float) -> DataFrame:
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     b = F.floor(unit / width).cast("bigint")
     return lineitem.groupBy(b.alias("band")).agg(
-        F.sum(net()).alias("revenue"), F.sum("l_quantity").alias("qty"))
+        net_sum().alias("revenue"), F.sum("l_quantity").alias("qty"))
 
 
 def delivery_cost(lineitem, part, orders, customer, nation, region) -> DataFrame:
     """Tax-as-delivery-cost by customer region and part type. Lines are
     reduced to (order, type) before meeting orders; region/nation are
     bounded dimensions (broadcast)."""
-    cost = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
+    cost = cents("l_extendedprice") * cents("l_tax")             # 1e-4 units
     lt = lineitem.select("l_orderkey", "l_partkey", cost.alias("cost")).join(
         part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    per_order = lt.groupBy("l_orderkey", "p_type").agg(F.sum("cost").alias("cost"))
+    per_order = lt.groupBy("l_orderkey", "p_type").agg(units_sum(F.col("cost"), 4).alias("cost"))
     oc = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(
         customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     j = per_order.join(oc, "l_orderkey").groupBy("c_nationkey", "p_type").agg(
@@ -282,10 +299,9 @@ def segment_summary(customer: DataFrame, orders: DataFrame) -> DataFrame:
 def marketplace_profit(lineitem, supplier, nation, commission: float = 0.08) -> DataFrame:
     """Gross, net, commission and tax per supplier nation."""
     per = lineitem.groupBy("l_suppkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("gross"),
-        F.sum(net()).alias("net"),
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"))
-         .alias("tax"))
+        units_sum(cents("l_extendedprice"), 2).alias("gross"),
+        net_sum().alias("net"),
+        units_sum(cents("l_extendedprice") * cents("l_tax"), 4).alias("tax"))
     j = per.join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
     j = j.groupBy("s_nationkey").agg(F.sum("gross").alias("gross"), F.sum("net").alias("net"),
                                      F.sum("tax").alias("tax"))

@@ -307,10 +307,10 @@ SELECT r_name, n_name, {money_sql(f"sum({NET_SQL})")} AS revenue
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 def b21_branch_rollup(spark, sf):
-    from lodestar.operators.business import net
+    from lodestar.operators.business import net_sum
     from lodestar.operators.joins import bounded
     t = Tables(spark, sf)
-    per = t.lineitem.groupBy("l_suppkey").agg(F.sum(net()).alias("rev"))
+    per = t.lineitem.groupBy("l_suppkey").agg(net_sum().alias("rev"))
     j = per.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
     n = bounded(t.nation, 25).join(bounded(t.region, 5), F.col("n_regionkey") == F.col("r_regionkey"))
     j = j.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import sampling as S
 from lodestar.operators import windows as W
-from lodestar.operators.business import net, NET_SQL, money, money_sql, part_revenue
+from lodestar.operators.business import NET_SQL, money, money_sql, net_sum, part_revenue
 from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, dirty_customer
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
@@ -33,7 +33,7 @@ SELECT s_nationkey, s_suppkey, revenue, n_lines, CAST(r AS INTEGER) AS rank FROM
 def w_dense_rank_suppliers(spark, sf):
     t = Tables(spark, sf)
     s = t.lineitem.groupBy("l_suppkey").agg(
-        money(F.sum(net())).alias("revenue"), F.count(F.lit(1)).alias("n_lines"))
+        money(net_sum()).alias("revenue"), F.count(F.lit(1)).alias("n_lines"))
     j = s.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("s_suppkey") == F.col("l_suppkey"))
     j = j.select("s_nationkey", "s_suppkey", "revenue", "n_lines")
     return W.top_n_per_group(j, "s_nationkey", [F.col("revenue").desc()], 3, rank="dense_rank")
