@@ -14,18 +14,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
+from lodestar.session import spread
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Raw whitespace-token frequencies."""
-    w = df.select(F.explode(T.words(text)).alias("word"))
+    w = spread(df.select(text)).select(F.explode(T.words(text)).alias("word"))
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def clean_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """Cleaned words longer than 3 characters, seen more than once."""
-    w = df.select(F.explode(T.words(text)).alias("raw"))
-    w = w.select(T.clean_word("raw").alias("word"))
+    """Cleaned words longer than 3 characters, seen more than once.
+
+    Cleaning a word = dropping its non-letters. Dropping every character
+    that is neither a letter nor whitespace from the whole (lower-cased)
+    text first, then splitting on whitespace, yields exactly the cleaned
+    words — one regex pass per document instead of one per word."""
+    keep_ws = T.WORD_CLEAN_DROP[:-1] + r"\s]"
+    cleaned = F.regexp_replace(F.lower(F.col(text)), keep_ws, "")
+    w = spread(df.select(text)).select(F.explode(T.words(cleaned)).alias("word"))
     w = w.where(F.length("word") > T.WORD_MIN_LEN_EXCLUSIVE)
     c = w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return c.where(F.col("n") > T.WORD_MIN_COUNT_EXCLUSIVE)

@@ -57,6 +57,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Round-robin a frame over the cluster's cores when its scan yields
+    fewer tasks than that (e.g. one large row group). Used before CPU-heavy
+    per-row work (regex, tokenising); a no-op when the input is already
+    split into enough files/row groups, so it adds no shuffle at scale."""
+    want = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)
