@@ -17,7 +17,7 @@ from lodestar.tables import Tables
 # --------------------------------------------------------------- P-series
 
 
-@query("p_part_predicates", "P1 P3 P4 P7 P8 P9 P10 P13 F1 S14", sql="""
+@query("p_part_predicates", "P1 P3 P4 P7 P8 P9 P10 P13 F1 S14 Q18", sql="""
 SELECT p_partkey, left(p_name, 3) AS name3, CAST(length(p_name) AS INTEGER) AS name_len,
        round(p_retailprice * 1.1, 2) AS price_up, 'catalog' AS src,
        p_size IN (5, 10, 15, 20) AS size_flag
@@ -36,7 +36,7 @@ def p_part_predicates(spark, sf):
         F.length("p_name").alias("name_len"),
         F.round(F.col("p_retailprice") * 1.1, 2).alias("price_up"),
         F.lit("catalog").alias("src"),
-        F.col("p_size").isin(5, 10, 15, 20).alias("size_flag"))
+        F.col("P_SIZE").isin(5, 10, 15, 20).alias("size_flag"))  # Q18: case-insensitive resolution
 
 
 @query("p_null_tests", "P11 P16 Q1", sql=f"""
@@ -75,7 +75,7 @@ def p_band_balance(spark, sf):
          .alias("clipped_sum"))
 
 
-@query("p_time_slice", "P15 F10", sql="""
+@query("p_time_slice", "P15 F10 Q17", sql="""
 SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
 FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'
 GROUP BY o_orderpriority""")
@@ -87,7 +87,7 @@ def p_time_slice(spark, sf):
                                              F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("p_last_100_orders", "P15 O1 O2", sql="""
+@query("p_last_100_orders", "P15 O1 O2 S12", sql="""
 SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
 ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100""")
 def p_last_100_orders(spark, sf):
@@ -96,7 +96,7 @@ def p_last_100_orders(spark, sf):
                    [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 100)
 
 
-@query("p_transform_chain", "P2 P5 P6 P17", sql="""
+@query("p_transform_chain", "P2 P5 P6 P17 Q13 Q14", sql="""
 SELECT c_custkey AS id, c_nationkey AS nation, CAST(trunc(c_acctbal) AS BIGINT) AS bal_int,
        c_acctbal >= 0 AS solvent
 FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'""")
@@ -431,3 +431,28 @@ def h_unpivot_back(spark, sf):
     p = H.pivot_count(li, ["l_returnflag"], "l_linestatus", ["F", "O"])
     u = H.unpivot(p, ["l_returnflag"], ["F", "O"], "status", "n")
     return u.where(F.col("n") > 0)
+
+
+@query("f_number_formatting", "F17 B1", sql="""
+SELECT p_type, format('{:,.2f}', revenue) AS revenue_text, round(revenue / 1000000.0, 3) AS revenue_m
+FROM (SELECT p_type, CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
+                               AS DECIMAL(18,2)) AS DOUBLE) AS revenue
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type)""")
+def f_number_formatting(spark, sf):
+    """thousands-separated text of exact cent amounts + rounding."""
+    from lodestar.operators.business import revenue_by_category
+    t = Tables(spark, sf)
+    r = revenue_by_category(t.lineitem, t.part, "p_type")
+    return r.select("p_type", F.format_number("revenue", 2).alias("revenue_text"),
+                    F.round(F.col("revenue") / 1000000.0, 3).alias("revenue_m"))
+
+
+@query("e_derived_flags", "E10 P3 P12", sql="""
+WITH n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+SELECT n_lines + 1 AS family_size, n_lines = 1 AS alone, count(*) AS n_orders FROM n GROUP BY 1, 2""")
+def e_derived_flags(spark, sf):
+    """The reference's family-size / alone features, re-aimed: lines per
+    order + 1, and a flag for single-line orders."""
+    n = A.group_count(Tables(spark, sf).lineitem, "l_orderkey", "n_lines")
+    d = n.select((F.col("n_lines") + 1).alias("family_size"), (F.col("n_lines") == 1).alias("alone"))
+    return d.groupBy("family_size", "alone").agg(F.count(F.lit(1)).alias("n_orders"))

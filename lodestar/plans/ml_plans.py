@@ -297,7 +297,7 @@ _SCORED_SQL = """s AS (SELECT c_acctbal AS score,
         FROM s GROUP BY score)"""
 
 
-@query("v_exact_auc", "V5 V1", sql=f"""
+@query("v_exact_auc", "V5 V1 Q16", sql=f"""
 WITH {_SCORED_SQL},
   c AS (SELECT score, pos, neg, coalesce(sum(neg) OVER (ORDER BY score
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM t)

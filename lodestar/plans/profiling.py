@@ -233,7 +233,7 @@ def c_rule_violations(spark, sf):
     return C.violation_counts(checked)
 
 
-@query("c_retention", "C6 C5 P14", sql="""
+@query("c_retention", "C6 C5 P14 Q15", sql="""
 WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT (SELECT count(*) FROM s) AS n_raw, count(*) AS n_clean,
        count(*) * 100.0 / (SELECT count(*) FROM s) AS pct_kept

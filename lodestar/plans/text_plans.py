@@ -29,7 +29,7 @@ def n_word_count_top10(spark, sf):
     return TX.top_words(TX.word_counts(Tables(spark, sf).documents), 10)
 
 
-@query("n_clean_word_count", "N2 F2", sql=f"""
+@query("n_clean_word_count", "N2 F2 A11", sql=f"""
 WITH {_WORDS_SQL},
      c AS (SELECT trim(regexp_replace(lower(raw), '{T.WORD_CLEAN_DROP}', '', 'g')) AS word FROM w)
 SELECT word, count(*) AS n FROM c WHERE length(word) > 3 GROUP BY word HAVING count(*) > 1""")
@@ -37,7 +37,7 @@ def n_clean_word_count(spark, sf):
     return TX.clean_word_counts(Tables(spark, sf).documents)
 
 
-@query("n_clean_word_top10", "N2 O3", sql=f"""
+@query("n_clean_word_top10", "N2 O3 A11 Q12", sql=f"""
 WITH {_WORDS_SQL},
      c AS (SELECT trim(regexp_replace(lower(raw), '{T.WORD_CLEAN_DROP}', '', 'g')) AS word FROM w)
 SELECT word, count(*) AS n FROM c WHERE length(word) > 3 GROUP BY word HAVING count(*) > 1

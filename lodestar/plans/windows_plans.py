@@ -176,7 +176,7 @@ def r_hash_sample_to_size(spark, sf):
     return s.agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("r_native_sample", "R1 R3 R4")
+@query("r_native_sample", "R1 R3 R4 Q20")
 def r_native_sample(spark, sf):
     """Native seeded Bernoulli sample + randomSplit + sampleBy: row counts
     only (the chosen rows depend on partition layout)."""
