@@ -75,24 +75,36 @@ def conditional_counts(df: DataFrame, conds: dict[str, Column],
 
 def series_stats(df: DataFrame, keys: str | Sequence[str], value: str,
                  pcts: Iterable[float] = (0.25, 0.5, 0.75, 0.95),
-                 approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                 method: str = "distributed", accuracy: int = 10000) -> DataFrame:
     """min/max/mean/sample stddev and percentiles of ``value`` per key.
 
-    Exact ``percentile`` (linear interpolation, same as the reference's
-    numpy default) keeps a value->count map per group that merges across map
-    tasks; ``approx=True`` swaps in ``percentile_approx`` whose sketch is
-    bounded in size, the choice for very hot groups at scale.
+    Percentiles are linearly interpolated (numpy's default). ``method``:
+    * "distributed" (default): exact, via ``windows.exact_quantiles`` — a
+      range-partitioned rank computation, so a group holding a third of the
+      rows is spread over many tasks;
+    * "map": Spark's ``percentile`` aggregate (exact; one value->count map
+      per group, merged in one task — fine for small groups);
+    * "approx": ``percentile_approx`` sketches (bounded memory, approximate).
     """
+    from lodestar.operators.windows import exact_quantiles
+    pcts = list(pcts)
+    names = [f"p{int(round(p * 100)):02d}" for p in pcts]
+    keys = _cols(keys)
     aggs = [F.min(value).alias("min"), F.max(value).alias("max"),
             F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"),
             F.count(value).alias("n")]
-    for p in pcts:
-        name = f"p{int(round(p * 100)):02d}"
-        if approx:
-            aggs.append(F.percentile_approx(value, p, accuracy).alias(name))
-        else:
-            aggs.append(F.percentile(value, F.lit(p)).alias(name))
-    return df.groupBy(*_cols(keys)).agg(*aggs)
+    if method == "approx":
+        aggs += [F.percentile_approx(value, p, accuracy).alias(n) for p, n in zip(pcts, names)]
+    elif method == "map":
+        aggs += [F.percentile(value, F.lit(p)).alias(n) for p, n in zip(pcts, names)]
+    moments = df.groupBy(*keys).agg(*aggs)
+    if method != "distributed":
+        return moments
+    q = exact_quantiles(df, keys, value, pcts, names=names)
+    if not keys:                      # one row each: join on a constant key
+        moments, q, keys = moments.withColumn("_g", F.lit(0)), q.withColumn("_g", F.lit(0)), ["_g"]
+        return moments.join(q, keys).drop("_g")
+    return moments.join(q, keys)      # both sides hold one row per group
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "pct") -> DataFrame:

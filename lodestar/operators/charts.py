@@ -55,9 +55,8 @@ def line_series(df: DataFrame, x: Column, y: str) -> DataFrame:
 def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (the most extreme values inside the fences)
     and outlier counts per group, over all rows (no sampling)."""
-    q = df.groupBy(key).agg(
-        F.percentile(value, F.lit(0.25)).alias("q1"), F.median(value).alias("median"),
-        F.percentile(value, F.lit(0.75)).alias("q3"))
+    from lodestar.operators.windows import exact_quantiles
+    q = exact_quantiles(df, key, value, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     fence = q.select(key, "q1", "median", "q3",
                      (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("_lf"),
                      (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("_uf"))

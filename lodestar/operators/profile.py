@@ -108,21 +108,27 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def summary_long(df: DataFrame, cols: Sequence[str],
                  pcts: Sequence[float] = (0.25, 0.5, 0.75),
                  approx: bool = False) -> DataFrame:
-    """``describe`` plus percentiles, exact (``percentile``) or
-    sketch-based (``percentile_approx``), one aggregate."""
+    """``describe`` plus percentiles per column — exact and
+    distributed (``windows.exact_quantiles``) or sketch-based
+    (``percentile_approx``, one aggregate)."""
     base = describe_long(df, cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        for j, p in enumerate(pcts):
-            f = F.percentile_approx(x, p, 10000) if approx else F.percentile(x, F.lit(p))
-            aggs.append(f.cast("double").alias(f"q{i}_{j}"))
-    wide = df.agg(*aggs)
     names = [f"p{int(round(p * 100)):02d}" for p in pcts]
-    stack = ", ".join(
-        f"'{c}', " + ", ".join(f"q{i}_{j}" for j in range(len(pcts)))
-        for i, c in enumerate(cols))
-    q = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, {', '.join(names)})")
+    if approx:
+        aggs = [F.percentile_approx(F.col(c).cast("double"), p, 10000).alias(f"q{i}_{j}")
+                for i, c in enumerate(cols) for j, p in enumerate(pcts)]
+        wide = df.agg(*aggs)
+        stack = ", ".join(
+            f"'{c}', " + ", ".join(f"q{i}_{j}" for j in range(len(pcts)))
+            for i, c in enumerate(cols))
+        q = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, {', '.join(names)})")
+    else:
+        from lodestar.operators.windows import exact_quantiles
+        parts = [exact_quantiles(df.select(F.col(c).cast("double").alias("_x")), [], "_x", pcts,
+                                 names=names).select(F.lit(c).alias("column"), *names)
+                 for c in cols]
+        q = parts[0]
+        for x in parts[1:]:
+            q = q.unionByName(x)
     # both sides are one row per column (bounded by the schema width)
     return base.join(F.broadcast(q), "column")
 

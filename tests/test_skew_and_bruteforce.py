@@ -113,3 +113,16 @@ def test_tfidf_token_counts(spark):
         while toks and toks[-1] == "":
             toks.pop()                       # Java split drops trailing empties
         assert got[r.doc_id] == len(toks)
+
+
+def test_exact_quantiles_hot_group(spark):
+    import numpy as np
+    from lodestar.operators.windows import exact_quantiles
+    df, pdf = _skewed(spark)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.k: r for r in exact_quantiles(df, "k", "v", probs, parts=5).collect()}
+    for k, g in pdf.groupby("k"):
+        exp = np.quantile(g.v.to_numpy(), probs)          # linear interpolation
+        row = got[k]
+        for q, e in zip(probs, exp):
+            assert math.isclose(row[f"p{int(round(q * 100)):02d}"], e, rel_tol=1e-12, abs_tol=1e-9)
