@@ -194,12 +194,10 @@ def frequent_pairs(basket_df: DataFrame, min_support: float) -> DataFrame:
 
 def time_to_purchase(events: DataFrame) -> DataFrame:
     """Seconds from the latest earlier view to each purchase, within the
-    same user-day (window per user-day: bounded group)."""
-    from pyspark.sql import Window
-    w = (Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last_view = F.last(F.when(F.col("event_type") == "view", F.col("ts")), ignorenulls=True).over(w)
-    x = events.select("user_id", "event_type", "ts", last_view.alias("lv"))
+    same user-day (hour-bucketed windows + carry: a hot user-day is split)."""
+    e = events.select("user_id", "event_id", "event_type", "ts", F.to_date("ts").alias("day"))
+    x = W.last_flagged_before(e, ["user_id", "day"], "ts", F.col("event_type") == "view",
+                              "event_id", bucket="hour", name="lv")
     us = (F.unix_micros(F.col("ts").cast("timestamp")) -
           F.unix_micros(F.col("lv").cast("timestamp")))
     x = x.where((F.col("event_type") == "purchase") & F.col("lv").isNotNull())

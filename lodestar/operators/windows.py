@@ -82,6 +82,26 @@ def gaps(df: DataFrame, key: str, ts: str, bucket: str = "day",
     return x.withColumn(name, secs / F.lit(1e6)).drop("_b", "_prev", "_carry")
 
 
+def last_flagged_before(df: DataFrame, keys, ts: str, flag: Column, tiebreak: str,
+                        bucket: str = "hour", name: str = "last_flagged") -> DataFrame:
+    """For every row, the latest ``ts`` of a flagged row at or before it
+    (same key, order (ts, tiebreak)). Windows run per (key, time bucket);
+    a bucket's carry-in is the latest flagged time of any earlier bucket of
+    the key (a per-bucket aggregate, then a running max over the few
+    buckets), so a hot key is spread over its buckets."""
+    keys = _cols(keys)
+    x = df.withColumn("_b", F.date_trunc(bucket, F.col(ts))).withColumn("_fl", flag)
+    w = (Window.partitionBy(*keys, "_b").orderBy(ts, tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = x.withColumn("_in", F.max(F.when(F.col("_fl"), F.col(ts))).over(w))
+    per = x.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_fl"), F.col(ts))).alias("_bl"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*keys, "_b", F.max("_bl").over(wb).alias("_carry"))
+    x = x.join(per, [*keys, "_b"])
+    return x.withColumn(name, F.coalesce(F.col("_in"), F.col("_carry"))).drop(
+        "_b", "_fl", "_in", "_carry")
+
+
 def running_sum(df: DataFrame, key: str, order: str, value: str,
                 bucket: str = "month", name: str = "running") -> DataFrame:
     """Running total of ``value`` per key ordered by a timestamp ``order``
@@ -144,6 +164,21 @@ def global_prefix_sum(df: DataFrame, order: Sequence[Column], values: Sequence[s
                                      for v in values])
 
 
+def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int = 64,
+                     name: str = "pos") -> DataFrame:
+    """0-based position of every row inside its key under ``order`` (a
+    total order) — ``row_number() - 1`` without sorting a whole key in one
+    task: global prefix counts over (keys, order), minus the key's first
+    position (an aggregate joined back on the key)."""
+    keys = _cols(keys)
+    x = df.withColumn("_one", F.lit(1))
+    p = global_prefix_sum(x, [F.col(k).asc() for k in keys] + list(order), ["_one"], parts)
+    start = p.groupBy(*keys).agg(F.min("_one_before").alias("_start"))
+    return (p.join(start, keys)
+             .withColumn(name, F.col("_one_before") - F.col("_start"))
+             .drop("_one", "_one_before", "_start"))
+
+
 def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
                     parts: int = 64, names: Sequence[str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group (position
@@ -210,7 +245,25 @@ def group_mean_impute(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def moving_avg(df: DataFrame, key: str, order: str, value: str, width: int,
-               name: str | None = None) -> DataFrame:
-    """Trailing ``width``-row moving average per key."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(width - 1), 0)
-    return df.withColumn(name or f"ma{width}", F.avg(value).over(w))
+               name: str | None = None, chunk_rows: int | None = None) -> DataFrame:
+    """Trailing ``width``-row moving average per key (``order`` must be
+    unique within the key).
+
+    With ``chunk_rows`` the key is cut into chunks of consecutive rows
+    (positions from ``positions_within``); each chunk also receives the
+    last ``width - 1`` rows of the chunk before it as read-only halo rows,
+    so the window runs per (key, chunk) — a hot key is spread over many
+    tasks — and every average sums exactly the same rows as the plain
+    window. Without it, one window per key (fine for bounded series)."""
+    name = name or f"ma{width}"
+    if not chunk_rows:
+        w = Window.partitionBy(key).orderBy(order).rowsBetween(-(width - 1), 0)
+        return df.withColumn(name, F.avg(value).over(w))
+    assert width - 1 <= chunk_rows
+    p = positions_within(df, key, [F.col(order).asc()], name="_pos")
+    p = p.withColumn("_chunk", F.floor(F.col("_pos") / chunk_rows)).withColumn("_halo", F.lit(False))
+    halo = (p.where(F.col("_pos") % chunk_rows >= chunk_rows - (width - 1))
+             .withColumn("_chunk", F.col("_chunk") + 1).withColumn("_halo", F.lit(True)))
+    w = Window.partitionBy(key, "_chunk").orderBy("_pos").rowsBetween(-(width - 1), 0)
+    out = p.unionByName(halo).withColumn(name, F.avg(value).over(w))
+    return out.where(~F.col("_halo")).drop("_pos", "_chunk", "_halo")

@@ -32,18 +32,36 @@ DIRTY_CUSTOMER_SQL = """dirty_customer AS (
   FROM customer)"""
 
 
-def user_day_series(events: DataFrame) -> DataFrame:
-    """Stand-in for the reference's workouts: one row per (user, day) with
-    time-ordered parallel arrays ``ts`` (epoch seconds), ``value`` and
-    ``event_type``. A (user, day) group is bounded by one day of one user's
-    activity; ``array_sort`` on a struct led by (ts, event_id) orders it."""
-    x = events.select(
-        "user_id", F.to_date("ts").alias("day"),
-        F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"),
-                 "event_id", "value", "event_type").alias("e"))
-    g = x.groupBy("user_id", "day").agg(F.array_sort(F.collect_list("e")).alias("es"))
+WORKOUT_SIZE = 50
+
+
+def workout_series(events: DataFrame, size: int = WORKOUT_SIZE) -> DataFrame:
+    """Stand-in for the reference's workouts as BOUNDED series: each user's
+    events in (ts, event_id) order, cut into consecutive chunks of ``size``
+    events; one row per (user_id, chunk) with parallel arrays ``ts`` (epoch
+    seconds), ``value``, ``event_type``. Positions come from a
+    range-partitioned prefix count (no per-user sort in one task), so even
+    a user holding a third of all events yields many small arrays."""
+    from lodestar.operators.windows import positions_within
+    ev = events.select("user_id", "event_id", "ts", "value", "event_type")
+    p = positions_within(ev, "user_id", [F.col("ts").asc(), F.col("event_id").asc()])
+    x = p.select("user_id", F.floor(F.col("pos") / size).cast("bigint").alias("chunk"),
+                 F.struct("pos", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"),
+                          "value", "event_type").alias("e"))
+    g = x.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list("e")).alias("es"))
     return g.select(
-        "user_id", "day",
-        F.transform("es", lambda e: (e["t_us"] / 1000000).cast("bigint")).alias("ts"),
+        "user_id", "chunk",
+        F.transform("es", lambda e: F.floor(e["t_us"] / 1000000).cast("bigint")).alias("ts"),
         F.transform("es", lambda e: e["value"]).alias("value"),
         F.transform("es", lambda e: e["event_type"]).alias("event_type"))
+
+
+WORKOUT_SQL = f"""r AS (
+  SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // {WORKOUT_SIZE} AS chunk
+  FROM events),
+  s AS (
+  SELECT user_id, chunk,
+         list(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) ORDER BY ts, event_id) AS ts,
+         list(value ORDER BY ts, event_id) AS vals,
+         list(event_type ORDER BY ts, event_id) AS types
+  FROM r GROUP BY 1, 2)"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import clean as C
 from lodestar.operators import profile as P
-from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, dirty_customer, user_day_series
+from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, WORKOUT_SQL, dirty_customer, workout_series
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
 
@@ -37,19 +37,16 @@ def i_null_counts(spark, sf):
     return P.null_counts(dirty_customer(Tables(spark, sf).customer))
 
 
-@query("i_anomaly_scan", "I11 Q1 Q2", sql="""
-WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day,
-                  list(CASE WHEN event_type = 'error' THEN 0.0 ELSE value END ORDER BY ts, event_id) AS vals,
-                  list(event_type ORDER BY ts, event_id) AS types
-           FROM events GROUP BY 1, 2)
+@query("i_anomaly_scan", "I11 Q1 Q2", sql=f"""
+WITH {WORKOUT_SQL.replace("list(value ORDER BY", "list(CASE WHEN event_type = 'error' THEN 0.0 ELSE value END ORDER BY")}
 SELECT 'user_id' AS "column", 'number' AS kind, count_if(user_id IS NULL OR user_id = 0) AS n_anomalous FROM s
 UNION ALL SELECT 'vals', 'array', count_if(vals IS NULL OR len(list_filter(vals, lambda x: x IS NULL OR isnan(x) OR x = 0)) > 0) FROM s
 UNION ALL SELECT 'types', 'array', count_if(types IS NULL OR len(list_filter(types, lambda x: x IS NULL)) > 0) FROM s""")
 def i_anomaly_scan(spark, sf):
     e = Tables(spark, sf).events.withColumn(
         "value", F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")))
-    s = user_day_series(e).select("user_id", F.col("value").alias("vals"),
-                                  F.col("event_type").alias("types"))
+    s = workout_series(e).select("user_id", F.col("value").alias("vals"),
+                                 F.col("event_type").alias("types"))
     return P.anomaly_counts(s)
 
 
@@ -233,12 +230,13 @@ def c_rule_violations(spark, sf):
     return C.violation_counts(checked)
 
 
-@query("c_retention", "C6 C5 P14 Q15", sql="""
-WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)
+@query("c_retention", "C6 C5 P14 Q15", sql=f"""
+WITH {WORKOUT_SQL}
 SELECT (SELECT count(*) FROM s) AS n_raw, count(*) AS n_clean,
        count(*) * 100.0 / (SELECT count(*) FROM s) AS pct_kept
-FROM s WHERE n >= 5""")
+FROM s WHERE len(ts) >= 10""")
 def c_retention(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
-    cleaned = s.where(F.size("ts") >= 5)
+    """Workouts kept by the minimum-length rule (>= 10 points)."""
+    s = workout_series(Tables(spark, sf).events)
+    cleaned = s.where(F.size("ts") >= 10)
     return C.retention(s, cleaned)

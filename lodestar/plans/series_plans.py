@@ -1,5 +1,5 @@
 """Array-series queries: the reference's workout arrays, rebuilt as one
-row per (user, day) from ``events`` (F7-F15, E9, W5, W6, A12, D10, D11)."""
+row per bounded workout (user, chunk of 50 events) from ``events`` (F7-F15, E9, W5, W6, A12, D10, D11)."""
 
 from __future__ import annotations
 
@@ -8,23 +8,17 @@ from pyspark.sql import functions as F
 from lodestar.functions import arrays as X
 from lodestar.operators import aggregates as A
 from lodestar.operators import reshape as H
-from lodestar.plans.fixtures import user_day_series
+from lodestar.plans.fixtures import WORKOUT_SQL, workout_series
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
 
-# DuckDB form of fixtures.user_day_series
-_SERIES_SQL = """s AS (
-  SELECT user_id, CAST(ts AS DATE) AS day,
-         list(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) ORDER BY ts, event_id) AS ts,
-         list(value ORDER BY ts, event_id) AS vals,
-         list(event_type ORDER BY ts, event_id) AS types
-  FROM events GROUP BY 1, 2)"""
+_SERIES_SQL = WORKOUT_SQL   # DuckDB form of fixtures.workout_series
 
 
 @query("s_series_features", "E9 F11 F12 F14 W5 W6 P14 C5", sql=f"""
 WITH {_SERIES_SQL},
-     f AS (SELECT user_id, day, vals, len(vals) AS n, greatest(1, len(vals) // 4) AS q FROM s)
-SELECT user_id, day,
+     f AS (SELECT user_id, chunk, vals, len(vals) AS n, greatest(1, len(vals) // 4) AS q FROM s)
+SELECT user_id, chunk,
        round(list_avg(vals), 6) AS v_mean, list_max(vals) AS v_max, list_min(vals) AS v_min,
        round(list_max(vals) - list_min(vals), 6) AS v_range,
        round(CASE WHEN n < 4 THEN 0.0
@@ -35,11 +29,11 @@ SELECT user_id, day,
        CAST(n AS DOUBLE) AS length
 FROM f WHERE n >= 3""")
 def s_series_features(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
+    s = workout_series(Tables(spark, sf).events)
     s = s.where(F.size("value") >= 3)
     v = X.as_double("value")
     return s.select(
-        "user_id", "day",
+        "user_id", "chunk",
         F.round(X.mean(v), 6).alias("v_mean"), F.array_max(v).alias("v_max"),
         F.array_min(v).alias("v_min"),
         F.round(F.array_max(v) - F.array_min(v), 6).alias("v_range"),
@@ -50,11 +44,11 @@ def s_series_features(spark, sf):
 
 @query("s_time_features", "F7 F8 F9 F13 Q3 Q4 Q5 Q6 X2", sql=f"""
 WITH {_SERIES_SQL},
-     d AS (SELECT user_id, day, ts,
+     d AS (SELECT user_id, chunk, ts,
                   CASE WHEN len(ts) = 1 THEN [CAST(0 AS BIGINT)]
                        ELSE list_transform(range(2, len(ts) + 1), lambda i: ts[i] - ts[i - 1]) END AS iv
            FROM s)
-SELECT user_id, day,
+SELECT user_id, chunk,
        CAST(hour(make_timestamp(list_min(ts) * 1000000) - INTERVAL 7 HOUR) AS INTEGER) AS start_hour,
        round((list_max(ts) - list_min(ts)) / 60.0, 6) AS duration_min,
        round((list_max(ts) - list_min(ts)) % 86400 / 60.0, 6) AS duration_wrapped_min,
@@ -62,11 +56,11 @@ SELECT user_id, day,
        CAST(list_sum(iv) AS BIGINT) AS sum_interval
 FROM d""")
 def s_time_features(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
+    s = workout_series(Tables(spark, sf).events)
     dt = X.epoch_to_ts("ts", shift_hours=7)
     iv = X.intervals("ts")
     return s.select(
-        "user_id", "day", X.start_hour(dt).alias("start_hour"),
+        "user_id", "chunk", X.start_hour(dt).alias("start_hour"),
         F.round(X.duration_min("ts"), 6).alias("duration_min"),
         F.round(X.duration_min("ts", wrap_days=True), 6).alias("duration_wrapped_min"),
         F.array_max(iv).alias("max_interval"), F.size(iv).alias("n_intervals"),
@@ -80,8 +74,8 @@ SELECT user_id, min(value) AS min, max(value) AS max, round(avg(value), 6) AS me
        round(quantile_cont(value, 0.75), 6) AS p75, round(quantile_cont(value, 0.95), 6) AS p95
 FROM events GROUP BY user_id""")
 def s_per_user_series_stats(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
-    rows = H.explode_series(s, ["user_id", "day"], ["ts", "value"])
+    s = workout_series(Tables(spark, sf).events)
+    rows = H.explode_series(s, ["user_id", "chunk"], ["ts", "value"])
     st = A.series_stats(rows, "user_id", "value")
     return st.select("user_id", "min", "max", F.round("mean", 6).alias("mean"),
                      F.round("stddev", 6).alias("stddev"), "n",
@@ -90,33 +84,33 @@ def s_per_user_series_stats(spark, sf):
 
 @query("s_track_bounds", "D10", sql=f"""
 WITH {_SERIES_SQL},
-     b AS (SELECT user_id, day, list_min(vals) - list_stddev_pop(vals) AS lo,
+     b AS (SELECT user_id, chunk, list_min(vals) - list_stddev_pop(vals) AS lo,
                   list_max(vals) + list_stddev_pop(vals) AS hi FROM s WHERE len(vals) >= 2)
-SELECT user_id, day, round(lo + (hi - lo) / 12.0 / 4, 6) AS lo, round(hi - (hi - lo) / 12.0 / 4, 6) AS hi
+SELECT user_id, chunk, round(lo + (hi - lo) / 12.0 / 4, 6) AS lo, round(hi - (hi - lo) / 12.0 / 4, 6) AS hi
 FROM b""")
 def s_track_bounds(spark, sf):
-    s = user_day_series(Tables(spark, sf).events).where(F.size("value") >= 2)
+    s = workout_series(Tables(spark, sf).events).where(F.size("value") >= 2)
     lo, hi = X.padded_bounds("value")
-    return s.select("user_id", "day", F.round(lo, 6).alias("lo"), F.round(hi, 6).alias("hi"))
+    return s.select("user_id", "chunk", F.round(lo, 6).alias("lo"), F.round(hi, 6).alias("hi"))
 
 
 @query("s_overlay_rows", "D11 W9 H5", sql=f"""
 WITH {_SERIES_SQL},
-     r AS (SELECT user_id, day, list_transform(ts, lambda t: t - list_min(ts)) AS rel, vals FROM s)
-SELECT user_id, day, CAST(p - 1 AS INTEGER) AS pos, rel[p] AS t_rel, vals[p] AS value
-FROM r, range(1, len(vals) + 1) AS g(p)""")
+     r2 AS (SELECT user_id, chunk, list_transform(ts, lambda t: t - list_min(ts)) AS rel, vals FROM s)
+SELECT user_id, chunk, CAST(p - 1 AS INTEGER) AS pos, rel[p] AS t_rel, vals[p] AS value
+FROM r2, range(1, len(vals) + 1) AS g(p)""")
 def s_overlay_rows(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
-    s = s.select("user_id", "day", X.relative_to_start("ts").alias("t_rel"), "value")
-    return H.explode_series(s, ["user_id", "day"], ["t_rel", "value"])
+    s = workout_series(Tables(spark, sf).events)
+    s = s.select("user_id", "chunk", X.relative_to_start("ts").alias("t_rel"), "value")
+    return H.explode_series(s, ["user_id", "chunk"], ["t_rel", "value"])
 
 
 @query("s_distinct_types_per_user", "F15", sql="""
 SELECT user_id, count(DISTINCT event_type) AS n_types,
        CAST(count(*) AS BIGINT) AS n_items FROM events GROUP BY user_id""")
 def s_distinct_types_per_user(spark, sf):
-    s = user_day_series(Tables(spark, sf).events)
-    # flatten of a bounded nested array (head + tail of the day), then the
+    s = workout_series(Tables(spark, sf).events)
+    # flatten of a bounded nested array (head + tail of the workout), then the
     # unbounded per-user union as explode + aggregate (never a collected set)
     halves = F.flatten(F.array(F.slice("event_type", 1, 1), F.slice("event_type", 2, 1000000)))
     x = s.select("user_id", F.explode(halves).alias("t"))

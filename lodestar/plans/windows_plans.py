@@ -109,7 +109,7 @@ def w_moving_avg_daily(spark, sf):
     from pyspark.sql import Window
     e = Tables(spark, sf).events
     d = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
-    m = W.moving_avg(d, "event_type", "day", "v", 7, "ma7")
+    m = W.moving_avg(d, "event_type", "day", "v", 7, "ma7", chunk_rows=8)
     m = m.withColumn("delta", F.col("v") - F.lag("v").over(
         Window.partitionBy("event_type").orderBy("day")))
     return m.select("event_type", "day", F.round("v", 4).alias("v"),

@@ -126,3 +126,16 @@ def test_exact_quantiles_hot_group(spark):
         row = got[k]
         for q, e in zip(probs, exp):
             assert math.isclose(row[f"p{int(round(q * 100)):02d}"], e, rel_tol=1e-12, abs_tol=1e-9)
+
+
+def test_moving_avg_chunked_equals_plain(spark):
+    df, pdf = _skewed(spark)
+    plain = {r.id: r.ma5 for r in W.moving_avg(df, "k", "id", "v", 5).collect()}
+    chunked = {r.id: r.ma5 for r in W.moving_avg(df, "k", "id", "v", 5, chunk_rows=37).collect()}
+    assert plain.keys() == chunked.keys()
+    for i in plain:
+        assert math.isclose(plain[i], chunked[i], rel_tol=1e-12)
+    pdf = pdf.sort_values(["k", "id"])
+    exp = pdf.groupby("k")["v"].transform(lambda s: s.rolling(5, min_periods=1).mean())
+    for i, e in zip(pdf.id, exp):
+        assert math.isclose(plain[i], e, rel_tol=1e-12)
