@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import text as T
 from lodestar.operators import text as TX
 from lodestar.plans.registry import query
+from lodestar.session import spread
 from lodestar.tables import Tables
 
 _WORDS_SQL = """w AS (
@@ -46,17 +47,48 @@ def n_clean_word_top10(spark, sf):
     return TX.top_words(TX.clean_word_counts(Tables(spark, sf).documents), 10)
 
 
-@query("n_social_normalize", "N3 F2 Q7 Q8")
+# The oracle's regex engine (RE2) has no back-references, so the SQL form
+# of the repeat rule walks the characters: a character is dropped when it
+# equals the two before it (runs keep their first two), except line
+# terminators, which Java's "." does not match.
+def _social_sql(table: str, ids: str) -> str:
+    return r"""
+WITH a AS (SELECT {ids},
+                  regexp_replace(regexp_replace(lower(text), '@[^\s]+', 'USER', 'g'),
+                                 'https?://\S+|www\.\S+', 'URL', 'g') AS t FROM {table}),
+     b AS (SELECT {ids}, string_split(t, '') AS cs FROM a),
+     c AS (SELECT {ids},
+                  array_to_string(list_filter(list_transform(range(1, len(cs) + 1), lambda i:
+                      CASE WHEN i >= 3 AND cs[i] = cs[i - 1] AND cs[i - 1] = cs[i - 2]
+                                AND cs[i] NOT IN (chr(10), chr(13), chr(133), chr(8232), chr(8233))
+                           THEN NULL ELSE cs[i] END), lambda x: x IS NOT NULL), '') AS t FROM b),
+     d AS (SELECT {ids},
+                  regexp_replace(regexp_replace(t, '[^a-zA-Z\d\s]', '', 'g'), '\d+', 'NUM', 'g') AS text_norm
+           FROM c)
+SELECT {ids}, text_norm,
+       CAST(len(list_filter(regexp_split_to_array(text_norm, '\s+'), lambda w: w <> '')) AS INTEGER) AS n_tokens
+FROM d""".format(table=table, ids=ids)
+
+
+@query("n_social_normalize", "N3 F2 Q7 Q8", sql=_social_sql("conversations", "conv_id, turn"))
 def n_social_normalize(spark, sf):
-    """Normalised conversation turns. The repeat rule needs a regex
-    back-reference (not available in the oracle's RE2), so this is checked
-    against Python ``re`` in the tests instead of by SQL."""
+    """Normalised conversation turns (also checked against Python ``re``
+    in the tests)."""
     c = Tables(spark, sf).conversations
     norm = T.normalize_social("text")
     return c.select("conv_id", "turn", norm.alias("text_norm"),
                     F.size(T.words(norm)).alias("n_tokens"))
 
 
+@query("n_social_normalize_documents", "N3 F2 Q7", sql=_social_sql("documents", "doc_id"))
+def n_social_normalize_documents(spark, sf):
+    """The same normalisation over whole documents (mentions, digits,
+    repeated characters occur there)."""
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"))
+    norm = T.normalize_social("text")
+    return d.select("doc_id", norm.alias("text_norm"), F.size(T.words(norm)).alias("n_tokens"))
+
+
 @query("n_tfidf_features", "N4 N5 N6 N7 E11")
 def n_tfidf_features(spark, sf):
     """Tokenizer -> stop words -> hashing TF -> IDF on every document; per
