@@ -27,6 +27,15 @@ def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _parts(df: DataFrame, parts: int | None) -> int:
+    """Range partitions for the two-phase prefix sums: the session's shuffle
+    partition count unless given (the per-partition summary has this many
+    rows, so it stays a small broadcast)."""
+    if parts:
+        return parts
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def top_n_per_group(df: DataFrame, keys, order: Sequence[Column], n: int,
                     rank: str = "row_number", name: str = "rank") -> DataFrame:
     """Rows ranked 1..n inside each group. ``rank`` may be
@@ -120,7 +129,7 @@ def running_sum(df: DataFrame, key: str, order: str, value: str,
 
 
 def global_running_share(df: DataFrame, value: str, tiebreak: str,
-                         parts: int = 64, name: str = "cum_share") -> DataFrame:
+                         parts: int | None = None, name: str = "cum_share") -> DataFrame:
     """Cumulative share of ``value`` in descending order over the
     whole table, without funnelling it through one task.
 
@@ -130,7 +139,7 @@ def global_running_share(df: DataFrame, value: str, tiebreak: str,
     2. per-partition totals (<= ``parts`` rows) -> exclusive prefix;
     3. within-partition running sum + partition offset."""
     order = [F.col(value).desc(), F.col(tiebreak).asc()]
-    r = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
+    r = df.repartitionByRange(_parts(df, parts), *order).withColumn("_p", F.spark_partition_id())
     r = cut_lineage(r)
     tot = r.groupBy("_p").agg(F.sum(value).alias("_pt"))
     wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -145,13 +154,13 @@ def global_running_share(df: DataFrame, value: str, tiebreak: str,
 
 
 def global_prefix_sum(df: DataFrame, order: Sequence[Column], values: Sequence[str],
-                      parts: int = 64, suffix: str = "_before") -> DataFrame:
+                      parts: int | None = None, suffix: str = "_before") -> DataFrame:
     """Exclusive running sums of ``values`` over a total order of the whole
     frame (``<v>_before`` = sum over all earlier rows), computed without a
     single-task window: range partitions (pinned by a reliable checkpoint)
     -> per-partition totals (<= ``parts`` rows, broadcast) -> in-partition
     running sums + partition offsets. Used by exact AUC / ROC (V5, V6)."""
-    r = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
+    r = df.repartitionByRange(_parts(df, parts), *order).withColumn("_p", F.spark_partition_id())
     r = cut_lineage(r)
     tot = r.groupBy("_p").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,14 +173,28 @@ def global_prefix_sum(df: DataFrame, order: Sequence[Column], values: Sequence[s
                                      for v in values])
 
 
-def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int = 64,
-                     name: str = "pos") -> DataFrame:
+def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int | None = None,
+                     name: str = "pos", bucket: tuple[str, str] | None = None) -> DataFrame:
     """0-based position of every row inside its key under ``order`` (a
     total order) — ``row_number() - 1`` without sorting a whole key in one
-    task: global prefix counts over (keys, order), minus the key's first
-    position (an aggregate joined back on the key)."""
+    task. Default: global prefix counts over (keys, order) on range
+    partitions, minus the key's first position (an aggregate joined back).
+    ``bucket=(ts_col, unit)``, for orders led by ``ts_col``: row numbers per
+    (key, time bucket) plus the key's counts in earlier buckets."""
     keys = _cols(keys)
     x = df.withColumn("_one", F.lit(1))
+    if bucket is not None:
+        # cheaper variant when the order starts with a timestamp: row numbers
+        # per (key, time bucket) + counts of the key's earlier buckets
+        x = x.withColumn("_b", F.date_trunc(bucket[1], F.col(bucket[0])))
+        w = Window.partitionBy(*keys, "_b").orderBy(*order)
+        x = x.withColumn("_rn", F.row_number().over(w) - 1)
+        cnt = x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.select(*keys, "_b", F.coalesce(F.sum("_bc").over(wb), F.lit(0)).alias("_off"))
+        return (x.join(cnt, [*keys, "_b"])
+                 .withColumn(name, F.col("_off") + F.col("_rn"))
+                 .drop("_one", "_b", "_rn", "_off"))
     p = global_prefix_sum(x, [F.col(k).asc() for k in keys] + list(order), ["_one"], parts)
     start = p.groupBy(*keys).agg(F.min("_one_before").alias("_start"))
     return (p.join(start, keys)
@@ -180,7 +203,7 @@ def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int =
 
 
 def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
-                    parts: int = 64, names: Sequence[str] | None = None) -> DataFrame:
+                    parts: int | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group (position
     q * (n - 1), as numpy / SQL ``percentile_cont``), without holding a
     group's values in one task.

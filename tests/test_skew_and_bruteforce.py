@@ -139,3 +139,13 @@ def test_moving_avg_chunked_equals_plain(spark):
     exp = pdf.groupby("k")["v"].transform(lambda s: s.rolling(5, min_periods=1).mean())
     for i, e in zip(pdf.id, exp):
         assert math.isclose(plain[i], e, rel_tol=1e-12)
+
+
+def test_positions_within_both_methods(spark):
+    df, pdf = _skewed(spark)
+    order = [F.col("ts").asc(), F.col("id").asc()]
+    a = {r.id: r.pos for r in W.positions_within(df, "k", order, parts=6).collect()}
+    b = {r.id: r.pos for r in W.positions_within(df, "k", order, bucket=("ts", "day")).collect()}
+    pdf = pdf.sort_values(["k", "ts", "id"])
+    exp = dict(zip(pdf.id, pdf.groupby("k").cumcount()))
+    assert a == exp and b == exp
