@@ -66,11 +66,16 @@ def mean(a) -> Column:
 
 
 def std_pop(a) -> Column:
-    """Population standard deviation of an array (two folds)."""
+    """Population standard deviation of an array: one fold carrying
+    (sum, sum of squares) — higher-order functions are interpreted, so a
+    single pass matters; variance is clamped at 0 against rounding."""
     a = as_double(a)
-    m = mean(a)
-    ss = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
-    return F.sqrt(ss / F.size(a))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    acc = F.aggregate(a, zero, lambda c, x: F.struct((c["s"] + x).alias("s"),
+                                                    (c["q"] + x * x).alias("q")))
+    n = F.size(a)
+    mu = acc["s"] / n
+    return F.sqrt(F.greatest(acc["q"] / n - mu * mu, F.lit(0.0)))
 
 
 def trend(a, min_len: int = 4) -> Column:
