@@ -5,7 +5,7 @@ confusion matrix) have SQL oracles."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -182,7 +182,7 @@ def m_churn_probability_hist(spark, sf):
 @query("m_churn_importances", "V8 M2")
 def m_churn_importances(spark, sf):
     model, train, _ = _churn_model(spark, sf)
-    assembled = Pipeline(stages=model.stages[:-1]).fit(train).transform(train.limit(1))
+    assembled = PipelineModel(stages=model.stages[:-1]).transform(train)   # schema only, lazy
     imp = V.named_importances(model.stages[-1], assembled, "features")
     return spark.createDataFrame(imp, "feature STRING, importance DOUBLE")
 

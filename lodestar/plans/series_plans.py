@@ -112,7 +112,8 @@ def s_distinct_types_per_user(spark, sf):
     s = workout_series(Tables(spark, sf).events)
     # flatten of a bounded nested array (head + tail of the workout), then the
     # unbounded per-user union as explode + aggregate (never a collected set)
-    halves = F.flatten(F.array(F.slice("event_type", 1, 1), F.slice("event_type", 2, 1000000)))
+    halves = F.flatten(F.array(F.slice("event_type", 1, 1),
+                               F.slice("event_type", 2, F.greatest(F.size("event_type") - 1, F.lit(1)))))
     x = s.select("user_id", F.explode(halves).alias("t"))
     return x.groupBy("user_id").agg(F.countDistinct("t").alias("n_types"),
                                     F.count(F.lit(1)).alias("n_items"))
