@@ -117,3 +117,10 @@ def upsert(current: DataFrame, changes: DataFrame, key: Sequence[str], version:
 def expire(df: DataFrame, ts: str, now, ttl_seconds: int) -> DataFrame:
     """TTL — keep rows younger than ``ttl_seconds`` at ``now``."""
     return df.where(F.col(ts) > now - F.make_interval(secs=F.lit(ttl_seconds)))
+
+
+def fetch(df: DataFrame, n: int = 20):
+    """Bring at most ``n`` rows to the driver as pandas (the only
+    driver fetch the library offers is a bounded one; ``limit`` is pushed
+    into the plan, so executors stop early)."""
+    return df.limit(n).toPandas()

@@ -85,3 +85,9 @@ def test_ml_leaderboard_bounds(spark):
     assert len(lb) == 7 and all(0.0 <= r.metric <= 1.0 for r in lb)
     # the rule-based churn label is learnable: the best model beats chance
     assert max(r.metric for r in lb) > 0.7
+
+
+def test_bounded_fetch(spark):
+    from lodestar.sources.files import fetch
+    pdf = fetch(Tables(spark, SF_SMALL).lineitem, 7)
+    assert len(pdf) == 7 and "l_orderkey" in pdf.columns
