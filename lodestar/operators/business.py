@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators import windows as W
-from lodestar.operators.joins import bounded
+from lodestar.operators.joins import anti, bounded
 
 # Money is exact. Per row it is integer arithmetic on the 2-decimal inputs
 # (cents x hundredths = 1e-4 currency units, a BIGINT: codegen-fast); sums
@@ -114,8 +114,8 @@ def slow_movers(lineitem: DataFrame, part: DataFrame, days: int = 365) -> DataFr
     end = lineitem.agg(F.max("l_shipdate")).scalar()
     recent = lineitem.where(F.col("l_shipdate") > end - F.make_interval(days=F.lit(days)))
     last = lineitem.groupBy("l_partkey").agg(F.max("l_shipdate").alias("last_sold"))
-    slow = part.select("p_partkey", "p_name").join(
-        recent.select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti")
+    slow = anti(part.select("p_partkey", "p_name"),
+                recent.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
     return slow.join(last.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left")
 
 

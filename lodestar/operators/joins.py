@@ -33,16 +33,27 @@ def left_outer(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left")
 
 
+def _keys_only(right: DataFrame, on) -> DataFrame:
+    """The probe side of a semi/anti join only needs its distinct keys:
+    deduplicating them (map-side partial aggregate) turns a key repeated a
+    billion times into one row per task before the shuffle."""
+    if isinstance(on, str):
+        on = [on]
+    if isinstance(on, (list, tuple)) and all(isinstance(c, str) for c in on):
+        return right.select(*on).distinct()
+    return right
+
+
 def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` with no match (NOT EXISTS), planned as a
     left-anti join rather than left join + IS NULL."""
-    return left.join(right, on, "left_anti")
+    return left.join(_keys_only(right, on), on, "left_anti")
 
 
 def semi(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` with a match (EXISTS); no id list through the
     driver."""
-    return left.join(right, on, "left_semi")
+    return left.join(_keys_only(right, on), on, "left_semi")
 
 
 def attach_by_key(base: DataFrame, extra: DataFrame, key: str | Sequence[str]) -> DataFrame:

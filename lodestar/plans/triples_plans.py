@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestar.operators import triples as G
+from lodestar.operators.joins import anti
 from lodestar.plans.registry import query
 from lodestar.session import scratch_dir
 from lodestar.tables import Tables
@@ -102,5 +103,5 @@ def g_multi_hop_recommend(spark, sf):
         Window.partitionBy("p_brand").orderBy(F.col("n").desc(), "l_partkey"))).where("r <= 3")
     rec = topb.select("o_custkey", "p_brand").join(topp.select("p_brand", "l_partkey"), "p_brand")
     seen = cl.select("o_custkey", "l_partkey")
-    rec = rec.join(seen, ["o_custkey", "l_partkey"], "left_anti")
+    rec = anti(rec, seen, ["o_custkey", "l_partkey"])     # seen pairs deduped first
     return rec.select("o_custkey", F.col("l_partkey").alias("rec_partkey"), "p_brand")
