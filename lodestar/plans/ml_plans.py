@@ -134,10 +134,13 @@ def m_als_recommend(spark, sf):
     t = Tables(spark, sf)
     r = t.lineitem.select("l_orderkey", "l_partkey").join(
         t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    ratings = r.groupBy(F.col("o_custkey").cast("int").alias("user"),
-                        F.col("l_partkey").cast("int").alias("item")).agg(
+    counts = r.groupBy("o_custkey", "l_partkey").agg(
         F.count(F.lit(1)).cast("float").alias("rating"))
-    ratings = ratings.withColumn("rk", F.col("user").cast("bigint") * 1000003 + F.col("item"))
+    users_ix = M.dense_ids(counts, "o_custkey", "user")        # 64-bit keys -> int ids
+    items_ix = M.dense_ids(counts, "l_partkey", "item")
+    ratings = counts.join(users_ix, "o_custkey").join(items_ix, "l_partkey")
+    ratings = ratings.select("user", "item", "rating",
+                             F.concat_ws(":", "o_custkey", "l_partkey").alias("rk"))
     train, test = _split(ratings, "rk")
     model = M.als().fit(train)
     err = V.rmse(model.transform(test), label="rating")
