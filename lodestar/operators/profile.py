@@ -123,12 +123,10 @@ def summary_long(df: DataFrame, cols: Sequence[str],
         q = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, {', '.join(names)})")
     else:
         from lodestar.operators.windows import exact_quantiles
-        parts = [exact_quantiles(df.select(F.col(c).cast("double").alias("_x")), [], "_x", pcts,
-                                 names=names).select(F.lit(c).alias("column"), *names)
-                 for c in cols]
-        q = parts[0]
-        for x in parts[1:]:
-            q = q.unionByName(x)
+        # every column at once: unpivot to (column, value) and rank per column
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+            [], list(cols), "column", "_x")
+        q = exact_quantiles(long, "column", "_x", pcts, names=names)
     # both sides are one row per column (bounded by the schema width)
     return base.join(F.broadcast(q), "column")
 
