@@ -34,9 +34,10 @@ def agg_spec(spec: dict[str, str | Sequence[str]]) -> list[Column]:
     return out
 
 
-def global_agg(df: DataFrame, spec: dict[str, str | Sequence[str]]) -> DataFrame:
-    """A1/A2: one-row aggregate, a single pass."""
-    return df.agg(*agg_spec(spec))
+def global_agg(df: DataFrame, spec: dict[str, str | Sequence[str]], *extra: Column) -> DataFrame:
+    """A1/A2: one-row aggregate, a single pass (``extra``: more aggregate
+    columns, e.g. a row count)."""
+    return df.agg(*extra, *agg_spec(spec))
 
 
 def group_agg(df: DataFrame, keys: str | Sequence[str],

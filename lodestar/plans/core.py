@@ -113,7 +113,7 @@ def p_transform_chain(spark, sf):
         return df.withColumn("solvent", F.col("c_acctbal") >= 0)
 
     out = R.pipe(c, no_auto, typed, flagged).drop("c_name", "c_mktsegment", "c_acctbal")
-    return R.rename(out, {"c_custkey": "id", "c_nationkey": "nation"})
+    return R.rename_all(out, ["id", "nation", "bal_int", "solvent"])   # positional
 
 
 @query("p_point_lookup", "P19", sql="""
@@ -266,8 +266,8 @@ SELECT count(*) AS n_rows, round(sum(o_totalprice), 2) AS sum_o_totalprice,
 FROM orders""")
 def a_global_totals(spark, sf):
     o = Tables(spark, sf).orders
-    g = o.agg(F.count(F.lit(1)).alias("n_rows"), *A.agg_spec(
-        {"o_totalprice": ["sum", "avg", "min", "max"], "o_custkey": "count_distinct"}))
+    g = A.global_agg(o, {"o_totalprice": ["sum", "avg", "min", "max"], "o_custkey": "count_distinct"},
+                     F.count(F.lit(1)).alias("n_rows"))
     return g.select("n_rows", F.round("sum_o_totalprice", 2).alias("sum_o_totalprice"),
                     F.round("avg_o_totalprice", 4).alias("avg_o_totalprice"),
                     "min_o_totalprice", "max_o_totalprice", "count_distinct_o_custkey")

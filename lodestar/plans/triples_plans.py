@@ -11,6 +11,7 @@ from lodestar.operators import triples as G
 from lodestar.operators.joins import anti
 from lodestar.plans.registry import query
 from lodestar.session import scratch_dir
+from lodestar.sources import files as IO
 from lodestar.tables import Tables
 
 _GRAPH_SQL = """g AS (
@@ -71,7 +72,7 @@ def g_turtle_roundtrip(spark, sf):
     g = G.part_graph(Tables(spark, sf).part)
     path = scratch_dir(spark, f"turtle-{uuid.uuid4().hex}")
     G.to_turtle_lines(g).write.mode("overwrite").text(path)
-    back = G.parse_turtle_lines(spark.read.text(path))
+    back = G.parse_turtle_lines(IO.read_text(spark, path))
     return back.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count("datatype").alias("n_typed"))
 
 
