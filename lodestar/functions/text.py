@@ -30,7 +30,7 @@ def _c(x) -> Column:
 
 def words(text) -> Column:
     """Whitespace split (empty tokens removed)."""
-    return F.filter(F.split(_c(text), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(_c(text), r"\s+"), "")   # no per-word lambda
 
 
 def clean_word(word) -> Column:
