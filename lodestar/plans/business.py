@@ -330,7 +330,7 @@ def b22_price_vs_market(spark, sf):
     price; both from exact decimal sums (order-independent)."""
     li = Tables(spark, sf).lineitem
     ps = li.groupBy("l_partkey", "l_suppkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("v"),
+        B.units_sum(B.cents("l_extendedprice"), 2).alias("v"),
         F.sum("l_quantity").alias("q"))
     m = ps.groupBy("l_partkey").agg(
         (F.sum("v").cast("double") / F.sum("q")).alias("market"))
