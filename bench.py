@@ -34,18 +34,28 @@ def main() -> None:
     spark = get_session("lodestar-bench", f"local[{cpus}]", int(cpus) * 2)
     entries = load_all()
     out = {}
+    failed = []
     for name in HEADLINE:
         times = []
-        for _ in range(runs + 1):                      # first run warms up
-            t0 = time.perf_counter()
-            entries[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - t0)
+        try:
+            for _ in range(runs + 1):                  # first run warms up
+                t0 = time.perf_counter()
+                entries[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report, keep measuring the rest
+            failed.append(name)
+            print(f"bench: {name} failed: {str(e)[:200]}", file=sys.stderr)
+            continue
         out[name] = round(statistics.median(times[1:]), 3)
-    extra, rates = baseline_comparisons(spark, sf_dir, runs)
+    try:
+        extra, rates = baseline_comparisons(spark, sf_dir, runs)
+    except Exception as e:  # noqa: BLE001
+        print(f"bench: baseline comparisons failed: {str(e)[:200]}", file=sys.stderr)
+        extra, rates = {}, {}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(out.values()), 3),
                       "unit": "sec", "queries": {**out, **extra}, "sf": sf,
-                      "throughput_vs_baseline": rates}))
+                      "throughput_vs_baseline": rates, "failed": failed}))
 
 
 def baseline_comparisons(spark, sf_dir, runs):
