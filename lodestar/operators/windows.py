@@ -33,7 +33,10 @@ def _parts(df: DataFrame, parts: int | None) -> int:
     rows, so it stays a small broadcast)."""
     if parts:
         return parts
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return df.sparkSession.sparkContext.defaultParallelism
 
 
 def top_n_per_group(df: DataFrame, keys, order: Sequence[Column], n: int,
