@@ -155,3 +155,23 @@ def s_churn_records(spark, sf):
     return ch.groupBy("ContractType").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("Churn") == "Yes", 1.0).otherwise(0.0)).alias("churn_rate"),
         F.avg("TechSupportCalls").alias("avg_calls"), F.avg("TenureMonths").alias("avg_tenure"))
+
+
+@query("s_bucketed_join", "S15 J1 A5", sql="""
+SELECT o_orderpriority, count(*) AS n_lines, round(sum(l_extendedprice), 2) AS gross
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderpriority""")
+def s_bucketed_join(spark, sf):
+    """Co-located join: orders and lineitem written as tables bucketed (and
+    sorted) on the order key with the same bucket count; the sort-merge join
+    then reads matching buckets with no exchange on either side."""
+    base = _dir(spark, "bjoin")
+    t = Tables(spark, sf)
+    tag = uuid.uuid4().hex[:8]
+    IO.save_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), f"lodestar_bo_{tag}",
+                     "o_orderkey", 8, ["o_orderkey"], path=f"{base}/o")
+    IO.save_bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), f"lodestar_bl_{tag}",
+                     "l_orderkey", 8, ["l_orderkey"], path=f"{base}/l")
+    o, li = spark.table(f"lodestar_bo_{tag}"), spark.table(f"lodestar_bl_{tag}")
+    j = o.hint("merge").join(li, o.o_orderkey == li.l_orderkey)
+    return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_lines"),
+                                            F.round(F.sum("l_extendedprice"), 2).alias("gross"))

@@ -45,3 +45,11 @@ def test_filters_pushed_to_scan(spark):
 def test_latest_per_key_is_an_aggregate(spark):
     p = _plan(spark, "w_latest_event_per_user")
     assert "Window" not in p and "partial_max" in p
+
+
+def test_bucketed_join_has_no_exchange_below_the_join(spark):
+    df = E["s_bucketed_join"].build(spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    below = p[p.index("SortMergeJoin"):]
+    assert "Exchange" not in below and "Bucketed: true" in below
