@@ -86,8 +86,8 @@ def _register():
     def k_latest_state(spark, sf):
         base = _land(spark, sf, "k6")
         s = K.event_stream(spark, f"{base}/landing", files_per_batch=8)
-        K.run_upserting(K.latest_state(s), f"{base}/out", f"{base}/ckpt").awaitTermination()
-        return spark.read.parquet(f"{base}/out")
+        K.run_changes(K.latest_state(s), f"{base}/out", f"{base}/ckpt").awaitTermination()
+        return K.read_changes(spark, f"{base}/out", "user_id")
 
     @query("k_lambda_merge", "K7 U1", sql="""
     SELECT event_type, count(*) AS n FROM events GROUP BY 1""")
@@ -100,8 +100,8 @@ def _register():
         batch_mart = hist.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
         s = K.event_stream(spark, f"{base}/landing", files_per_batch=8).where(F.col("ts") >= cut)
         speed = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-        K.run_upserting(speed, f"{base}/speed", f"{base}/ckpt").awaitTermination()
-        merged = batch_mart.unionByName(spark.read.parquet(f"{base}/speed"))
+        K.run_changes(speed, f"{base}/speed", f"{base}/ckpt").awaitTermination()
+        merged = batch_mart.unionByName(K.read_changes(spark, f"{base}/speed", "event_type"))
         return merged.groupBy("event_type").agg(F.sum("n").alias("n"))
 
     @query("k_score_stream", "K8 M1 E4")
