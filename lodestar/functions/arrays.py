@@ -1,11 +1,12 @@
 """Series-in-an-array functions (survey F7-F15, W4-W6, E9, D10, Q3-Q5).
 
-All are Catalyst higher-order functions (``transform``, ``aggregate``,
-``zip_with``, ``slice``, ``sequence``): they run inside whole-stage codegen
-on the executors, with no Python worker and no per-row serialisation —
-the reference used row-at-a-time Python UDFs for the same work.
-Inputs are arrays whose length is bounded by one series (a workout, a
-user-day); unbounded series use the row-form windows in
+All are Catalyst expressions and higher-order functions (``transform``,
+``aggregate``, ``zip_with``, ``slice``, ``sequence``): they run in the
+executor JVM with no Python worker and no per-row serialisation — the
+reference used row-at-a-time Python UDFs for the same work. Lambda bodies
+are interpreted rather than code-generated, so folds are kept single-pass.
+Inputs are arrays whose length is bounded by one series (a workout of at
+most 50 events); unbounded series use the row-form operators in
 ``operators.windows``.
 """
 
@@ -100,8 +101,11 @@ def rolling_std_mean(a, width: int = 5) -> Column:
 
 
 def trailing(a, k: int) -> Column:
-    """the last k elements."""
-    return F.slice(_c(a), -k, k)
+    """the last k elements — the whole array when it is shorter (as
+    a Python ``a[-k:]``; a negative ``slice`` start past the front would
+    return an empty array)."""
+    a = _c(a)
+    return F.slice(a, F.greatest(F.size(a) - k + 1, F.lit(1)), F.lit(k))
 
 
 def relative_to_start(epoch_arr) -> Column:

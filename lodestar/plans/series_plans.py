@@ -53,7 +53,8 @@ SELECT user_id, chunk,
        round((list_max(ts) - list_min(ts)) / 60.0, 6) AS duration_min,
        round((list_max(ts) - list_min(ts)) % 86400 / 60.0, 6) AS duration_wrapped_min,
        list_max(iv) AS max_interval, CAST(len(iv) AS INTEGER) AS n_intervals,
-       CAST(list_sum(iv) AS BIGINT) AS sum_interval
+       CAST(list_sum(iv) AS BIGINT) AS sum_interval,
+       CAST(list_sum(list_slice(iv, greatest(len(iv) - 4, 1), len(iv))) AS BIGINT) AS last5_interval_sum
 FROM d""")
 def s_time_features(spark, sf):
     s = workout_series(Tables(spark, sf).events)
@@ -64,7 +65,9 @@ def s_time_features(spark, sf):
         F.round(X.duration_min("ts"), 6).alias("duration_min"),
         F.round(X.duration_min("ts", wrap_days=True), 6).alias("duration_wrapped_min"),
         F.array_max(iv).alias("max_interval"), F.size(iv).alias("n_intervals"),
-        F.aggregate(iv, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_interval"))
+        F.aggregate(iv, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_interval"),
+        F.aggregate(X.trailing(iv, 5), F.lit(0).cast("bigint"), lambda a, x: a + x)
+         .alias("last5_interval_sum"))
 
 
 @query("s_per_user_series_stats", "A12 X5 H5", sql="""

@@ -101,3 +101,9 @@ def test_trend_and_rolling_std(spark):
     stds = [np.std(vals[i:i + 5]) for i in range(len(vals) - 4)]
     assert math.isclose(r[0][1], float(np.mean(stds)))
     assert r[1][0] == 0.0 and r[1][1] == 0.0
+
+
+def test_trailing_slice_short_arrays(spark):
+    df = spark.createDataFrame([([1, 2, 3],), ([1, 2, 3, 4, 5, 6, 7],), ([],)], "a array<int>")
+    got = [r[0] for r in df.select(X.trailing("a", 5)).collect()]
+    assert got == [[1, 2, 3], [3, 4, 5, 6, 7], []]
