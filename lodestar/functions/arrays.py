@@ -53,7 +53,8 @@ def intervals(epoch_arr, wrap: bool = False) -> Column:
     (``pmod(d, 86400)``)."""
     a = _c(epoch_arr)
     n = F.size(a)
-    diffs = F.zip_with(F.slice(a, 2, n - 1), F.slice(a, 1, n - 1), lambda x, y: x - y)
+    m = F.greatest(n - 1, F.lit(0))                   # empty input: no diffs
+    diffs = F.zip_with(F.slice(a, 2, m), F.slice(a, 1, m), lambda x, y: x - y)
     if wrap:
         diffs = F.transform(diffs, lambda d: F.pmod(d, F.lit(86400)))
     return F.when(n == 1, F.array(F.lit(0).cast("bigint"))).otherwise(diffs)
