@@ -52,11 +52,17 @@ def line_series(df: DataFrame, x: Column, y: str) -> DataFrame:
               .orderBy("x"))
 
 
-def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5,
+              approx: bool = False) -> DataFrame:
     """Quartiles, whiskers (the most extreme values inside the fences)
-    and outlier counts per group, over all rows (no sampling)."""
+    and outlier counts per group, over all rows (no sampling). Quartiles are
+    exact and distributed, or with ``approx`` from bounded sketches."""
     from lodestar.operators.windows import exact_quantiles
-    q = exact_quantiles(df, key, value, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
+    if approx:
+        q = df.groupBy(key).agg(*[F.percentile_approx(value, p, 10000).alias(n) for p, n in
+                                  ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    else:
+        q = exact_quantiles(df, key, value, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     fence = q.select(key, "q1", "median", "q3",
                      (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("_lf"),
                      (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("_uf"))

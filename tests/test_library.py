@@ -53,3 +53,13 @@ def test_read_text_and_fetch(spark, tmp_path):
     Tables(spark, SF_SMALL).region.select(F.col("r_name").alias("value")).write.text(p)
     assert sorted(r.value for r in IO.read_text(spark, p).collect()) == \
         sorted(r.r_name for r in Tables(spark, SF_SMALL).region.collect())
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    from lodestar.operators.charts import box_stats
+    e = Tables(spark, SF_SMALL).events
+    ex = {r.event_type: r for r in box_stats(e, "event_type", "value").collect()}
+    ap = {r.event_type: r for r in box_stats(e, "event_type", "value", approx=True).collect()}
+    assert ex.keys() == ap.keys()
+    for k in ex:
+        assert abs(ex[k].median - ap[k].median) <= 0.05 * max(1.0, abs(ex[k].median))
