@@ -9,7 +9,7 @@ from lodestar.operators import aggregates as A
 from lodestar.operators import joins as J
 from lodestar.operators import relational as R
 from lodestar.operators import reshape as H
-from lodestar.operators.business import NET_SQL, money, money_sql
+from lodestar.operators.business import NET_SQL, money, money_sql, net_sum
 from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, dirty_customer
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
@@ -240,10 +240,10 @@ def j_attach_by_key(spark, sf):
 # --------------------------------------------------------------- A-series
 
 
-@query("a_flag_status_summary", "A1 A2 A4 A5 A6", sql="""
+@query("a_flag_status_summary", "A1 A2 A4 A5 A6", sql=f"""
 SELECT l_returnflag, l_linestatus,
        round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
-       round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
+       {money_sql(f"sum({NET_SQL})")} AS sum_disc_price,
        round(avg(l_quantity), 6) AS avg_qty, round(avg(l_discount), 6) AS avg_disc,
        min(l_shipdate) AS min_ship, max(l_shipdate) AS max_ship, count(*) AS count_order
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
@@ -252,7 +252,7 @@ def a_flag_status_summary(spark, sf):
     return li.groupBy("l_returnflag", "l_linestatus").agg(
         F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
         F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc_price"),
+        money(net_sum()).alias("sum_disc_price"),
         F.round(F.avg("l_quantity"), 6).alias("avg_qty"),
         F.round(F.avg("l_discount"), 6).alias("avg_disc"),
         F.min("l_shipdate").alias("min_ship"), F.max("l_shipdate").alias("max_ship"),
