@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestar.functions.numeric import fixed, fixed_sql
 from lodestar.operators import aggregates as A
 from lodestar.operators import joins as J
 from lodestar.operators import relational as R
@@ -17,9 +18,9 @@ from lodestar.tables import Tables
 # --------------------------------------------------------------- P-series
 
 
-@query("p_part_predicates", "P1 P3 P4 P7 P8 P9 P10 P13 F1 S14 Q18", sql="""
+@query("p_part_predicates", "P1 P3 P4 P7 P8 P9 P10 P13 F1 S14 Q18", sql=f"""
 SELECT p_partkey, left(p_name, 3) AS name3, CAST(length(p_name) AS INTEGER) AS name_len,
-       round(p_retailprice * 1.1, 2) AS price_up, 'catalog' AS src,
+       {fixed_sql("p_retailprice * 1.1", 2)} AS price_up, 'catalog' AS src,
        p_size IN (5, 10, 15, 20) AS size_flag
 FROM part
 WHERE p_name LIKE '%ring%' AND p_brand NOT LIKE 'Brand#1%' AND p_type LIKE '%O%'
@@ -34,7 +35,7 @@ def p_part_predicates(spark, sf):
     return q.select(
         "p_partkey", F.left("p_name", F.lit(3)).alias("name3"),
         F.length("p_name").alias("name_len"),
-        F.round(F.col("p_retailprice") * 1.1, 2).alias("price_up"),
+        fixed(F.col("p_retailprice") * 1.1, 2).alias("price_up"),
         F.lit("catalog").alias("src"),
         F.col("P_SIZE").isin(5, 10, 15, 20).alias("size_flag"))  # Q18: case-insensitive resolution
 
