@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import sharding
+from lodestar.llm import sharding, topk
 from lodestar.llm.common import read_table
 
 
@@ -21,8 +21,32 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", "grown_shard")
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op10_topk": op10_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_topk": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)
+                            FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(range(1, len(a.q) + 1),
+                        lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+                             AND len(a.q) = len(b.q)),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id
+                                              ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+}
