@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import sharding, topk
+from lodestar.llm import decontaminate, sharding, topk
 from lodestar.llm.common import read_table
 
 
@@ -21,16 +21,62 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", "grown_shard")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find_hits(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hit_words", F.lit(0).cast("long"),
+                        lambda n, s: n + s["stop"] - s["start"])
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                      F.size("items").cast("long").alias("n_items"),
+                      F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
+                      (n_hit > 0).alias("contaminated"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_decontaminate": op3_decontaminate,
     "op10_topk": op10_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+            FROM benchmark WHERE item_id IS NOT NULL),
+        p AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n,
+                   array_to_string(w[i:i + 9], ' ') AS s
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+                  FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM p),
+        x AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM d, sizes WHERE len(w) >= n)),
+        hit AS (SELECT x.doc_id, x.n, x.i, p.item_id FROM x JOIN p USING (n, s)),
+        words AS (
+            SELECT doc_id, count(DISTINCT k) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id),
+        ids AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit)
+            GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""",
     "op10_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)
