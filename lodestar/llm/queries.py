@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, sharding, topk
+from lodestar.llm import decontaminate, sharding, token_counts, topk
 from lodestar.llm.common import read_table
 
 
@@ -21,6 +21,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", "grown_shard")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    out = token_counts.count_tokens(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_hits(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                   read_table(spark, sf_dir, "benchmark"))
@@ -39,6 +47,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
     "op10_topk": op10_topk,
 }
