@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, sharding, token_counts, topk
+from lodestar.llm import decontaminate, sharding, substring_dedup, token_counts, topk
 from lodestar.llm.common import read_table
 
 
@@ -41,6 +41,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (n_hit > 0).alias("contaminated"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.drop_repeated_spans(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
 }
 
@@ -86,6 +94,28 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""",
+    "op9_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        x AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i
+                  FROM d WHERE len(w) >= 13)),
+        f AS (SELECT s, min(doc_id) AS least FROM x GROUP BY s),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k
+            FROM x JOIN f USING (s) WHERE doc_id > least),
+        word AS (
+            SELECT doc_id, w[k] AS v, k
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d)),
+        kept AS (
+            SELECT doc_id, string_agg(v, ' ' ORDER BY k) AS t, count(*) AS n
+            FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op10_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)
