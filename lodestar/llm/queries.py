@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, sharding, substring_dedup, token_counts, topk
+from lodestar.llm import (
+    decontaminate, jaccard_join, sharding, substring_dedup, token_counts, topk)
 from lodestar.llm.common import read_table
 
 
@@ -41,6 +42,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (n_hit > 0).alias("contaminated"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.join_components(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.drop_repeated_spans(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -56,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
 }
