@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    decontaminate, jaccard_join, sharding, substring_dedup, token_counts, topk)
+    decontaminate, jaccard_join, packing, sharding, substring_dedup, token_counts, topk)
 from lodestar.llm.common import read_table
 
 
@@ -42,6 +42,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (n_hit > 0).alias("contaminated"))
 
 
+def pack_documents(docs: DataFrame) -> DataFrame:
+    import public_tokenizers as p
+    return packing.pack(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"),
+                        p.PATTERN)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.join_components(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -63,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
