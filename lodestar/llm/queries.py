@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    decontaminate, jaccard_join, packing, sharding, substring_dedup, token_counts, topk)
+    decontaminate, jaccard_join, packing, quality, sharding, substring_dedup, token_counts, topk)
 from lodestar.llm.common import read_table
 
 
@@ -52,6 +52,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.join_components(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
+    "op6_quality": op6_quality,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
