@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    decontaminate, jaccard_join, packing, quality, sharding, substring_dedup, token_counts, topk)
+    decontaminate, jaccard_join, packing, quality, sharding, substring_dedup, token_counts, topk,
+    toxicity)
 from lodestar.llm.common import read_table
 
 
@@ -65,6 +66,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.drop_repeated_spans(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_quality": op6_quality,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
 }
