@@ -241,8 +241,8 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     its shingles counted; its class and component are null. Rows that repeat
     an id are one node with the links of each of them. An empty table gives
     no rows; texts of any length are taken whole."""
-    if not 50 < percent < 100:
-        raise ValueError("percent must lie between 50 and 100")
+    if not 67 <= percent < 100:                             # bands link to the next at most
+        raise ValueError("percent must lie in 67 .. 99")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     member = materialise(
         rows.mapInArrow(_sets(n), "doc long, size long, a long, b long"), "members")
