@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, without
+from lodestar.llm.common import materialise, unused, without
 
 OUTPUTS = ("n_lines", "n_dropped")
 VARIABLE = b"<*>"
@@ -72,14 +72,14 @@ def _keys(general: int, least: int):
     return run
 
 
-def _drop(text_col: str, most: float):
+def _drop(text_col: str, dropped: str, most: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             at = names.index(text_col)
             texts, n_lines, n_dropped = [], [], []
             for value, gone in zip(batch.column(at).to_pylist(),
-                                   batch.column(names.index("_gone")).to_pylist(), strict=True):
+                                   batch.column(names.index(dropped)).to_pylist(), strict=True):
                 lines = value.split("\n") if value else []
                 gone = set(gone or ())
                 if gone:
@@ -91,7 +91,7 @@ def _drop(text_col: str, most: float):
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in gone)
                              if gone else value)
             columns = dict(zip(names, batch.columns, strict=True))
-            del columns["_gone"]
+            del columns[dropped]
             columns |= {text_col: pa.array(texts, pa.string()),
                         "n_lines": pa.array(n_lines, pa.int64()),
                         "n_dropped": pa.array(n_dropped, pa.int64())}
@@ -116,6 +116,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, l
     removes another's lines; a line repeated within one document counts once.
     An empty table gives no rows."""
     df = without(docs, *OUTPUTS)
+    i, j, a, b, dropped = unused(df, "_id", "_sum", "_doc", "_crc", "_dropped")
     lines = materialise(
         df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
         .filter("doc is not null and text is not null")
@@ -126,11 +127,11 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, l
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
     gone = (lines.select("doc", "crc", "line", F.explode("keys").alias("key"))
             .join(recurring, "key").filter("doc > keeper")
-            .groupBy("doc", "crc").agg(F.collect_set("line").alias("_gone"))
-            .withColumnsRenamed({"doc": "_doc", "crc": "_crc"}))
-    keyed = df.withColumns({"_id": F.col(id_col).cast("long"),
-                            "_sum": F.crc32(F.col(text_col).cast("binary"))})
-    joined = (keyed.join(gone, (F.col("_id") == F.col("_doc")) & (F.col("_sum") == F.col("_crc")),
-                         "left").drop("_id", "_sum", "_doc", "_crc"))
+            .groupBy("doc", "crc").agg(F.collect_set("line").alias(dropped))
+            .withColumnsRenamed({"doc": a, "crc": b}))
+    keyed = df.withColumns({i: F.col(id_col).cast("long"),
+                            j: F.crc32(F.col(text_col).cast("binary"))})
+    joined = keyed.join(gone, (F.col(i) == F.col(a)) & (F.col(j) == F.col(b)), "left").drop(
+        i, j, a, b)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return joined.mapInArrow(_drop(text_col, most), f"{fields}, n_lines long, n_dropped long")
+    return joined.mapInArrow(_drop(text_col, dropped, most), f"{fields}, n_lines long, n_dropped long")

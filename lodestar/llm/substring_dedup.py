@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import shuffle_partitions, text_bytes, without
+from lodestar.llm.common import shuffle_partitions, text_bytes, unused, without
 from lodestar.llm.hashing import mix, sliding_min, window_hashes, word_hashes
 
 OUTPUTS = ("n_words", "n_removed", "removed", "kept_text")
@@ -233,14 +233,15 @@ def drop_repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id
     that repeat an id never remove each other's words. Empty tables give no
     rows; texts of any length are worked through whole."""
     df = without(docs, *OUTPUTS)
+    i, j, a, b = unused(df, "_id", "_sum", "_doc", "_crc")
     spans = (repeated_spans(df, window, id_col=id_col, text_col=text_col, **kw)
              .groupBy("doc", "crc")
              .agg(F.collect_list(F.struct("start", "stop")).alias("removed"))
-             .withColumnsRenamed({"doc": "_doc", "crc": "_crc"}))
-    keyed = df.withColumns({"_id": F.col(id_col).cast("long"),
-                            "_sum": F.crc32(F.col(text_col).cast("binary"))})
-    joined = (keyed.join(spans, (F.col("_id") == F.col("_doc")) & (F.col("_sum") == F.col("_crc")),
-                         "left").drop("_id", "_sum", "_doc", "_crc"))
+             .withColumnsRenamed({"doc": a, "crc": b}))
+    keyed = df.withColumns({i: F.col(id_col).cast("long"),
+                            j: F.crc32(F.col(text_col).cast("binary"))})
+    joined = keyed.join(spans, (F.col(i) == F.col(a)) & (F.col(j) == F.col(b)), "left").drop(
+        i, j, a, b)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return joined.mapInArrow(_remove(text_col), f"{fields}, n_words long, n_removed long, removed "
                              "array<struct<start:int,stop:int>>, kept_text string")
