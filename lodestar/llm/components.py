@@ -1,6 +1,11 @@
-"""Connected components of a link table, by alternating large and small star
-steps (each a minimum per node, combined before the shuffle, and a join that
-adaptive execution can split), with lineage cut after every round."""
+"""Connected components of a link table, by hooking and contraction.
+
+Every node hooks to its smallest neighbour (a minimum per node, combined
+before its shuffle), pointers double until they reach the roots of that
+forest, and links between different roots form the next, at most half as
+large, graph. Lineage is cut after every step; nothing is gathered on the
+driver but emptiness flags.
+"""
 
 from __future__ import annotations
 
@@ -10,37 +15,42 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import materialise
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """links: distinct (u, v), u > v. Every node's neighbours move to the
-    smallest of them: the larger ones (large) or the others (small)."""
-    both = links.select(F.col("u").alias("n"), F.col("v").alias("m"))
-    if large:
-        both = both.unionByName(links.select(F.col("v").alias("n"), F.col("u").alias("m")))
-    least = both.groupBy("n").agg(F.min("m").alias("m0")).select(
-        "n", F.least("n", "m0").alias("least"))
-    moved = both.join(least, "n")
-    if large:
-        moved = moved.filter("m > n").select(F.col("m").alias("u"), F.col("least").alias("v"))
-    else:
-        moved = (moved.select(F.col("m").alias("u"), F.col("least").alias("v"))
-                 .unionByName(least.select(F.col("n").alias("u"), F.col("least").alias("v"))))
-    return moved.filter("u <> v").distinct()
+def roots(parents: DataFrame) -> DataFrame:
+    """(node, component): the root each node reaches. ``parents`` (node,
+    parent) has each node at most once, and parent < node."""
+    now = parents.select("node", F.col("parent").alias("component"))
+    while True:
+        up = now.select(F.col("node").alias("at"), F.col("component").alias("above"))
+        step = materialise(now.join(up, F.col("component") == F.col("at"), "left").select(
+            "node", F.coalesce("above", "component").alias("component"),
+            F.col("above").isNotNull().alias("moved")), "roots")
+        now = step.select("node", "component")
+        if step.filter("moved").isEmpty():
+            return now
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (columns u, v; any order,
-    repeats and loops allowed): component is the smallest node reachable."""
-    now = links.filter("u <> v").select(F.greatest("u", "v").alias("u"),
-                                        F.least("u", "v").alias("v")).distinct()
-    now = materialise(now, "links")
-    state = None
-    while True:
-        now = materialise(_star(_star(now, True), False), "links")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003),
-                       F.sum(F.xxhash64("v", "u") % 998_244_353)).first()
-        if state == seen:
-            break
-        state = seen
-    nodes = now.groupBy("u").agg(F.min("v").alias("component"))
-    return nodes.select(F.col("u").alias("node"), "component").unionByName(
-        nodes.select(F.col("component").alias("node"), "component").distinct())
+    repeats and loops allowed) but the smallest of each component: component
+    is the smallest node reachable."""
+    now = materialise(links.filter("u <> v").select("u", "v"), "links")
+    if now.isEmpty():
+        return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    hooks = both.groupBy("u").agg(F.min("v").alias("v")).filter("v < u")
+    found = roots(hooks.select(F.col("u").alias("node"), F.col("v").alias("parent")))
+
+    def named(name: str) -> DataFrame:
+        return found.select(F.col("node").alias(f"n{name}"), F.col("component").alias(f"c{name}"))
+
+    across = (now.join(named("u"), F.col("u") == F.col("nu"), "left")
+              .join(named("v"), F.col("v") == F.col("nv"), "left")
+              .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+              .filter("u <> v").distinct())
+    above = components(across).select(F.col("node").alias("at"), F.col("component").alias("above"))
+    merged = found.join(above, F.col("component") == F.col("at"), "left").select(
+        "node", F.coalesce("above", "component").alias("component"))
+    # roots that a later round joined to smaller ones
+    return merged.unionByName(above.select(F.col("at").alias("node"),
+                                           F.col("above").alias("component")).join(
+        merged.select("node"), "node", "left_anti"))

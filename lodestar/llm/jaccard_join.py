@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import materialise
-from lodestar.llm.components import components
+from lodestar.llm.components import components, roots
 from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
 BAND_RATIO = 1.5
@@ -246,7 +246,9 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     member = materialise(
         rows.mapInArrow(_sets(n), "doc long, size long, a long, b long"), "members")
-    classes = member.filter("size > 0 and doc is not null").groupBy("a", "b").agg(F.min("doc").alias("class"))
+    # written, so that joins on it are plain ones, whose large partitions split
+    classes = materialise(member.filter("size > 0 and doc is not null").groupBy("a", "b")
+                          .agg(F.min("doc").alias("class")), "classes")
     chosen = classes.select(F.col("class").alias("doc")).distinct()
 
     signed = materialise(
@@ -268,8 +270,9 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     first = (first.join(bits.toDF("u", "nu", "bu"), "u").join(bits.toDF("v", "nv", "bv"), "v")
              .select("u", "v", "nu", "nv", "bu", "bv")
              .mapInArrow(_bit_bound(percent), "u long, v long"))
-    links = materialise(_verified(first, sets, percent), "links")
-    found = materialise(components(links), "components")
+    # one leader each, and smaller: the links found form a forest
+    found = roots(_verified(first, sets, percent).distinct().select(
+        F.col("u").alias("node"), F.col("v").alias("parent")))
 
     # meetings of more than one component, tile by tile
     placed = met.select("key", "doc").join(found, F.col("doc") == F.col("node"), "left").select(
@@ -296,12 +299,19 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     twice = (placed.groupBy("doc").agg(F.min("class").alias("v"), F.max("class").alias("last"))
              .filter("v < last").select("doc", "v"))
     ties = placed.join(twice, "doc").select(F.col("class").alias("u"), "v")
-    links = links.unionByName(_verified(pairs, sets, percent)).unionByName(ties)
-    found = materialise(components(links), "components")
-    return placed.join(found, F.col("class") == F.col("node"), "left").select(
-        F.col("doc").alias(id_col), F.col("size").alias("n_shingles"),
-        F.when(F.col("doc").isNotNull(), F.col("class")).alias("class_id"),
-        F.when(F.col("doc").isNotNull(), F.coalesce("component", "class")).alias("component_id"))
+    more = _verified(pairs, sets, percent).unionByName(ties)
+    for end in ("u", "v"):                                  # links between components
+        at = found.select(F.col("node").alias("at"), F.col("component").alias("above"))
+        more = more.join(at, F.col(end) == F.col("at"), "left").withColumn(
+            end, F.coalesce("above", end)).select("u", "v")
+    joined = components(more).select(F.col("node").alias("at"), F.col("component").alias("above"))
+    own = F.coalesce("component", "class")
+    return (placed.join(found, F.col("class") == F.col("node"), "left").withColumn("own", own)
+            .join(joined, F.col("own") == F.col("at"), "left")
+            .select(F.col("doc").alias(id_col), F.col("size").alias("n_shingles"),
+                    F.when(F.col("doc").isNotNull(), F.col("class")).alias("class_id"),
+                    F.when(F.col("doc").isNotNull(), F.coalesce("above", "own"))
+                    .alias("component_id")))
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:

@@ -77,7 +77,8 @@ class Model:
         self.mean, self.scale, self.weights, self.bias = mean, scale, weights, bias
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -LIMIT, LIMIT) @ self.weights + self.bias
+        # row by row: equal texts score alike in any batch
+        return (np.clip((x - self.mean) / self.scale, -LIMIT, LIMIT) * self.weights).sum(1) + self.bias
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -35, 35)))

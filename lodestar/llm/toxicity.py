@@ -78,25 +78,33 @@ class Voters:
 
 def label_model(votes: np.ndarray, first: np.ndarray, prior: float, rounds: int = 12) -> np.ndarray:
     """Posterior of toxicity of each row of ``votes`` (0: abstains). ``first``:
-    posteriors to start from."""
-    n, m = votes.shape
-    p = first
-    for _ in range(rounds):
-        on, off = p.sum() + 1, (1 - p).sum() + 1
-        a1 = (p @ votes + 0.5 * prior) / on                 # fires on toxic / clean rows
-        a0 = ((1 - p) @ votes + 0.5 * (1 - prior)) / off
-        own = np.zeros((m, m))
-        for weight, rate, size in ((p, a1, on), (1 - p, a0, off)):
-            c = votes - rate
-            cov = (c * weight[:, None]).T @ c / size
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            own = np.maximum(own, cov / np.outer(sd, sd))
-        share = 1 / np.maximum(1, np.where(own > 0.3, own, 0).sum(1))
-        logit = np.log(prior / (1 - prior)) + votes @ (share * np.log(a1 / a0))
-        p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+    posteriors to start from. Voters that all but always agree share a vote
+    from the start; what voters share within a class beyond that is estimated
+    from a first fit's posteriors and settles the shares of the second."""
+    same = correlations(votes, np.ones(len(votes)))
+    share = 1 / (same > 0.8).sum(1)
+    for _ in range(2):
+        p = first
+        for _ in range(rounds):
+            a1 = (p @ votes + 0.5 * prior) / (p.sum() + 1)  # fires on toxic / clean rows
+            a0 = ((1 - p) @ votes + 0.5 * (1 - prior)) / ((1 - p).sum() + 1)
+            logit = np.log(prior / (1 - prior)) + votes @ (share * np.log(a1 / a0))
+            p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        tied = np.maximum(correlations(votes, p), correlations(votes, 1 - p))
+        share = np.minimum(share, 1 / np.where(tied > 0.3, tied, 0).sum(1))
     return p
 
 
+def correlations(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Between voters, over rows of these weights; 1 with themselves."""
+    c = votes - weight @ votes / max(weight.sum(), 1e-9)
+    cov = (c * weight[:, None]).T @ c
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    out = cov / np.outer(sd, sd)
+    np.fill_diagonal(out, 1)
+    return out
+
+
 def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float = 1e-4,
                rate: float = 0.1) -> np.ndarray:
     """Logistic regression on soft targets; the last weight is the bias."""
@@ -201,7 +209,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text",
             column = batch.column(batch.schema.names.index(text_col))
             s = np.zeros(len(column))
             if model and len(column):
-                z = np.array([voters.votes(t.as_py()) @ model.weights[:-1] for t in column])
+                z = np.array([(voters.votes(t.as_py()) * model.weights[:-1]).sum() for t in column])
                 s = 1 / (1 + np.exp(-np.clip(z + model.weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))],
