@@ -41,10 +41,10 @@ def normal(text: str | None) -> bytes:
 def terms_of(text: str | None) -> set[bytes]:
     """What lexicon voters may look for in a text: " word " or " begin"."""
     out = set()
-    for w in set(normal(text).split()):
+    for w in set(normal(text).decode().split(" ")):
         if len(w) > 2:
-            out.add(b" " + w + b" ")
-            out.update(b" " + w[:n] for n in BEGINNINGS if len(w) > n)
+            out.add(f" {w} ".encode())
+            out.update(f" {w[:n]}".encode() for n in BEGINNINGS if len(w) > n)
     return out
 
 
@@ -91,7 +91,7 @@ def label_model(votes: np.ndarray, first: np.ndarray, prior: float, rounds: int
             logit = np.log(prior / (1 - prior)) + votes @ (share * np.log(a1 / a0))
             p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         tied = np.maximum(correlations(votes, p), correlations(votes, 1 - p))
-        share = np.minimum(share, 1 / np.where(tied > 0.3, tied, 0).sum(1))
+        share = np.minimum(share, 1 / np.where(tied > 0.5, tied, 0).sum(1))
     return p
 
 
@@ -119,6 +119,18 @@ def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: floa
     return w
 
 
+def covering(votes: np.ndarray, least: int = 3, twice: int = 4) -> list[int]:
+    """Terms (columns, most telling first) that fire on ``least`` toxic rows or
+    more where fewer than ``twice`` terms before them do. Words that toxic rows
+    share only because they are near copies of each other stay out."""
+    kept, heard = [], np.zeros(len(votes))
+    for j, fires in enumerate(votes.T):
+        if (fires * (heard < twice)).sum() >= least:
+            kept.append(j)
+            heard += fires
+    return kept
+
+
 class Model:
     def __init__(self, terms: list[bytes], weights: np.ndarray):
         self.terms, self.weights = terms, weights
@@ -172,17 +184,23 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = 4000, clean_sa
              .select("y", F.explode("terms").alias("term")).groupBy("term")
              .agg(F.sum("y").cast("double").alias("toxic"),
                   F.sum(1 - F.col("y")).cast("double").alias("clean"))
-             .filter((toxic >= 3) & (toxic / n >= 0.5 + share / 2))
+             .filter((toxic >= 3) & (toxic / n >= 0.97))
              .withColumn("telling", telling).filter(F.col("telling") >= TELLING)
              .orderBy(F.desc("telling"), "term").limit(lexicon).collect())
     terms = [bytes(r["term"]) for r in found]
     if not terms:
         return None
-    rows = texts.mapInArrow(_votes(terms), "y int, fired array<int>").toArrow()
-    votes = np.zeros((rows.num_rows, len(terms) + N_PATTERNS))
-    for i, fired in enumerate(rows.column("fired").to_pylist()):
-        votes[i, fired] = 1
-    y = np.array(rows.column("y").to_pylist(), float)
+
+    def voted() -> tuple[np.ndarray, np.ndarray]:
+        rows = texts.mapInArrow(_votes(terms), "y int, fired array<int>").toArrow()
+        votes = np.zeros((rows.num_rows, len(terms) + N_PATTERNS))
+        for i, fired in enumerate(rows.column("fired").to_pylist()):
+            votes[i, fired] = 1
+        return votes, np.array(rows.column("y").to_pylist(), float)
+
+    votes, y = voted()
+    terms = [terms[j] for j in covering(votes[y == 1, :len(terms)])]
+    votes, y = voted()
     order = np.lexsort((y, *votes.T[::-1]))                 # rows come in any order
     votes, y = votes[order], y[order]
     heard = votes[:, :len(terms)].any(1)
