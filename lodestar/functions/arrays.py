@@ -64,20 +64,17 @@ def mean(a) -> Column:
     """fold with a finish step; NULL for an empty array."""
     a = as_double(a)
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x,
-                       lambda acc: acc / F.size(a))
+                       lambda acc: F.try_divide(acc, F.size(a)))
 
 
 def std_pop(a) -> Column:
-    """Population standard deviation of an array: one fold carrying
-    (sum, sum of squares) — higher-order functions are interpreted, so a
-    single pass matters; variance is clamped at 0 against rounding."""
+    """Population standard deviation of an array: deviations from the mean
+    are squared and summed (sums of squares would cancel for large values
+    close together); NULL for an empty array."""
     a = as_double(a)
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
-    acc = F.aggregate(a, zero, lambda c, x: F.struct((c["s"] + x).alias("s"),
-                                                    (c["q"] + x * x).alias("q")))
-    n = F.size(a)
-    mu = acc["s"] / n
-    return F.sqrt(F.greatest(acc["q"] / n - mu * mu, F.lit(0.0)))
+    mu = mean(a)
+    squares = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu))
+    return F.sqrt(F.try_divide(squares, F.size(a)))
 
 
 def trend(a, min_len: int = 4) -> Column:

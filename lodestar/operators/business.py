@@ -47,11 +47,11 @@ NET_SQL = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECI
 def money(c):
     """Exact decimal amount -> cents -> double (for reports)."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(18,2)").cast("double")
+    return c.cast("decimal(38,2)").cast("double")
 
 
 def money_sql(expr: str) -> str:
-    return f"CAST(CAST({expr} AS DECIMAL(18,2)) AS DOUBLE)"
+    return f"CAST(CAST({expr} AS DECIMAL(38,2)) AS DOUBLE)"
 
 
 def part_revenue(lineitem: DataFrame) -> DataFrame:

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 
 def _bin(x: Column, lo, width, bins: int) -> Column:
-    # last bin closed: the maximum falls into bin bins-1, not bins
-    return F.least(F.floor((x - lo) / width).cast("int"), F.lit(bins - 1))
+    # last bin closed: the maximum falls into bin bins-1, not bins; a constant
+    # column (width 0) has all its rows in bin 0 and no density
+    return F.least(F.floor(F.coalesce(F.try_divide(x - lo, width), F.lit(0.0))).cast("int"),
+                   F.lit(bins - 1))
 
 
 def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),
@@ -42,7 +44,7 @@ def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),
         tot = F.col("_tot")
     else:
         tot = h.agg(F.sum("n")).scalar()
-    return out.withColumn("density", F.col("n") / (tot * width)).drop("_tot")
+    return out.withColumn("density", F.try_divide(F.col("n"), tot * width)).drop("_tot")
 
 
 def line_series(df: DataFrame, x: Column, y: str) -> DataFrame:

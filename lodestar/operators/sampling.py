@@ -29,13 +29,13 @@ def bernoulli(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def sample_to_size(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def sample_to_size(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """R2: fraction = min(n / count, 1) with the count as a scalar subquery
-    folded into the hash threshold (no driver round-trip)."""
+    folded into the hash threshold (no driver round-trip). ``id_col`` should
+    be a key: rows of one id enter or leave together."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    frac = F.least(F.lit(float(n)) / total, F.lit(1.0))
-    cols = df.columns
-    return df.where(unit_hash(cols[0], seed) < frac)
+    frac = F.least(F.try_divide(F.lit(float(n)), total), F.lit(1.0))
+    return df.where(unit_hash(id_col, seed) < frac)
 
 
 def hash_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:

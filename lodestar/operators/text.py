@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.session import spread
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Raw whitespace-token frequencies."""
-    w = spread(df.select(text)).select(F.explode(T.words(text)).alias("word"))
+    w = df.select(F.explode(T.words(text)).alias("word"))
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -32,7 +31,7 @@ def clean_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     words — one regex pass per document instead of one per word."""
     keep_ws = T.WORD_CLEAN_DROP[:-1] + r"\s]"
     cleaned = F.regexp_replace(F.lower(F.col(text)), keep_ws, "")
-    w = spread(df.select(text)).select(F.explode(T.words(cleaned)).alias("word"))
+    w = df.select(F.explode(T.words(cleaned)).alias("word"))
     w = w.where(F.length("word") > T.WORD_MIN_LEN_EXCLUSIVE)
     c = w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return c.where(F.col("n") > T.WORD_MIN_COUNT_EXCLUSIVE)
@@ -43,7 +42,7 @@ def top_words(counts: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(k)
 
 
-def tfidf_model(text: str = "text", features: int = 1 << 12) -> Pipeline:
+def tfidf_model(text: str = "text", features: int = 10_000) -> Pipeline:
     """Tokenizer -> StopWordsRemover -> HashingTF -> IDF."""
     return Pipeline(stages=[
         Tokenizer(inputCol=text, outputCol="tokens"),

@@ -55,7 +55,8 @@ def s_json_optional_fields(spark, sf):
     docs.write.json(f"{base}/docs")                                  # NULL fields are omitted
     spark.range(3).select(F.lit("{broken json").alias("value")).write.text(f"{base}/docs_bad")
     r = IO.read_json(spark, [f"{base}/docs", f"{base}/docs_bad"],
-                     schema="o_orderkey BIGINT, o_orderstatus STRING, o_orderpriority STRING")
+                     schema="o_orderkey BIGINT, o_orderstatus STRING, o_orderpriority STRING",
+                     mode="DROPMALFORMED")
     return r.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"),
                                           F.count("o_orderpriority").alias("n_with_priority"))
 

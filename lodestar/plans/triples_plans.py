@@ -82,27 +82,37 @@ WITH cb AS (SELECT o_custkey, p_brand, count(*) AS n FROM orders
      topb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, p_brand) AS r
                              FROM cb) WHERE r <= 2),
      pop AS (SELECT p_brand, l_partkey, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
-     topp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, l_partkey) AS r
-                             FROM pop) WHERE r <= 3),
-     seen AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
-SELECT b.o_custkey, p.l_partkey AS rec_partkey, b.p_brand
-FROM topb b JOIN topp p ON p.p_brand = b.p_brand
-WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.o_custkey = b.o_custkey AND s.l_partkey = p.l_partkey)""")
+     seen AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+     open AS (SELECT b.o_custkey, p.l_partkey, b.p_brand, p.n FROM topb b JOIN pop p ON p.p_brand = b.p_brand
+              WHERE NOT EXISTS (SELECT 1 FROM seen s
+                                WHERE s.o_custkey = b.o_custkey AND s.l_partkey = p.l_partkey))
+SELECT o_custkey, l_partkey AS rec_partkey, p_brand
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, p_brand ORDER BY n DESC, l_partkey) AS r FROM open)
+WHERE r <= 3""")
 def g_multi_hop_recommend(spark, sf):
-    """customer -> bought part -> brand -> popular parts of that brand the
-    customer has not bought. Fan-out is bounded: 2 brands per customer x 3
-    parts per brand (both partial top-n windows), then an anti-join."""
+    """customer -> bought part -> brand -> the three most popular parts of
+    that brand that the customer has not bought, for the customer's two top
+    brands. Of m bought parts of a brand, the answer lies among its m + 3 most
+    popular ones, so each customer meets only that many: the brand's ranking
+    is cut at the customer's own count before the bought parts are removed."""
     t = Tables(spark, sf)
-    lines = t.lineitem.select("l_orderkey", "l_partkey").join(
-        t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
-    cl = lines.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    cb = cl.groupBy("o_custkey", "p_brand").agg(F.count(F.lit(1)).alias("n"))
-    topb = cb.withColumn("r", F.row_number().over(
+    sold = t.lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    ranked = sold.join(part, "l_partkey").withColumn("at", F.row_number().over(
+        Window.partitionBy("p_brand").orderBy(F.col("n").desc(), "l_partkey")))
+    bought = (t.lineitem.select("l_orderkey", "l_partkey")
+              .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+              .groupBy("o_custkey", "l_partkey").agg(F.count(F.lit(1)).alias("lines"))
+              .join(part, "l_partkey"))
+    brands = bought.groupBy("o_custkey", "p_brand").agg(
+        F.sum("lines").alias("n"), F.count(F.lit(1)).alias("m"))
+    top = brands.withColumn("r", F.row_number().over(
         Window.partitionBy("o_custkey").orderBy(F.col("n").desc(), "p_brand"))).where("r <= 2")
-    pop = lines.groupBy("p_brand", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    topp = pop.withColumn("r", F.row_number().over(
-        Window.partitionBy("p_brand").orderBy(F.col("n").desc(), "l_partkey"))).where("r <= 3")
-    rec = topb.select("o_custkey", "p_brand").join(topp.select("p_brand", "l_partkey"), "p_brand")
-    seen = cl.select("o_custkey", "l_partkey")
-    rec = anti(rec, seen, ["o_custkey", "l_partkey"])     # seen pairs deduped first
-    return rec.select("o_custkey", F.col("l_partkey").alias("rec_partkey"), "p_brand")
+    # one row per (customer, brand, rank to look at), joined on (brand, rank)
+    wanted = top.select("o_custkey", "p_brand", F.explode(F.sequence(
+        F.lit(1), (F.col("m") + 3).cast("int"))).alias("at"))
+    near = wanted.join(ranked.select("p_brand", "at", "l_partkey", "n"), ["p_brand", "at"])
+    fresh = anti(near, bought.select("o_custkey", "l_partkey"), ["o_custkey", "l_partkey"])
+    best = fresh.withColumn("r", F.row_number().over(
+        Window.partitionBy("o_custkey", "p_brand").orderBy("at"))).where("r <= 3")
+    return best.select("o_custkey", F.col("l_partkey").alias("rec_partkey"), "p_brand")

@@ -172,7 +172,7 @@ SELECT count(*) AS n FROM (
 WHERE u < least(500.0 / (SELECT count(*) FROM events), 1.0)""")
 def r_hash_sample_to_size(spark, sf):
     e = Tables(spark, sf).events.select("event_id", "user_id")
-    s = S.sample_to_size(e, 500, seed=42)
+    s = S.sample_to_size(e, "event_id", 500, seed=42)
     return s.agg(F.count(F.lit(1)).alias("n"))
 
 

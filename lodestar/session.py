@@ -9,6 +9,7 @@ AQE) and leaves everything else to ``spark-defaults.conf``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,9 @@ def get_session(app: str = "lodestar", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (a laptop or a test) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``. Unset, a local session (a
+    laptop or a test) gets a fresh scratch folder; on a cluster, where
+    executors do not share local folders, it must be set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -57,17 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin a frame over the cluster's cores when its scan yields
-    fewer tasks than that (e.g. one large row group). Used before CPU-heavy
-    per-row work (regex, tokenising); a no-op when the input is already
-    split into enough files/row groups, so it adds no shuffle at scale."""
-    want = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)

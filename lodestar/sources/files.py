@@ -15,9 +15,10 @@ from pyspark.sql.types import StructType
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-              mode: str = "DROPMALFORMED") -> DataFrame:
-    """JSON lines; missing fields come back NULL; malformed lines are
-    dropped (``mode``) instead of failing the job."""
+              mode: str = "PERMISSIVE") -> DataFrame:
+    """JSON lines; missing fields come back NULL. Malformed lines keep
+    their row (add a ``_corrupt_record`` column to a schema to count them);
+    ``mode="DROPMALFORMED"`` drops them, which callers must ask for."""
     r = spark.read.option("mode", mode)
     if schema is not None:
         r = r.schema(schema)
@@ -50,7 +51,9 @@ def with_external_header(spark: SparkSession, data_path: str, header_path: str,
     head = spark.read.text(header_path).first()
     names = [n.strip() for n in head["value"].split(sep)] if head else []
     df = spark.read.option("header", False).option("sep", sep).csv(data_path)
-    return df.toDF(*names[: len(df.columns)])
+    if len(names) != len(df.columns):
+        raise ValueError(f"{len(names)} header names for {len(df.columns)} columns")
+    return df.toDF(*names)
 
 
 def from_rows(spark: SparkSession, rows: Sequence, schema: StructType | str) -> DataFrame:
