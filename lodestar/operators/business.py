@@ -197,7 +197,7 @@ def time_to_purchase(events: DataFrame) -> DataFrame:
     same user-day (hour-bucketed windows + carry: a hot user-day is split)."""
     e = events.select("user_id", "event_id", "event_type", "ts", F.to_date("ts").alias("day"))
     x = W.last_flagged_before(e, ["user_id", "day"], "ts", F.col("event_type") == "view",
-                              "event_id", bucket="hour", name="lv")
+                              "event_id", name="lv")
     us = (F.unix_micros(F.col("ts").cast("timestamp")) -
           F.unix_micros(F.col("lv").cast("timestamp")))
     x = x.where((F.col("event_type") == "purchase") & F.col("lv").isNotNull())

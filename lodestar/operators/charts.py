@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators.joins import small_side
+
 
 def _bin(x: Column, lo, width, bins: int) -> Column:
     # last bin closed: the maximum falls into bin bins-1, not bins; a constant
@@ -68,7 +70,7 @@ def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5,
     fence = q.select(key, "q1", "median", "q3",
                      (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("_lf"),
                      (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("_uf"))
-    x = df.select(key, value).join(fence.select(key, "_lf", "_uf"), key)
+    x = df.select(key, value).join(small_side(fence.select(key, "_lf", "_uf")), key)
     inside = (F.col(value) >= F.col("_lf")) & (F.col(value) <= F.col("_uf"))
     w = x.groupBy(key).agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_lo"),

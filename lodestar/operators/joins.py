@@ -23,6 +23,14 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df)
 
 
+def small_side(stats: DataFrame, most: int = 100_000) -> DataFrame:
+    """Statistics per group, to be joined back to the rows: their number is
+    counted (up to ``most`` + 1) and they are broadcast up to ``most``, so
+    the rows stay where they are; beyond, groups are many and an ordinary
+    join spreads them."""
+    return F.broadcast(stats) if stats.limit(most + 1).count() <= most else stats
+
+
 def inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """J1."""
     return left.join(right, on, "inner")

@@ -59,7 +59,7 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None,
     return wide.selectExpr(
         f"stack({len(cols)}, {stack}) AS (column, n_missing)", "_rows").select(
         "column", "n_missing",
-        (F.col("n_missing") * F.lit(100.0) / F.col("_rows")).alias("pct_missing"))
+        F.try_divide(F.col("n_missing") * F.lit(100.0), F.col("_rows")).alias("pct_missing"))
 
 
 def anomaly_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

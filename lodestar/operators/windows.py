@@ -6,9 +6,10 @@
 * latest row per key is an aggregate (``max`` over a struct led by the
   ordering column), which combines map-side instead of sorting a whole
   group in one task.
-* consecutive gaps and running totals are computed inside (key, time-bucket)
-  sub-partitions and stitched with a small per-bucket summary, so one key
-  never lands in one task.
+* consecutive gaps and running totals are computed inside stretches of rows
+  cut by position (range partitions on key and order, sampled from the rows
+  themselves) and stitched with a small summary per stretch, so a hot key is
+  spread over many tasks however narrow its time span is.
 * a running total over the *whole* table (no partition key) uses a
   range-partitioned two-phase prefix sum.
 """
@@ -20,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.joins import small_side
 from lodestar.session import cut_lineage
 
 
@@ -73,16 +75,25 @@ def hashed_sample_per_group(df: DataFrame, keys, id_col: str, n: int,
     return top_n_per_group(df, keys, order, n, name="_r").drop("_r")
 
 
-def gaps(df: DataFrame, key: str, ts: str, bucket: str = "day",
-         name: str = "gap_s") -> DataFrame:
+def _stretches(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               parts: int | None = None) -> DataFrame:
+    """``df`` with ``_b``, the number of the range partition of (keys, order)
+    that each row falls into: numbers rise with the order inside a key, rows
+    equal in both share one, and sizes follow the rows, not the calendar.
+    Written to the checkpoint folder, so that all uses see the same cut."""
+    r = df.repartitionByRange(_parts(df, parts), *keys, *order)
+    return cut_lineage(r.withColumn("_b", F.spark_partition_id()))
+
+
+def gaps(df: DataFrame, key: str, ts: str, name: str = "gap_s",
+         parts: int | None = None) -> DataFrame:
     """Seconds since the previous row of the same key.
 
-    Rows are windowed per (key, time bucket); the first row of each bucket
-    takes its predecessor from the previous non-empty bucket of the key
-    (a per-bucket max, aggregated map-side, then a window over buckets,
-    which are few per key). NULL for the first row of a key."""
-    b = F.date_trunc(bucket, F.col(ts))
-    x = df.withColumn("_b", b)
+    Rows are windowed per (key, stretch); the first row of each stretch takes
+    its predecessor from the key's stretch before it (a max per stretch,
+    aggregated map-side, then a window over a key's stretches). NULL for the
+    first row of a key."""
+    x = _stretches(df, [key], [ts], parts)
     w = Window.partitionBy(key, "_b").orderBy(F.col(ts))
     x = x.withColumn("_prev", F.lag(ts).over(w))
     last = x.groupBy(key, "_b").agg(F.max(ts).alias("_last"))
@@ -95,14 +106,13 @@ def gaps(df: DataFrame, key: str, ts: str, bucket: str = "day",
 
 
 def last_flagged_before(df: DataFrame, keys, ts: str, flag: Column, tiebreak: str,
-                        bucket: str = "hour", name: str = "last_flagged") -> DataFrame:
+                        name: str = "last_flagged", parts: int | None = None) -> DataFrame:
     """For every row, the latest ``ts`` of a flagged row at or before it
-    (same key, order (ts, tiebreak)). Windows run per (key, time bucket);
-    a bucket's carry-in is the latest flagged time of any earlier bucket of
-    the key (a per-bucket aggregate, then a running max over the few
-    buckets), so a hot key is spread over its buckets."""
+    (same key, order (ts, tiebreak)). Windows run per (key, stretch); a
+    stretch's carry-in is the latest flagged time of the key's earlier
+    stretches (an aggregate, then a running max over them)."""
     keys = _cols(keys)
-    x = df.withColumn("_b", F.date_trunc(bucket, F.col(ts))).withColumn("_fl", flag)
+    x = _stretches(df, keys, [ts, tiebreak], parts).withColumn("_fl", flag)
     w = (Window.partitionBy(*keys, "_b").orderBy(ts, tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("_in", F.max(F.when(F.col("_fl"), F.col(ts))).over(w))
@@ -114,12 +124,13 @@ def last_flagged_before(df: DataFrame, keys, ts: str, flag: Column, tiebreak: st
         "_b", "_fl", "_in", "_carry")
 
 
-def running_sum(df: DataFrame, key: str, order: str, value: str,
-                bucket: str = "month", name: str = "running") -> DataFrame:
-    """Running total of ``value`` per key ordered by a timestamp ``order``
-    (ties: rows with equal ``order`` are summed together, the SQL RANGE
-    default). Two-phase: per (key, bucket) window + prefix of bucket totals."""
-    x = df.withColumn("_b", F.date_trunc(bucket, F.col(order)))
+def running_sum(df: DataFrame, key: str, order: str, value: str, name: str = "running",
+                parts: int | None = None) -> DataFrame:
+    """Running total of ``value`` per key in ``order`` (rows with equal
+    ``order`` are summed together, the SQL RANGE default; they share a
+    stretch). Two-phase: window per (key, stretch) + prefix of the totals of
+    the key's stretches."""
+    x = _stretches(df, [key], [order], parts)
     w = Window.partitionBy(key, "_b").orderBy(F.col(order)).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_in", F.sum(value).over(w))
@@ -177,30 +188,16 @@ def global_prefix_sum(df: DataFrame, order: Sequence[Column], values: Sequence[s
 
 
 def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int | None = None,
-                     name: str = "pos", bucket: tuple[str, str] | None = None) -> DataFrame:
+                     name: str = "pos") -> DataFrame:
     """0-based position of every row inside its key under ``order`` (a
     total order) — ``row_number() - 1`` without sorting a whole key in one
-    task. Default: global prefix counts over (keys, order) on range
-    partitions, minus the key's first position (an aggregate joined back).
-    ``bucket=(ts_col, unit)``, for orders led by ``ts_col``: row numbers per
-    (key, time bucket) plus the key's counts in earlier buckets."""
+    task: global prefix counts over (keys, order) on range partitions, minus
+    the key's first position (an aggregate joined back)."""
     keys = _cols(keys)
     x = df.withColumn("_one", F.lit(1))
-    if bucket is not None:
-        # cheaper variant when the order starts with a timestamp: row numbers
-        # per (key, time bucket) + counts of the key's earlier buckets
-        x = x.withColumn("_b", F.date_trunc(bucket[1], F.col(bucket[0])))
-        w = Window.partitionBy(*keys, "_b").orderBy(*order)
-        x = x.withColumn("_rn", F.row_number().over(w) - 1)
-        cnt = x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
-        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.select(*keys, "_b", F.coalesce(F.sum("_bc").over(wb), F.lit(0)).alias("_off"))
-        return (x.join(cnt, [*keys, "_b"])
-                 .withColumn(name, F.col("_off") + F.col("_rn"))
-                 .drop("_one", "_b", "_rn", "_off"))
     p = global_prefix_sum(x, [F.col(k).asc() for k in keys] + list(order), ["_one"], parts)
     start = p.groupBy(*keys).agg(F.min("_one_before").alias("_start"))
-    return (p.join(start, keys)
+    return (p.join(small_side(start), keys)
              .withColumn(name, F.col("_one_before") - F.col("_start"))
              .drop("_one", "_one_before", "_start"))
 
@@ -255,7 +252,7 @@ def since_start(df: DataFrame, key: str, ts: str, name: str = "t_rel_s") -> Data
     """Seconds since the first row of the key (min aggregated map-side
     and joined back: no per-key sort)."""
     first = df.groupBy(key).agg(F.min(ts).alias("_t0"))
-    return (df.join(first, key)
+    return (df.join(small_side(first), key)
               .withColumn(name, (F.unix_micros(F.col(ts).cast("timestamp"))
                                  - F.unix_micros(F.col("_t0").cast("timestamp"))) / F.lit(1e6))
               .drop("_t0"))
@@ -265,7 +262,7 @@ def group_mean_impute(df: DataFrame, key: str, col: str) -> DataFrame:
     """Fill NULLs with the group's mean (computed, not
     hard-coded); the means are an aggregate joined back on the key."""
     means = df.groupBy(key).agg(F.avg(col).alias("_mean"))
-    return (df.join(means, key, "left")
+    return (df.join(small_side(means), key, "left")
               .withColumn(col, F.coalesce(F.col(col), F.col("_mean")))
               .drop("_mean"))
 

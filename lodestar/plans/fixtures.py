@@ -39,14 +39,12 @@ def workout_series(events: DataFrame, size: int = WORKOUT_SIZE) -> DataFrame:
     """Stand-in for the reference's workouts as BOUNDED series: each user's
     events in (ts, event_id) order, cut into consecutive chunks of ``size``
     events; one row per (user_id, chunk) with parallel arrays ``ts`` (epoch
-    seconds), ``value``, ``event_type``. Positions come from per-(user, day)
-    row numbers plus the user's counts on earlier days (no per-user sort in
-    one task), so even a user holding a third of all events yields many
+    seconds), ``value``, ``event_type``. Positions come from prefix
+    counts over range partitions (no per-user sort in one task), so even a user holding a third of all events yields many
     small arrays."""
     from lodestar.operators.windows import positions_within
     ev = events.select("user_id", "event_id", "ts", "value", "event_type")
-    p = positions_within(ev, "user_id", [F.col("ts").asc(), F.col("event_id").asc()],
-                         bucket=("ts", "day"))
+    p = positions_within(ev, "user_id", [F.col("ts").asc(), F.col("event_id").asc()])
     x = p.select("user_id", F.floor(F.col("pos") / size).cast("bigint").alias("chunk"),
                  F.struct("pos", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"),
                           "value", "event_type").alias("e"))

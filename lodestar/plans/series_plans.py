@@ -15,30 +15,49 @@ from lodestar.tables import Tables
 _SERIES_SQL = WORKOUT_SQL   # DuckDB form of fixtures.workout_series
 
 
+# fixed values: points that a series needs
+MIN_POINTS = 10
+#: Classes that count as valid (of the series' first event); others are left out.
+VALID_KINDS = ("view", "click", "purchase", "signup")
+
+
 @query("s_series_features", "E9 F11 F12 F14 W5 W6 P14 C5", sql=f"""
 WITH {_SERIES_SQL},
-     f AS (SELECT user_id, chunk, vals, len(vals) AS n, greatest(1, len(vals) // 4) AS q FROM s)
-SELECT user_id, chunk,
+     c AS (SELECT user_id, chunk, types[1] AS kind, vals,
+                  list_transform(range(1, len(ts)), lambda i: CAST(ts[i + 1] - ts[i] AS DOUBLE)) AS gaps,
+                  list_transform(ts, lambda t: (t % 86400) / 60.0) AS mins
+           FROM s WHERE len(vals) >= {MIN_POINTS} AND types[1] IN {VALID_KINDS}),
+     f AS (SELECT *, len(vals) AS n, greatest(1, len(vals) // 4) AS q FROM c)
+SELECT user_id, chunk, kind,
        round(list_avg(vals), 6) AS v_mean, list_max(vals) AS v_max, list_min(vals) AS v_min,
        round(list_max(vals) - list_min(vals), 6) AS v_range,
-       round(CASE WHEN n < 4 THEN 0.0
-                  ELSE list_avg(list_slice(vals, n - q + 1, n)) - list_avg(list_slice(vals, 1, q)) END, 6) AS v_trend,
-       round(CASE WHEN n < 5 THEN 0.0
-                  ELSE list_avg(list_transform(range(1, n - 3),
-                         lambda i: list_stddev_pop(list_slice(vals, i, i + 4)))) END, 6) AS v_rolling_std,
+       round(list_avg(list_slice(vals, n - q + 1, n)) - list_avg(list_slice(vals, 1, q)), 6) AS v_trend,
+       round(list_avg(list_transform(range(1, n - 3),
+             lambda i: list_stddev_pop(list_slice(vals, i, i + 4)))), 6) AS v_rolling_std,
+       round(list_avg(gaps), 6) AS gap_mean, list_max(gaps) AS gap_max,
+       round(list_avg(mins), 6) AS minute_mean,
+       round(list_max(mins) - list_min(mins), 6) AS minute_range,
        CAST(n AS DOUBLE) AS length
-FROM f WHERE n >= 3""")
+FROM f""")
 def s_series_features(spark, sf):
+    """Eleven features over three channels of every series: the values, the
+    gaps between events in seconds, and the minute of the day; series of
+    enough points and of a valid class only."""
     s = workout_series(Tables(spark, sf).events)
-    s = s.where(F.size("value") >= 3)
-    v = X.as_double("value")
+    kind = F.get("event_type", 0)
+    s = s.where((F.size("value") >= MIN_POINTS) & kind.isin(*VALID_KINDS))
+    v, gap = X.as_double("value"), X.as_double(X.intervals("ts"))
+    minute = F.transform("ts", lambda t: (t % 86400) / F.lit(60.0))
     return s.select(
-        "user_id", "chunk",
+        "user_id", "chunk", kind.alias("kind"),
         F.round(X.mean(v), 6).alias("v_mean"), F.array_max(v).alias("v_max"),
         F.array_min(v).alias("v_min"),
         F.round(F.array_max(v) - F.array_min(v), 6).alias("v_range"),
         F.round(X.trend(v), 6).alias("v_trend"),
         F.round(X.rolling_std_mean(v, 5), 6).alias("v_rolling_std"),
+        F.round(X.mean(gap), 6).alias("gap_mean"), F.array_max(gap).alias("gap_max"),
+        F.round(X.mean(minute), 6).alias("minute_mean"),
+        F.round(F.array_max(minute) - F.array_min(minute), 6).alias("minute_range"),
         F.size(v).cast("double").alias("length"))
 
 

@@ -65,7 +65,7 @@ SELECT event_id, user_id,
 FROM events""")
 def w_gaps_between_events(spark, sf):
     e = Tables(spark, sf).events.select("event_id", "user_id", "ts")
-    g = W.gaps(e, "user_id", "ts", bucket="day")
+    g = W.gaps(e, "user_id", "ts")
     return g.select("event_id", "user_id", F.round("gap_s", 6).alias("gap_s"))
 
 
@@ -76,7 +76,7 @@ SELECT o_orderkey, o_custkey,
 FROM orders""")
 def w_running_spend(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    r = W.running_sum(o, "o_custkey", "o_orderdate", "o_totalprice", bucket="year")
+    r = W.running_sum(o, "o_custkey", "o_orderdate", "o_totalprice")
     return r.select("o_orderkey", "o_custkey", F.round("running", 2).alias("running"))
 
 

@@ -37,7 +37,7 @@ def test_gaps_matches_lag(spark):
 
 def test_running_sum_matches_cumsum(spark):
     df, pdf = _skewed(spark)
-    got = {r.id: r.running for r in W.running_sum(df, "k", "ts", "v", bucket="week").collect()}
+    got = {r.id: r.running for r in W.running_sum(df, "k", "ts", "v").collect()}
     pdf = pdf.sort_values(["k", "ts"])
     per_ts = pdf.groupby(["k", "ts"])["v"].sum().groupby(level=0).cumsum()
     for r in pdf.itertuples():
@@ -141,11 +141,23 @@ def test_moving_avg_chunked_equals_plain(spark):
         assert math.isclose(plain[i], e, rel_tol=1e-12)
 
 
-def test_positions_within_both_methods(spark):
+def test_positions_within(spark):
     df, pdf = _skewed(spark)
     order = [F.col("ts").asc(), F.col("id").asc()]
     a = {r.id: r.pos for r in W.positions_within(df, "k", order, parts=6).collect()}
-    b = {r.id: r.pos for r in W.positions_within(df, "k", order, bucket=("ts", "day")).collect()}
     pdf = pdf.sort_values(["k", "ts", "id"])
-    exp = dict(zip(pdf.id, pdf.groupby("k").cumcount()))
-    assert a == exp and b == exp
+    assert a == dict(zip(pdf.id, pdf.groupby("k").cumcount()))
+
+
+def test_a_hot_key_within_one_day_is_spread(spark):
+    """A third of all rows belong to one key and one day: no stretch holds
+    much more than its share, and gaps and running sums stay right."""
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}", i, 1.0) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, k string, s long, v double").select(
+        "id", "k", "v", F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("ts"))
+    sizes = [r["count"] for r in W._stretches(df, ["k"], ["ts"], 12).groupBy("_b").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 3 * 6000 / 12
+    got = {r.id: r for r in W.gaps(df, "k", "ts", parts=12).collect()}
+    assert all(got[i].gap_s == (3.0 if i else None) for i in range(0, 6000, 3))
+    run = {r.id: r.running for r in W.running_sum(df, "k", "ts", "v", parts=12).collect()}
+    assert all(run[i] == i // 3 + 1 for i in range(0, 6000, 3))
