@@ -109,6 +109,11 @@ def s_parquet_partition_append(spark, sf):
             .unionByName(counts(pruned, "pruned")))
 
 
+def _buckets(spark) -> int:
+    """Buckets follow the session's parallelism, like any other exchange."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("s_bucketed_orders", "S15 S17 W2", sql="""
 SELECT o_custkey, count(*) AS n_orders, max(o_orderdate) AS last_order FROM orders GROUP BY 1""")
 def s_bucketed_orders(spark, sf):
@@ -118,7 +123,7 @@ def s_bucketed_orders(spark, sf):
     base = _dir(spark, "bucket")
     name = f"lodestar_orders_{uuid.uuid4().hex[:8]}"
     o = IO.clustered_log(Tables(spark, sf).orders, "o_custkey", "o_orderdate")
-    IO.save_bucketed(o, name, "o_custkey", 8, ["o_custkey", "o_orderdate"], path=f"{base}/t")
+    IO.save_bucketed(o, name, "o_custkey", _buckets(spark), ["o_custkey", "o_orderdate"], path=f"{base}/t")
     t = spark.table(name)
     return t.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
                                       F.max("o_orderdate").alias("last_order"))
@@ -169,9 +174,9 @@ def s_bucketed_join(spark, sf):
     t = Tables(spark, sf)
     tag = uuid.uuid4().hex[:8]
     IO.save_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), f"lodestar_bo_{tag}",
-                     "o_orderkey", 8, ["o_orderkey"], path=f"{base}/o")
+                     "o_orderkey", _buckets(spark), ["o_orderkey"], path=f"{base}/o")
     IO.save_bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), f"lodestar_bl_{tag}",
-                     "l_orderkey", 8, ["l_orderkey"], path=f"{base}/l")
+                     "l_orderkey", _buckets(spark), ["l_orderkey"], path=f"{base}/l")
     o, li = spark.table(f"lodestar_bo_{tag}"), spark.table(f"lodestar_bl_{tag}")
     j = o.hint("merge").join(li, o.o_orderkey == li.l_orderkey)
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_lines"),

@@ -91,7 +91,7 @@ SELECT l_partkey, {money_sql("revenue")} AS revenue, round(cum_share, 6) AS cum_
 FROM c""")
 def w_abc_classes(spark, sf):
     pr = part_revenue(Tables(spark, sf).lineitem).select("l_partkey", "revenue")
-    c = W.global_running_share(pr, "revenue", "l_partkey", parts=16)
+    c = W.global_running_share(pr, "revenue", "l_partkey")
     cls = (F.when(F.col("cum_share") <= 0.8, "A").when(F.col("cum_share") <= 0.95, "B")
             .otherwise("C"))
     return c.select("l_partkey", money("revenue").alias("revenue"),
