@@ -57,3 +57,14 @@ def unused(df: DataFrame, *names: str) -> list[str]:
             n += "_"
         out.append(n)
     return out
+
+
+#: Ids of a broadcast table at most; larger tables are shuffled.
+BROADCAST_ROWS = 2_000_000
+
+
+def join_by_id(big: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join a table with texts to a written table of a few numbers a row: the
+    small one is counted and broadcast up to ``BROADCAST_ROWS`` rows, so the
+    texts stay where they are; beyond that both are shuffled."""
+    return big.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, on, how)

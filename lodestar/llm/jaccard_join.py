@@ -6,10 +6,12 @@ similar, exactly.
    ``k`` shingles if they link, so of ``k + 1`` or more parts (by shingle hash)
    at least one is equal in both: equal parts are where candidates meet. A
    pair across a band edge meets in a band of its own around that edge.
-3. Each class is held against one leader (the smallest class it meets); links
-   found so give first components. Only classes that meet and lie in different
-   components are compared further: each meeting's classes, ordered by size,
-   fall into tiles, and tiles within the size band are compared pairwise.
+3. Each class is held against one leader (the smallest class it meets), then
+   against a few more, one a round; links found so give components, and large
+   groups of near copies are one before any pairs are made. Only classes that meet and lie in different
+   components are compared further, each pair once: a large meeting's classes,
+   ordered by size, fall into tiles, and tiles within the size band are compared
+   pairwise.
 4. A comparison bounds the overlap from above by bit counts: with hashed
    parity bitmaps, every bit that differs takes a shingle that only one set
    has. What passes is settled by intersecting sorted arrays.
@@ -27,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise
+from lodestar.llm.common import join_by_id, materialise
 from lodestar.llm.components import components, roots
 from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
-BAND_RATIO = 1.5
-SLACK = 1                         # parts beyond k + 1
+BAND_RATIO = 1.8
+TILE_BITS = 1024                  # of a bitmap inside a tile, at most
+MIXING = 3                        # rounds against further leaders before all pairs
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -53,9 +56,9 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.array(a, np.uint64).view(np.int64)), int(np.array(b, np.uint64).view(np.int64))
 
 
-def bands(size: int, percent: int) -> list[tuple[int, int]]:
-    """(band, k) of a set: its own size band, and the band around an edge that
-    is near enough for links across it."""
+def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
+    """(band, k, parts) of a set: its own size band, and the band around an
+    edge that is near enough for links across it."""
     low, number = 1, 0
     while True:
         high = max(low + 1, int(low * BAND_RATIO))          # sizes low .. high - 1
@@ -63,17 +66,20 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
             break
         low, number = high, number + 1
     out = []
-    room = 100 + percent
 
-    def differ(a: int, b: int) -> int:                      # most shingles in only one
-        return (a + b) * (100 - percent) // room
+    def add(band: int, least: int, a: int, b: int) -> None:
+        k = (a + b) * (100 - percent) // (100 + percent)    # most shingles in only one
+        if k:
+            # beyond k + 1, as many parts as the smallest sets may leave empty
+            empty = (k + 1) * float(np.exp(-least / (k + 1)))
+            out.append((band, k, k + 2 + int(1.3 * empty + 4 * empty ** 0.5)))
 
-    out.append((2 * number, differ(high - 1, high - 1)))
+    add(2 * number, low, high - 1, high - 1)
     if size * 100 >= percent * high:
-        out.append((2 * number + 1, differ(high - 1, (high - 1) * 100 // percent)))
+        add(2 * number + 1, percent * high // 100, high - 1, (high - 1) * 100 // percent)
     if number and (low - 1) * 100 >= percent * size:
-        out.append((2 * number - 1, differ(low - 1, (low - 1) * 100 // percent)))
-    return [(band, k) for band, k in out if k]
+        add(2 * number - 1, percent * low // 100, low - 1, (low - 1) * 100 // percent)
+    return out
 
 
 def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -81,9 +87,8 @@ def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     empty in both sets also agree; if all the parts that must agree can be
     empty in this set, it has a key for its empty parts too."""
     out = []
-    for band, k in bands(len(shingles), percent):
+    for band, k, parts in bands(len(shingles), percent):
         seed = mix(np.array([band + 1], np.uint64))
-        parts = k + 1 + SLACK
         part = (mix(shingles ^ seed) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -98,8 +103,8 @@ def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
 
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity of the shingles hashed to each bit; as many bits as the next
-    power of two from the set's size, 256 at least."""
-    bits = max(256, 1 << (max(1, len(shingles)) - 1).bit_length())
+    power of two from four times the set's size, 256 at least."""
+    bits = max(256, 1 << (4 * max(1, len(shingles)) - 1).bit_length())
     at = (mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -141,31 +146,36 @@ def _sets(n: int):
     return run
 
 
-def _signatures(n: int, percent: int):
+def _keys(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, size, keys, bits = [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingle_set(text.as_py(), n)
-                k = part_keys(s, percent)
-                if len(k):
-                    docs.append(doc)
-                    size.append(len(s))
-                    keys.append(k)
-                    bits.append(bitmap(s))
+            keys = [part_keys(shingle_set(t.as_py(), n), percent) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"])
+    return run
+
+
+def _bitmaps(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), n) for t in batch.column(1)]
+            bits = [bitmap(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                names=["doc", "size", "keys", "bits"])
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(bits, pa.binary()),
+                 pa.array([fold(np.frombuffer(b, np.uint8), TILE_BITS // 8).tobytes()
+                           for b in bits], pa.binary())], names=["doc", "size", "bits", "few"])
     return run
 
 
-def _arrays(n: int):
+def _arrays(n: int, keep: int):
+    """The last column, a text, becomes its sorted shingle array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), n).view(np.int64) for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), n).view(np.int64) for t in batch.column(keep)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "shingles"])
+                [*batch.columns[:keep], pa.array(sets, pa.list_(pa.int64()))],
+                names=[*batch.schema.names[:keep], "shingles"])
     return run
 
 
@@ -185,16 +195,31 @@ def _bit_bound(percent: int):
     return run
 
 
+def _few_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of one small meeting -> their pairs across components."""
+    for batch in batches:
+        us, vs = [], []
+        for held in batch.column(0).to_pylist():
+            ids = np.array([r["doc"] for r in held], np.int64)
+            comps = np.array([r["component"] for r in held], np.int64)
+            i, j = np.nonzero((ids[:, None] > ids) & (comps[:, None] != comps))
+            us.append(ids[i])
+            vs.append(ids[j])
+        yield pa.RecordBatch.from_pydict(
+            {"u": pa.array(np.concatenate([np.zeros(0, np.int64), *us])),
+             "v": pa.array(np.concatenate([np.zeros(0, np.int64), *vs]))})
+
+
 def _tile_pairs(percent: int):
     """Two tiles of one meeting -> the pairs across components that may link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [], []
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                size = min(len(r["bits"]) for r in x + y)
+                size = min(len(r["few"]) for r in x + y)
                 bits, ids, sizes, comps = [], [], [], []
                 for tile in (x, y):
-                    bits.append(np.stack([fold(np.frombuffer(r["bits"], np.uint8), size)
+                    bits.append(np.stack([fold(np.frombuffer(r["few"], np.uint8), size)
                                           for r in tile]))
                     ids.append(np.array([r["doc"] for r in tile], np.int64))
                     sizes.append(np.array([r["size"] for r in tile], np.int64))
@@ -221,11 +246,57 @@ def _exact(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    x = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("y"))
-    return (pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y")
-            .mapInArrow(_exact(percent), "u long, v long"))
+def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that bit counts of whole bitmaps let through, written."""
+    bits = bits.select("doc", "size", "bits")
+    return materialise(
+        pairs.join(bits.toDF("u", "nu", "bu"), "u").join(bits.toDF("v", "nv", "bv"), "v")
+        .select("u", "v", "nu", "nv", "bu", "bv")
+        .mapInArrow(_bit_bound(percent), "u long, v long").distinct(), "pairs")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (u, v), a written table, that link: arrays are made from the
+    texts that any pair names, and meet at v."""
+    x = (join_by_id(rows.select(F.col("doc").alias("u"), "text"), pairs, "u").select("u", "v", "text")
+         .mapInArrow(_arrays(n, 2), "u long, v long, shingles array<long>")
+         .withColumnRenamed("shingles", "x"))
+    ends = materialise(pairs.select("v").distinct(), "ends")
+    y = (join_by_id(rows.select(F.col("doc").alias("v"), "text"), ends, "v", "left_semi")
+         .mapInArrow(_arrays(n, 1), "v long, shingles array<long>")
+         .withColumnRenamed("shingles", "y"))
+    return (x.join(y, "v").select("u", "v", "x", "y")
+            .mapInArrow(_exact(percent), "u long, v long").distinct())
+
+
+def _apart(met: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc, component, n) of the meetings of more than one component."""
+    placed = met.select("key", "doc").join(found, F.col("doc") == F.col("node"), "left").select(
+        "key", "doc", F.coalesce("component", "doc").alias("component"))
+    split = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                       F.count(F.lit(1)).alias("n"))
+             .filter("x < y").select("key", "n"))
+    return materialise(placed.join(split, "key"), "apart")
+
+
+def _contracted(links: DataFrame, found: DataFrame) -> DataFrame:
+    """Links between documents -> links between their components."""
+    at = found.select(F.col("node").alias("at"), F.col("component").alias("above"))
+    for end in ("u", "v"):
+        links = links.join(at, F.col(end) == F.col("at"), "left").withColumn(
+            end, F.coalesce("above", end)).select("u", "v")
+    return links
+
+
+def _merged(found: DataFrame, joined: DataFrame) -> DataFrame:
+    """``found`` after its components were ``joined`` to smaller ones."""
+    at = materialise(joined.select(F.col("node").alias("at"), F.col("component").alias("above")),
+                     "joined")
+    moved = found.join(at, F.col("component") == F.col("at"), "left").select(
+        "node", F.coalesce("above", "component").alias("component"))
+    tops = at.join(found.select(F.col("node").alias("at")), "at", "left_anti").select(
+        F.col("at").alias("node"), F.col("above").alias("component"))
+    return materialise(moved.unionByName(tops), "components")
 
 
 def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
@@ -250,61 +321,68 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     classes = materialise(member.filter("size > 0 and doc is not null").groupBy("a", "b")
                           .agg(F.min("doc").alias("class")), "classes")
     chosen = classes.select(F.col("class").alias("doc")).distinct()
+    copies = materialise(member.filter("size > 0").select("doc").distinct().join(
+        chosen, "doc", "left_anti").filter("doc is not null"), "copies")
+    own = join_by_id(rows.filter("doc is not null"), copies, "doc", "left_anti")
 
-    signed = materialise(
-        rows.mapInArrow(_signatures(n, percent), "doc long, size long, keys array<long>, bits binary")
-        .join(chosen, "doc", "left_semi"), "signatures")
     by_key = Window.partitionBy("key")
     met = materialise(
-        signed.select(F.explode("keys").alias("key"), "doc")
+        own.mapInArrow(_keys(n, percent), "doc long, keys array<long>")
+        .select(F.explode("keys").alias("key"), "doc")
         .select("key", "doc", F.min("doc").over(by_key).alias("leader"),
                 F.max("doc").over(by_key).alias("last"))
         .filter("leader < last").select("key", "doc", "leader"), "meetings")
 
-    involved = met.select("doc").distinct()
-    sets = materialise(rows.join(involved, "doc", "left_semi").select("doc", "text")
-                       .mapInArrow(_arrays(n), "doc long, shingles array<long>"), "sets")
-    bits = signed.select("doc", "size", "bits")
+    involved = materialise(met.select("doc").distinct(), "involved")
+    bits = materialise(join_by_id(rows, involved, "doc", "left_semi").mapInArrow(
+        _bitmaps(n), "doc long, size long, bits binary, few binary"), "bitmaps")
     first = met.groupBy("doc").agg(F.min("leader").alias("v")).filter("v < doc").select(
         F.col("doc").alias("u"), "v")
-    first = (first.join(bits.toDF("u", "nu", "bu"), "u").join(bits.toDF("v", "nv", "bv"), "v")
-             .select("u", "v", "nu", "nv", "bu", "bv")
-             .mapInArrow(_bit_bound(percent), "u long, v long"))
     # one leader each, and smaller: the links found form a forest
-    found = roots(_verified(first, sets, percent).distinct().select(
+    found = roots(_verified(_bounded(first, bits, percent), rows, n, percent).select(
         F.col("u").alias("node"), F.col("v").alias("parent")))
 
-    # meetings of more than one component, tile by tile
-    placed = met.select("key", "doc").join(found, F.col("doc") == F.col("node"), "left").select(
-        "key", "doc", F.coalesce("component", "doc").alias("component"))
-    split = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .filter("x < y").select("key"))
+    # meetings of more than one component: first against a few more leaders
+    apart = _apart(met, found)
+    for r in range(MIXING):
+        if apart.isEmpty():
+            break
+        lead = (apart.groupBy("key").agg(F.min_by(
+            F.struct("doc", "component"), F.xxhash64(F.lit(r), "doc")).alias("l"))
+            .select("key", F.col("l.doc").alias("other"), F.col("l.component").alias("theirs")))
+        tried = (apart.join(lead, "key").filter("component <> theirs").groupBy("doc")
+                 .agg(F.min_by("other", F.xxhash64(F.lit(r), "other", "doc")).alias("other"))
+                 .select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v"))
+                 .distinct())
+        more = _verified(_bounded(tried, bits, percent), rows, n, percent)
+        found = _merged(found, components(_contracted(more, found)))
+        apart = _apart(met, found)
+    # then all pairs that are left, large meetings tile by tile
+    small = (apart.filter(F.col("n") <= tile).groupBy("key")
+             .agg(F.collect_list(F.struct("doc", "component")).alias("held")).select("held")
+             .mapInArrow(_few_pairs, "u long, v long"))
     by_size = Window.partitionBy("key").orderBy("size", "doc")
     tiles = materialise(
-        placed.join(split, "key").join(bits, "doc")
+        apart.filter(F.col("n") > tile).join(bits.select("doc", "size", "few"), "doc")
         .withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / tile))
         .groupBy("key", "tile")
-        .agg(F.collect_list(F.struct("doc", "component", "size", "bits")).alias("held"),
+        .agg(F.collect_list(F.struct("doc", "component", "size", "few")).alias("held"),
              F.min("size").alias("least"), F.max("size").alias("most")), "tiles")
     a = tiles.select("key", F.col("tile").alias("ta"), F.col("held").alias("x"), "most")
     b = tiles.select("key", F.col("tile").alias("tb"), F.col("held").alias("y"),
                      F.col("least").alias("from"))
     near = a.join(b, "key").filter(
         (F.col("ta") <= F.col("tb")) & (F.col("most") * 100 >= F.col("from") * percent))
-    pairs = materialise(near.select("x", "y").mapInArrow(_tile_pairs(percent), "u long, v long")
-                        .distinct(), "pairs")
+    pairs = (near.select("x", "y").mapInArrow(_tile_pairs(percent), "u long, v long")
+             .unionByName(small).distinct())
     placed = member.join(classes, ["a", "b"], "left").select(
         "doc", "size", F.when(F.col("size") > 0, F.col("class")).otherwise(F.col("doc")).alias("class"))
     # an id that repeats with other texts ties its classes together
     twice = (placed.groupBy("doc").agg(F.min("class").alias("v"), F.max("class").alias("last"))
              .filter("v < last").select("doc", "v"))
     ties = placed.join(twice, "doc").select(F.col("class").alias("u"), "v")
-    more = _verified(pairs, sets, percent).unionByName(ties)
-    for end in ("u", "v"):                                  # links between components
-        at = found.select(F.col("node").alias("at"), F.col("component").alias("above"))
-        more = more.join(at, F.col(end) == F.col("at"), "left").withColumn(
-            end, F.coalesce("above", end)).select("u", "v")
-    joined = components(more).select(F.col("node").alias("at"), F.col("component").alias("above"))
+    more = _verified(_bounded(pairs, bits, percent), rows, n, percent).unionByName(ties)
+    joined = components(_contracted(more, found)).select(F.col("node").alias("at"), F.col("component").alias("above"))
     own = F.coalesce("component", "class")
     return (placed.join(found, F.col("class") == F.col("node"), "left").withColumn("own", own)
             .join(joined, F.col("own") == F.col("at"), "left")
