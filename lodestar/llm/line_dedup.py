@@ -19,7 +19,6 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +30,9 @@ OUTPUTS = ("n_lines", "n_dropped")
 VARIABLE = b"<*>"
 #: Depth of the tree below the token count, and stretches of the tokens behind.
 LEADING, STRETCHES = 2, 4
+LINES = pa.schema([
+    ("doc", pa.int64()), ("crc", pa.int64()), ("line", pa.int32()), ("size", pa.int32()),
+    ("total", pa.int32()), ("keys", pa.list_(pa.int64())), ("new", pa.list_(pa.int64()))])
 _FIELD = re.compile(rb"[^ \t\r\f\v\n]*[0-9][^ \t\r\f\v\n]*")
 
 
@@ -58,21 +60,35 @@ def _keys(general: int, least: int):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = text.as_py().encode()
                 crc, seen = zlib.crc32(data), set()
-                for i, line in enumerate(_FIELD.sub(VARIABLE, data).split(b"\n")):
+                lines = [x.split() for x in _FIELD.sub(VARIABLE, data).split(b"\n")]
+                total = sum(map(len, lines))
+                for i, tokens in enumerate(lines):
                     keys = [xxhash.xxh64_intdigest(t) - (1 << 63)
-                            for t in templates(line.split(), general, least)]
+                            for t in templates(tokens, general, least)]
                     if keys:
-                        rows.append((doc, crc, i, keys, [k for k in keys if k not in seen]))
+                        rows.append((doc, crc, i, len(tokens), total, keys,
+                                     [k for k in keys if k not in seen]))
                         seen.update(keys)
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            columns = list(zip(*rows, strict=True)) or [[]] * len(LINES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, (
-                    pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()),
-                    pa.list_(pa.int64())), strict=True)], names=["doc", "crc", "line", "keys", "new"])
+                [pa.array(x, t) for x, t in zip(columns, LINES.types, strict=True)], schema=LINES)
     return run
 
 
-def _drop(text_col: str, dropped: str, most: float):
+def _copies(hits: DataFrame, whole: float) -> DataFrame:
+    """(doc, crc) of copies: one set of carriers holds ``whole`` of their
+    tokens, and as much of the tokens of its document with the smallest id."""
+    lines = hits.filter("key = exact").select(
+        "doc", "crc", "line", "size", "total", "first", "key", "keeper").distinct()
+    sets = lines.filter("first").groupBy("key").agg(
+        F.struct(F.bit_xor(F.xxhash64("doc", "crc")), F.count(F.lit(1))).alias("carriers"))
+    held = (lines.join(sets, "key").groupBy("doc", "crc", "keeper", "carriers", "total")
+            .agg(F.sum("size").alias("size")).filter(F.col("size") >= whole * F.col("total")))
+    return held.join(held.filter("doc = keeper").select("keeper", "carriers").distinct(),
+                     ["keeper", "carriers"]).select("doc", "crc").distinct()
+
+
+def _drop(text_col: str, dropped: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
@@ -82,10 +98,6 @@ def _drop(text_col: str, dropped: str, most: float):
                                    batch.column(names.index(dropped)).to_pylist(), strict=True):
                 lines = value.split("\n") if value else []
                 gone = set(gone or ())
-                if gone:
-                    size = np.array([len(x.split()) for x in lines])
-                    if size[sorted(gone)].sum() > most * size.sum():
-                        gone = set()                        # a copy, not boilerplate
                 n_lines.append(len(lines))
                 n_dropped.append(len(gone))
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in gone)
@@ -100,17 +112,19 @@ def _drop(text_col: str, dropped: str, most: float):
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, least: int = 3,
-                         most: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
-                         ) -> DataFrame:
+                         most: float = 0.5, whole: float = 0.8, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, the text without dropped lines, with
     ``n_lines`` (lines before) and ``n_dropped``; input columns of these names
     are replaced. Lines end in a line feed, tokens are runs without ASCII
     white space.
 
     Templates need ``least`` constant tokens, so blank and very short lines
-    stay. A document that would lose more than ``most`` of its tokens is a
-    copy of others rather than a carrier of boilerplate, and keeps all (whole
-    copies are the near-duplicate join's task). A null or empty text has no
+    stay. A copy that would lose more than ``most`` of its tokens keeps all
+    (whole copies are the near-duplicate join's task). A document is a copy if
+    lines that recur in exactly the same documents make up ``whole`` of its
+    tokens and of the tokens of the first of these documents; any other loses
+    its recurring lines whatever their share. A null or empty text has no
     lines and stays as it is; rows with a null id neither count nor lose
     lines; rows that repeat an id count as documents each, and none of them
     removes another's lines; a line repeated within one document counts once.
@@ -121,17 +135,26 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, l
         df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
         .filter("doc is not null and text is not null")
         .mapInArrow(_keys(general, least),
-                    "doc long, crc long, line int, keys array<long>, new array<long>"), "lines")
+                    "doc long, crc long, line int, size int, total int, keys array<long>, "
+                    "new array<long>"), "lines")
     recurring = (lines.select("doc", F.explode("new").alias("key")).groupBy("key")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    gone = (lines.select("doc", "crc", "line", F.explode("keys").alias("key"))
-            .join(recurring, "key").filter("doc > keeper")
-            .groupBy("doc", "crc").agg(F.collect_set("line").alias(dropped))
-            .withColumnsRenamed({"doc": a, "crc": b}))
+    exact = F.col("keys")[0]
+    hits = materialise(
+        lines.select("doc", "crc", "line", "size", "total", exact.alias("exact"),
+                     F.array_contains("new", exact).alias("first"), F.explode("keys").alias("key"))
+        .join(recurring, "key"), "hits")
+    lost = (hits.filter("doc > keeper").select("doc", "crc", "line", "size", "total").distinct()
+            .groupBy("doc", "crc", "total")
+            .agg(F.collect_list("line").alias(dropped), F.sum("size").alias("size")))
+    copies = _copies(hits, whole).withColumn("copy", F.lit(True))
+    gone = (lost.join(copies, ["doc", "crc"], "left")
+            .filter(F.col("copy").isNull() | (F.col("size") <= most * F.col("total")))
+            .select("doc", "crc", dropped).withColumnsRenamed({"doc": a, "crc": b}))
     keyed = df.withColumns({i: F.col(id_col).cast("long"),
                             j: F.crc32(F.col(text_col).cast("binary"))})
     joined = keyed.join(gone, (F.col(i) == F.col(a)) & (F.col(j) == F.col(b)), "left").drop(
         i, j, a, b)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return joined.mapInArrow(_drop(text_col, dropped, most), f"{fields}, n_lines long, n_dropped long")
+    return joined.mapInArrow(_drop(text_col, dropped), f"{fields}, n_lines long, n_dropped long")

@@ -218,6 +218,19 @@ def test_line_dedup_keeps_clean_and_copied_documents(make):
     assert all(r["n_dropped"] == 0 for r in out)
 
 
+def test_line_dedup_drops_lines_whatever_their_share(make):
+    rng = random.Random(2)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(7))
+                           for _ in range(4))
+    shared = "this passage of many words recurs in every one of the documents here and is long"
+    rows = [(0, "\n".join([shared, *(own() for _ in range(20))]))]
+    rows += [(i, f"{own()}\n{shared}") for i in range(1, 7)] + [(7, shared)]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring_lines(make(rows)).collect()}
+    assert out[0] == rows[0][1]
+    assert all(out[i] == rows[i][1].split("\n")[0] for i in range(1, 7))
+    assert out[7] == ""                                     # boilerplate alone is no copy
+
+
 def test_line_dedup_edges(make, spark):
     line = "All rights of the owner reserved"
     rows = [(i, f"unique {i} x{i} y{i} z{i} q{i} r{i} a{i}\n{line}") for i in range(6)]
