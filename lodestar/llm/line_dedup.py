@@ -4,8 +4,11 @@ A line descends a tree of fixed depth: its number of tokens, then its leading
 tokens, where a token with a digit counts as a variable field. In the leaf it
 meets the lines with the same template: the tokens with variable fields as
 wildcards and, for lines of ``general`` tokens or more, also with any one of
-four stretches behind the leading tokens as a wildcard. A template that
-recurs in ``min_docs`` documents is dropped from all of them but the one with
+four stretches behind the leading tokens as a wildcard. In a leaf that enough
+documents reach, lines of every length are also compared position by position:
+the tokens of a line are ranked by the documents that hold them at the same
+place, and for each rank the more frequent ones are the constants of a
+template, the others its variable fields. A template that recurs in ``min_docs`` documents is dropped from all of them but the one with
 the smallest id.
 
 Templates are hashed where the text is; counting is one aggregation (combined
@@ -15,10 +18,12 @@ texts.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,7 +37,14 @@ VARIABLE = b"<*>"
 LEADING, STRETCHES = 2, 4
 LINES = pa.schema([
     ("doc", pa.int64()), ("crc", pa.int64()), ("line", pa.int32()), ("size", pa.int32()),
-    ("total", pa.int32()), ("keys", pa.list_(pa.int64())), ("new", pa.list_(pa.int64()))])
+    ("total", pa.int32()), ("keys", pa.list_(pa.int64())), ("new", pa.list_(pa.int64())),
+    ("leaf", pa.int64()), ("new_leaf", pa.bool_())])
+LINE = ["doc", "crc", "line", "size", "total"]
+CELLS = pa.schema([
+    ("doc", pa.int64()), ("crc", pa.int64()), ("line", pa.int32()), ("size", pa.int32()),
+    ("total", pa.int32()), ("cells", pa.list_(pa.int64())), ("new", pa.list_(pa.int64()))])
+#: Buckets of the leaves in the filter that tells which lines to compare.
+LEAF_BITS = 24
 _FIELD = re.compile(rb"[^ \t\r\f\v\n]*[0-9][^ \t\r\f\v\n]*")
 
 
@@ -53,6 +65,102 @@ def templates(tokens: list[bytes], general: int, least: int) -> list[bytes]:
     return out
 
 
+def leaf_of(tokens: list[bytes]) -> int:
+    """Hash of the leaf: token count and leading tokens."""
+    return xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:LEADING])) - (1 << 63)
+
+
+def constants(n: int, least: int, agree: float) -> int:
+    """Constant tokens that a line of ``n`` tokens must share with others."""
+    return max(least, math.ceil(agree * n - 1e-9))
+
+
+def _cells(shared: bytes, least: int, agree: float):
+    """Lines in ``shared`` leaves with one hash of (leaf, place, token) for
+    each constant token; ``new`` has those not seen before in the document."""
+    bits = np.frombuffer(shared, np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = text.as_py().encode()
+                crc, seen = zlib.crc32(data), set()
+                lines = [x.split() for x in _FIELD.sub(VARIABLE, data).split(b"\n")]
+                total = sum(map(len, lines))
+                for i, tokens in enumerate(lines):
+                    if len(tokens) - tokens.count(VARIABLE) < constants(len(tokens), least, agree):
+                        continue
+                    leaf = leaf_of(tokens)
+                    at = leaf % (1 << LEAF_BITS)
+                    if not bits[at >> 3] >> (at & 7) & 1:
+                        continue
+                    cells = [xxhash.xxh64_intdigest(b"%d %d " % (leaf, k) + t) - (1 << 63)
+                             for k, t in enumerate(tokens) if t != VARIABLE]
+                    rows.append((doc, crc, i, len(tokens), total, cells,
+                                 [c for c in cells if c not in seen]))
+                    seen.update(cells)
+            columns = list(zip(*rows, strict=True)) or [[]] * len(CELLS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(columns, CELLS.types, strict=True)], schema=CELLS)
+    return run
+
+
+def field_templates(counts: list[int], cells: list[int], need: int) -> list[int]:
+    """Hashes of the templates of a line: for each count, the cells that as
+    many documents or more hold, if they are ``need`` or more."""
+    ranked = sorted(zip(counts, cells, strict=True), key=lambda x: (-x[0], x[1]))
+    out = []
+    for k in range(need, len(ranked) + 1):
+        if k == len(ranked) or ranked[k][0] < ranked[k - 1][0]:
+            cut = np.sort(np.array([c for _, c in ranked[:k]], np.int64))
+            out.append(xxhash.xxh64_intdigest(cut.tobytes()) - (1 << 63))
+    return out
+
+
+def _fields(least: int, agree: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            keys = [field_templates([c["n"] for c in found], [c["cell"] for c in found],
+                                    constants(n, least, agree))
+                    for found, n in zip(batch.column(names.index("found")).to_pylist(),
+                                        batch.column(names.index("size")).to_pylist(), strict=True)]
+            columns = {n: c for n, c in zip(names, batch.columns, strict=True) if n != "found"}
+            yield pa.RecordBatch.from_pydict(columns | {"keys": pa.array(keys, pa.list_(pa.int64()))})
+    return run
+
+
+def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
+                 agree: float) -> DataFrame:
+    """Lines with the recurring templates that are found position by position
+    in the leaves, and the keepers of these."""
+    shared = (lines.filter("new_leaf").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") >= min_docs)
+              .select(F.pmod("leaf", F.lit(1 << LEAF_BITS)).alias("at"))
+              .groupBy(F.expr("at div 32768").alias("part"))
+              .agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits")).collect())
+    whole = bytearray((1 << LEAF_BITS) // 8)
+    for r in shared:
+        whole[r["part"] * 4096:(r["part"] + 1) * 4096] = r["bits"]
+    cells = materialise(rows.mapInArrow(
+        _cells(bytes(whole), least, agree),
+        "doc long, crc long, line int, size int, total int, cells array<long>, new array<long>"),
+        "cells")
+    counts = (cells.select(F.explode("new").alias("cell")).groupBy("cell")
+              .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
+    found = (cells.select(*LINE, F.explode("cells").alias("cell")).join(counts, "cell").groupBy(*LINE)
+             .agg(F.collect_set(F.struct("n", "cell")).alias("found"))
+             .filter(F.size("found") >= least))
+    keyed = materialise(
+        found.mapInArrow(_fields(least, agree), "doc long, crc long, line int, size int, total int, "
+                         "keys array<long>").select(*LINE, F.explode("keys").alias("key")), "fields")
+    recurring = (keyed.select("doc", "crc", "key").distinct().groupBy("key")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
+                 .filter(F.col("n") >= min_docs).select("key", "keeper"))
+    return keyed.join(recurring, "key")
+
+
 def _keys(general: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,13 +170,16 @@ def _keys(general: int, least: int):
                 crc, seen = zlib.crc32(data), set()
                 lines = [x.split() for x in _FIELD.sub(VARIABLE, data).split(b"\n")]
                 total = sum(map(len, lines))
+                leaves = set()
                 for i, tokens in enumerate(lines):
                     keys = [xxhash.xxh64_intdigest(t) - (1 << 63)
                             for t in templates(tokens, general, least)]
                     if keys:
+                        leaf = leaf_of(tokens)
                         rows.append((doc, crc, i, len(tokens), total, keys,
-                                     [k for k in keys if k not in seen]))
+                                     [k for k in keys if k not in seen], leaf, leaf not in leaves))
                         seen.update(keys)
+                        leaves.add(leaf)
             columns = list(zip(*rows, strict=True)) or [[]] * len(LINES)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(columns, LINES.types, strict=True)], schema=LINES)
@@ -78,11 +189,11 @@ def _keys(general: int, least: int):
 def _copies(hits: DataFrame, whole: float) -> DataFrame:
     """(doc, crc) of copies: one set of carriers holds ``whole`` of their
     tokens, and as much of the tokens of its document with the smallest id."""
-    lines = hits.filter("key = exact").select(
-        "doc", "crc", "line", "size", "total", "first", "key", "keeper").distinct()
-    sets = lines.filter("first").groupBy("key").agg(
+    sets = hits.select("key", "doc", "crc").distinct().groupBy("key").agg(
         F.struct(F.bit_xor(F.xxhash64("doc", "crc")), F.count(F.lit(1))).alias("carriers"))
-    held = (lines.join(sets, "key").groupBy("doc", "crc", "keeper", "carriers", "total")
+    held = (hits.join(sets, "key")
+            .select("doc", "crc", "line", "size", "total", "keeper", "carriers").distinct()
+            .groupBy("doc", "crc", "keeper", "carriers", "total")
             .agg(F.sum("size").alias("size")).filter(F.col("size") >= whole * F.col("total")))
     return held.join(held.filter("doc = keeper").select("keeper", "carriers").distinct(),
                      ["keeper", "carriers"]).select("doc", "crc").distinct()
@@ -112,40 +223,41 @@ def _drop(text_col: str, dropped: str):
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, least: int = 3,
-                         most: float = 0.5, whole: float = 0.8, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
+                         most: float = 0.5, whole: float = 0.8, agree: float = 0.6,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, the text without dropped lines, with
     ``n_lines`` (lines before) and ``n_dropped``; input columns of these names
     are replaced. Lines end in a line feed, tokens are runs without ASCII
     white space.
 
     Templates need ``least`` constant tokens, so blank and very short lines
-    stay. A copy that would lose more than ``most`` of its tokens keeps all
+    stay; templates found position by position also need ``agree`` of the
+    line's tokens constant, so a word field is found in lines of four tokens
+    or more. A copy that would lose more than ``most`` of its tokens keeps all
     (whole copies are the near-duplicate join's task). A document is a copy if
     lines that recur in exactly the same documents make up ``whole`` of its
     tokens and of the tokens of the first of these documents; any other loses
     its recurring lines whatever their share. A null or empty text has no
     lines and stays as it is; rows with a null id neither count nor lose
     lines; rows that repeat an id count as documents each, and none of them
-    removes another's lines; a line repeated within one document counts once.
+    removes another's lines (for templates found position by position, and for
+    telling copies, rows that repeat the text too count once); a line repeated within one document counts once.
     An empty table gives no rows."""
     df = without(docs, *OUTPUTS)
     i, j, a, b, dropped = unused(df, "_id", "_sum", "_doc", "_crc", "_dropped")
+    rows = (df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+            .filter("doc is not null and text is not null"))
     lines = materialise(
-        df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-        .filter("doc is not null and text is not null")
-        .mapInArrow(_keys(general, least),
-                    "doc long, crc long, line int, size int, total int, keys array<long>, "
-                    "new array<long>"), "lines")
+        rows.mapInArrow(_keys(general, least),
+                        "doc long, crc long, line int, size int, total int, keys array<long>, "
+                        "new array<long>, leaf long, new_leaf boolean"), "lines")
     recurring = (lines.select("doc", F.explode("new").alias("key")).groupBy("key")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    exact = F.col("keys")[0]
     hits = materialise(
-        lines.select("doc", "crc", "line", "size", "total", exact.alias("exact"),
-                     F.array_contains("new", exact).alias("first"), F.explode("keys").alias("key"))
-        .join(recurring, "key"), "hits")
-    lost = (hits.filter("doc > keeper").select("doc", "crc", "line", "size", "total").distinct()
+        lines.select(*LINE, F.explode("keys").alias("key")).join(recurring, "key")
+        .unionByName(_field_lines(rows, lines, min_docs, least, agree)), "hits")
+    lost = (hits.filter("doc > keeper").select(*LINE).distinct()
             .groupBy("doc", "crc", "total")
             .agg(F.collect_list("line").alias(dropped), F.sum("size").alias("size")))
     copies = _copies(hits, whole).withColumn("copy", F.lit(True))

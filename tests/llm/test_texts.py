@@ -231,6 +231,21 @@ def test_line_dedup_drops_lines_whatever_their_share(make):
     assert out[7] == ""                                     # boilerplate alone is no copy
 
 
+def test_line_dedup_finds_word_fields_at_any_place(make):
+    names = ["Alice", "Bob", "Carol", "Dave", "Eve", "Frank"]
+    places = ["Travel", "Sports", "Travel", "Food", "Music", "Travel"]
+    rng = random.Random(3)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(7))
+                           for _ in range(30))
+    rows = [(i, f"{own()}\nPosted by {a} in {b}\n"
+                f"This page of {a} was last looked at by readers of {b} and by others\n{own()}")
+            for i, (a, b) in enumerate(zip(names, places, strict=True))]
+    rows.append((9, own() + "\nPosted by hand under a"))     # same leaf, no such template
+    out = {r["doc_id"]: r for r in line_dedup.drop_recurring_lines(make(rows)).collect()}
+    assert [out[i]["n_dropped"] for i in (*range(6), 9)] == [0, 2, 2, 2, 2, 2, 0]
+    assert out[4]["text"].split("\n") == [rows[4][1].split("\n")[k] for k in (0, 3)]
+
+
 def test_line_dedup_edges(make, spark):
     line = "All rights of the owner reserved"
     rows = [(i, f"unique {i} x{i} y{i} z{i} q{i} r{i} a{i}\n{line}") for i in range(6)]
