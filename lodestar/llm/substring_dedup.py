@@ -7,8 +7,11 @@ edges that travel together: hashes of the edges plus one source coordinate
 (document, first word) per stretch. Where the same edges meet, the document
 with the smallest id keeps them; in every other document the repeated edges
 next to each other (a path without a branch in its source coordinates)
-compact to one span. A join on the documents glues the spans of all stretches
-and removes the words.
+compact to one span, as long as the places they repeat also follow each other
+in one keeping document. A span carries that place: a join with the keeping
+documents fetches a digest of the words there, and a join on the documents
+glues the spans of all stretches and removes those whose words have the same
+digest. Equal 64-bit hashes alone remove nothing.
 
 Edges that repeat inside one task's block of documents are settled there, so
 a passage that a third of all documents share ships one row per block.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +29,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import shuffle_partitions, text_bytes, unused, without
+from lodestar.llm.common import (
+    join_by_id, materialise, shuffle_partitions, text_bytes, unused, without)
 from lodestar.llm.hashing import mix, sliding_min, window_hashes, word_hashes
 
 OUTPUTS = ("n_words", "n_removed", "removed", "kept_text")
 SPANS = pa.schema([("doc", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()),
-                   ("stop", pa.int32())])
+                   ("stop", pa.int32()), ("src", pa.int64()), ("src_crc", pa.int64()),
+                   ("src_start", pa.int32())])
+SPAN_TYPES = ("doc long, crc long, start int, stop int, src long, src_crc long, src_start int")
 STRETCHES = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("runs", pa.binary()),
                        ("spans", pa.binary())])
 #: One stretch: source document, checksum of its text, first word, edges.
 RUN = np.dtype([("doc", "<i8"), ("crc", "<u4"), ("start", "<i4"), ("edges", "<i4")])
+#: A span with the place it repeats.
+SPAN = np.dtype([*RUN.descr, ("src", "<i8"), ("src_crc", "<u4"), ("src_start", "<i4")])
 
 
 def pack(columns: np.ndarray) -> bytes:
@@ -73,17 +82,37 @@ def runs_of(doc: np.ndarray, crc: np.ndarray, start: np.ndarray,
     return first, out
 
 
-def later_copies(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Flags of the edges that also start in a document with a smaller id."""
+def keepers(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each edge the index of an equal edge in the document with the
+    smallest id, the first one there."""
     order = np.lexsort((doc, hashes))
-    h, d = hashes[order], doc[order]
+    h = hashes[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    least = np.repeat(d[first], np.diff(first, append=len(h)))
-    out = np.empty(len(h), bool)
-    out[order] = d > least
+    out = np.empty(len(h), np.int64)
+    out[order] = np.repeat(order[first], np.diff(first, append=len(h)))
     return out
 
 
+def spans_of(doc: np.ndarray, crc: np.ndarray, start: np.ndarray, key: np.ndarray,
+             known: np.ndarray, keeper: np.ndarray) -> np.ndarray:
+    """SPAN rows of the edges at the indices ``known``, in source order: runs
+    that share ``key`` and repeat places that follow each other, too."""
+    at = keeper[known]
+    new = np.ones(len(known), bool)
+    new[1:] = (doc[at][1:] != doc[at][:-1]) | (crc[at][1:] != crc[at][:-1]) | (
+        start[at][1:] != start[at][:-1] + 1) | (key[known][1:] != key[known][:-1])
+    first, runs = runs_of(doc[known], crc[known], start[known], np.cumsum(new))
+    out = np.empty(len(runs), SPAN)
+    for name in RUN.names:
+        out[name] = runs[name]
+    out["src"], out["src_crc"], out["src_start"] = doc[at][first], crc[at][first], start[at][first]
+    return out
+
+
+def digest(words: list[bytes]) -> bytes:
+    return blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def _edges(rows: list[tuple[int, bytes]], window: int, seed_words: int, buckets: int):
     """Edges of documents sorted by id: hash, bucket, document, crc, start."""
     hashes, bucket, doc, crc, start = [], [], [], [], []
@@ -108,8 +137,9 @@ def _deal(window: int, seed_words: int, buckets: int, block_bytes: int):
         if edges is None:
             return
         hashes, bucket, doc, crc, start = edges
-        known = later_copies(hashes, doc)
-        _, spans = runs_of(doc[known], crc[known], start[known])
+        keeper = keepers(hashes, doc)
+        known = doc > doc[keeper]
+        spans = spans_of(doc, crc, start, doc, np.flatnonzero(known), keeper)
         hashes, bucket, doc, crc, start = (x[~known] for x in edges)
         first, runs = runs_of(doc, crc, start, bucket)
         order = np.argsort(bucket[first], kind="stable")
@@ -123,7 +153,7 @@ def _deal(window: int, seed_words: int, buckets: int, block_bytes: int):
             out.append((int(bucket[first[which[0]]]), hashes[at].tobytes(), pack(runs[which]), None))
         if len(spans):
             # what this block settled itself rides with any one bucket
-            out.append((int(spans["doc"][0]) % buckets, b"", pack(spans[:0]), pack(spans)))
+            out.append((int(spans["doc"][0]) % buckets, b"", pack(np.zeros(0, RUN)), zstandard.compress(spans.tobytes(), 1)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(zip(*out, strict=True), STRETCHES.types, strict=True)],
             schema=STRETCHES)
@@ -152,22 +182,24 @@ def _meet(window: int):
             hashes.append(np.frombuffer(h.as_py(), np.uint64))
             runs.append(unpack(r.as_py()))
             if s.is_valid:
-                settled.append(unpack(s.as_py()))
+                settled.append(np.frombuffer(zstandard.decompress(s.as_py()), SPAN))
         h, r = np.concatenate(hashes), np.concatenate(runs)
         del hashes, runs
-        known = later_copies(h, np.repeat(r["doc"], r["edges"])) if len(h) else np.zeros(0, bool)
-        del h
         n = r["edges"]
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        own = np.repeat(np.arange(len(r)), n)[known]
+        own = np.repeat(np.arange(len(r)), n)
+        doc, crc = r["doc"][own], r["crc"][own]
+        start = r["start"][own] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+        keeper = keepers(h, doc) if len(h) else np.zeros(0, np.int64)
+        del h
         # source coordinates of repeated edges, compacted along each stretch
-        _, spans = runs_of(r["doc"][own], r["crc"][own],
-                           r["start"][own] + inside[known].astype(np.int32), own)
+        spans = spans_of(doc, crc, start, own, np.flatnonzero(doc > doc[keeper]), keeper)
         spans = np.concatenate([spans, *settled])
         return pa.Table.from_arrays(
             [pa.array(spans["doc"]), pa.array(spans["crc"].astype(np.int64)),
              pa.array(spans["start"]), pa.array(spans["start"] + spans["edges"] + window - 1,
-                                                pa.int32())], schema=SPANS)
+                                                pa.int32()),
+             pa.array(spans["src"]), pa.array(spans["src_crc"].astype(np.int64)),
+             pa.array(spans["src_start"])], schema=SPANS)
 
     return run
 
@@ -175,8 +207,9 @@ def _meet(window: int):
 def repeated_spans(docs: DataFrame, window: int = 13, seed_words: int = 3,
                    bucket_bytes: int = 16 << 20, block_bytes: int = 4 << 20,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, crc, start, stop): word spans of each document covered by windows
-    that also start in a document with a smaller id. Spans of one document
+    """(doc, crc, start, stop, src, src_crc, src_start): word spans of each
+    document covered by windows whose hashes also start in a document with a
+    smaller id, and the place there. Spans of one document
     may overlap. ``crc`` (of the text) tells rows that repeat an id apart."""
     spark = docs.sparkSession
     rows = (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
@@ -185,7 +218,37 @@ def repeated_spans(docs: DataFrame, window: int = 13, seed_words: int = 3,
     dealt = rows.mapInArrow(_deal(window, seed_words, buckets, block_bytes),
                             "bucket int, hashes binary, runs binary, spans binary")
     return dealt.groupBy("bucket").applyInArrow(
-        _meet(window), "doc long, crc long, start int, stop int")
+        _meet(window), SPAN_TYPES)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for src, crc, text, places in zip(
+                *(batch.column(batch.schema.names.index(x)).to_pylist()
+                  for x in ("src", "src_crc", "text", "places")), strict=True):
+            words = text.encode().split()
+            rows += [(src, crc, p["src_start"], p["n"],
+                      digest(words[p["src_start"]:p["src_start"] + p["n"]])) for p in places]
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(columns, (
+                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+            names=["src", "src_crc", "src_start", "n", "digest"])
+
+
+def with_digests(spans: DataFrame, rows: DataFrame) -> DataFrame:
+    """``spans`` with the digest of the words at the place they repeat; every
+    place is looked up once, however many spans repeat it."""
+    place = ["src", "src_crc", "src_start", "n"]
+    spans = materialise(spans.withColumn("n", F.col("stop") - F.col("start")), "spans")
+    asked = materialise(spans.select(*place).distinct().groupBy("src", "src_crc").agg(
+        F.collect_list(F.struct("src_start", "n")).alias("places")), "places")
+    texts = rows.select(F.col("doc").alias("src"),
+                        F.crc32(F.col("text").cast("binary")).alias("src_crc"), "text")
+    found = join_by_id(texts, asked, ["src", "src_crc"]).mapInArrow(
+        _digests, "src long, src_crc long, src_start int, n int, digest binary").dropDuplicates(place)
+    return spans.join(found, place).select("doc", "crc", "start", "stop", "digest")
 
 
 def _remove(text_col: str):
@@ -199,7 +262,9 @@ def _remove(text_col: str):
                                    batch.column(names.index("removed")).to_pylist(), strict=True):
                 words = (text.as_py() or "").encode().split()
                 out, merged, at = [], [], 0
-                for a, b in sorted((s["start"], s["stop"]) for s in spans or ()):
+                same = {(s["start"], s["stop"]) for s in spans or ()
+                        if digest(words[s["start"]:s["stop"]]) == s["digest"]}
+                for a, b in sorted(same):
                     if merged and a <= merged[-1]["stop"]:
                         merged[-1]["stop"] = max(merged[-1]["stop"], b)
                     else:
@@ -234,9 +299,11 @@ def drop_repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id
     rows; texts of any length are worked through whole."""
     df = without(docs, *OUTPUTS)
     i, j, a, b = unused(df, "_id", "_sum", "_doc", "_crc")
-    spans = (repeated_spans(df, window, id_col=id_col, text_col=text_col, **kw)
+    rows = (df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+            .filter("doc is not null and text is not null"))
+    spans = (with_digests(repeated_spans(df, window, id_col=id_col, text_col=text_col, **kw), rows)
              .groupBy("doc", "crc")
-             .agg(F.collect_list(F.struct("start", "stop")).alias("removed"))
+             .agg(F.collect_list(F.struct("start", "stop", "digest")).alias("removed"))
              .withColumnsRenamed({"doc": a, "crc": b}))
     keyed = df.withColumns({i: F.col(id_col).cast("long"),
                             j: F.crc32(F.col(text_col).cast("binary"))})

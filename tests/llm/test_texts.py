@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -313,6 +314,41 @@ def test_substring_dedup_query_against_brute_force(spark, small):
     assert {r[0]: tuple(r[1:]) for r in got} == want
 
 
+def test_substring_dedup_verifies_words_behind_equal_hashes(make):
+    rng = random.Random(4)
+    ws = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(30))
+    docs = make([(1, ws()), (2, ws()), (3, ws())])
+    rows = docs.select(docs.doc_id.alias("doc"), "text")
+    text = {r["doc"]: r["text"] for r in rows.collect()}
+    crc = {d: zlib.crc32(t.encode()) for d, t in text.items()}
+    spans = docs.sparkSession.createDataFrame(
+        [(3, crc[3], 2, 15, 1, crc[1], 4)], substring_dedup.SPAN_TYPES)   # as if hashes were equal
+    digest = substring_dedup.with_digests(spans, rows).first()["digest"]
+    assert digest == substring_dedup.digest(text[1].encode().split()[4:17])
+    assert digest != substring_dedup.digest(text[3].encode().split()[2:15])
+
+
+@pytest.mark.parametrize("block_bytes", [60, 1 << 20])
+def test_substring_dedup_keeps_words_of_false_pairs(make, monkeypatch, block_bytes):
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choice("abcdefgh") * 3 for _ in range(30))) for i in (1, 2)]
+
+    def weak(rows, *args, real=substring_dedup._edges):
+        edges = real(rows, *args)
+        return edges and (edges[0] & np.uint64(0), edges[1] * 0, *edges[2:])
+    monkeypatch.setattr(substring_dedup, "_edges", weak)
+    dealt = list(substring_dedup._deal(5, 2, 4, block_bytes)(iter(
+        [pa.RecordBatch.from_pydict({"doc": [1, 2], "text": [t for _, t in docs]})])))
+    met = substring_dedup._meet(5)(pa.Table.from_batches(dealt)).to_pylist()
+    assert met and all(m["doc"] == 2 and m["src"] == 1 for m in met)
+    words = {d: t.encode().split() for d, t in docs}
+    spans = [{"start": m["start"], "stop": m["stop"], "digest": substring_dedup.digest(
+        words[1][m["src_start"]:m["src_start"] + m["stop"] - m["start"]])} for m in met]
+    out = next(substring_dedup._remove("text")(iter([pa.RecordBatch.from_pydict(
+        {"text": [docs[1][1]], "removed": [spans]})])))
+    assert out.column(out.schema.names.index("n_removed")).to_pylist() == [0]
+
+
 def test_substring_dedup_edges(make, spark):
     docs = spark.createDataFrame([(1, "a b c", 1, 2)],
                                  "doc_id long, text string, `_id` int, kept_text int")
