@@ -64,6 +64,16 @@ def windowed_counts(events: DataFrame, width: str = "1 hour", watermark: str = "
                   .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
 
 
+def open_windows(landed: DataFrame, emitted: DataFrame, width: str = "1 hour",
+                 watermark: str = "2 hours") -> DataFrame:
+    """K9: final flush of ``windowed_counts`` in a batch: the windows of the
+    landed events that the ended stream has not emitted."""
+    whole = windowed_counts(landed, width, watermark)
+    return whole.join(emitted.select("w", "event_type"),
+                      whole["w"].eqNullSafe(emitted["w"])
+                      & whole["event_type"].eqNullSafe(emitted["event_type"]), "left_anti")
+
+
 def latest_state(events: DataFrame) -> DataFrame:
     """K6: latest event per user (hot state), an ordinary aggregate that
     the state store keeps per key."""

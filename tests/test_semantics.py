@@ -107,3 +107,12 @@ def test_trailing_slice_short_arrays(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([1, 2, 3, 4, 5, 6, 7],), ([],)], "a array<int>")
     got = [r[0] for r in df.select(X.trailing("a", 5)).collect()]
     assert got == [[1, 2, 3], [3, 4, 5, 6, 7], []]
+
+
+def test_windowed_counts_hold_every_event(spark):
+    from lodestar.plans.registry import load_all
+    from lodestar.tables import Tables
+    from tests.conftest import SF_SMALL
+    out = load_all()["k_windowed_counts"].build(spark, SF_SMALL).collect()
+    assert sum(r["n"] for r in out) == Tables(spark, SF_SMALL).events.count()
+    assert len({(r["window_start"], r["event_type"]) for r in out}) == len(out)
