@@ -126,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_col: str =
           text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``sample`` trusted positives and ``sample`` rows of
     ``docs`` as unlabelled text. An id labelled both ways is not trusted. None
-    if there is nothing to learn from."""
+    if there is nothing to learn from. Of rows that repeat an id the least text
+    stands for all."""
     ids = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     good = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
             .filter("id is not null and y is not null").filter(~held_out("id"))
@@ -134,9 +135,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_col: str =
     by_hash = [F.xxhash64(F.lit(11), "id"), F.col("id")]
     # both lists are bounded by ``sample``
     trusted = good.select("id").orderBy(*by_hash).limit(sample).withColumn("positive", F.lit(True))
-    web = ids.select("id").orderBy(F.xxhash64(F.lit(12), "id"), "id").limit(sample).distinct() \
+    web = ids.select("id").distinct().orderBy(F.xxhash64(F.lit(12), "id"), "id").limit(sample) \
         .withColumn("positive", F.lit(False))
-    rows = ids.join(F.broadcast(trusted.unionByName(web)), "id").select("positive", "text")
+    rows = ids.join(F.broadcast(trusted.unionByName(web)), "id").groupBy("id", "positive").agg(
+        F.min("text").alias("text")).select("positive", "text")
     got = rows.mapInArrow(_features, "positive boolean, x array<double>").toArrow().combine_chunks()
     if not got.num_rows:
         return None

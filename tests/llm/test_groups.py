@@ -201,6 +201,14 @@ def test_labels_of_held_out_rows_play_no_part(spark, module, column):
     assert np.array_equal(a.weights, b.weights)
 
 
+def test_quality_sample_holds_one_row_per_id(make, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u: seen.append((len(p), len(u))))
+    docs = make([(i, f"text of document {i}") for i in range(40)] + [(7, f"more {i}") for i in range(200)])
+    quality.train(docs, make([(i, 1) for i in range(0, 40)], "doc_id long, quality int"), sample=300)
+    assert seen[0][0] <= 40 and seen[0][1] <= 40
+
+
 def test_prior_estimate():
     rng = np.random.default_rng(0)
     p = rng.normal(2, 1, 4000)
