@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    decontaminate, jaccard_join, line_dedup, packing, quality, sharding, substring_dedup,
-    token_counts, topk, toxicity)
+    decontaminate, filter_audit, importance, jaccard_join, line_dedup, line_rules, packing,
+    quality, sharding, substring_dedup, token_counts, topk, toxicity)
 from lodestar.llm.common import read_table
 
 
@@ -91,6 +91,25 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+        read_table(spark, sf_dir, "benchmark"), n=1, buckets=10_000, percent=10,
+        least_words=20, seed="2024").select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.apply_rules(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "n_boilerplate_words", "kept")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read_table(spark, sf_dir, "documents"),
+                                        read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
@@ -102,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
+    "op11_importance": op11_importance,
+    "op12_line_rules": op12_line_rules,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -214,4 +236,160 @@ ORACLE_SQL: dict[str, str] = {
                                               ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_importance": """
+        WITH tab AS (
+            SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+                       THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+            FROM range(256) r(i)),
+        f AS (
+            SELECT 's' AS side, doc_id, unnest(w) AS x
+            FROM (SELECT doc_id, regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents)
+            UNION ALL
+            SELECT 't', item_id, unnest(w)
+            FROM (SELECT item_id, regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)),
+        word AS (
+            SELECT x, xor(list_reduce(b, lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]),
+                                      CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+            FROM (SELECT x, [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT)
+                             FOR i IN range(len(h) // 2)] AS b
+                  FROM (SELECT x, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM f))), tab),
+        c AS (
+            SELECT bucket, CAST(count(*) FILTER (WHERE side = 's') AS DOUBLE) AS s,
+                   CAST(count(*) FILTER (WHERE side = 't') AS DOUBLE) AS t
+            FROM f JOIN word USING (x) GROUP BY bucket),
+        g AS (
+            SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000)
+                       / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM c),
+        d AS (
+            SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+            FROM f JOIN word USING (x) JOIN g USING (bucket) WHERE side = 's' GROUP BY doc_id),
+        s AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || sha256(
+                       '2024:' || doc_id)[1:8] AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT)
+                       AS score
+            FROM documents LEFT JOIN d USING (doc_id)),
+        r AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k,
+                   count(*) OVER () AS n FROM s WHERE n_features >= 20)
+        SELECT s.doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank
+        FROM s LEFT JOIN r USING (doc_id)""",
+    "op12_line_rules": """
+        WITH d AS (
+            SELECT doc_id, source, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        l AS (
+            SELECT doc_id, source, text, i, v, len(regexp_extract_all(v, '[^\\x20\\x09-\\x0D]+')) AS n,
+                   regexp_replace(array_to_string(regexp_extract_all(translate(v,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+'), ' '), '[0-9]+', '0', 'g') AS key
+            FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS v,
+                         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d)),
+        x AS (SELECT * FROM l WHERE n > 0),
+        again AS (
+            SELECT doc_id, sum(c - 1) AS n_dup_lines
+            FROM (SELECT doc_id, v, count(*) AS c FROM x GROUP BY ALL) GROUP BY doc_id),
+        win AS (
+            SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS t
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+        rep AS (
+            SELECT doc_id, count(DISTINCT k) AS n_repeat_words
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k
+                  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, t) AS c FROM win) WHERE c > 1)
+            GROUP BY doc_id),
+        hosts AS (SELECT source, count(DISTINCT text) AS n FROM x GROUP BY source),
+        above AS (
+            SELECT x.source, key, count(DISTINCT text) AS n_docs
+            FROM x JOIN hosts h ON x.source IS NOT DISTINCT FROM h.source
+            GROUP BY x.source, key, h.n
+            HAVING count(DISTINCT text) > 3 AND count(DISTINCT text) > 0.01 * h.n),
+        hit AS (
+            SELECT x.doc_id, x.source, x.text, x.key, n, len(d.w) AS words
+            FROM x JOIN above a ON x.source IS NOT DISTINCT FROM a.source AND x.key = a.key
+            JOIN d ON d.doc_id = x.doc_id),
+        low AS (
+            SELECT DISTINCT text
+            FROM (SELECT doc_id, text FROM hit GROUP BY doc_id, text, words
+                  HAVING words - sum(n) < 0.5 * words)),
+        gone AS (
+            SELECT a.source, a.key
+            FROM above a JOIN hit h ON a.source IS NOT DISTINCT FROM h.source AND a.key = h.key
+            GROUP BY a.source, a.key, a.n_docs
+            HAVING 2 * count(DISTINCT h.text) FILTER (WHERE h.text IN (SELECT text FROM low))
+                   <= a.n_docs),
+        lost AS (
+            SELECT x.doc_id, sum(n) AS n
+            FROM x JOIN gone g ON x.source IS NOT DISTINCT FROM g.source AND x.key = g.key
+            GROUP BY x.doc_id),
+        m AS (
+            SELECT d.doc_id, len(w) AS n_words,
+                   len(text) - len(regexp_extract_all(text, '[\\x20\\x09-\\x0D]')) AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost.n, 0) AS lost
+            FROM d LEFT JOIN again USING (doc_id) LEFT JOIN rep USING (doc_id)
+            LEFT JOIN lost USING (doc_id))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               CAST(lost AS BIGINT) AS n_boilerplate_words,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND n_words - lost >= 0.5 * n_words AS kept
+        FROM m""",
+    "op13_filter_audit": """
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        firsts AS (SELECT text, min(doc_id) AS least FROM t GROUP BY text),
+        lab AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels
+                GROUP BY doc_id),
+        flags AS (
+            SELECT t.doc_id, part, quality, toxic,
+                   {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                    'C': 100 * len(regexp_extract_all(t.text, '[A-Z]')) > 2 * len(t.text),
+                    'D': regexp_matches(t.text, '[#$%&*|]'), 'E': t.doc_id > least} AS f
+            FROM t JOIN firsts USING (text) LEFT JOIN lab USING (doc_id)),
+        fails AS (
+            SELECT part, quality, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x:
+                CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C
+                       WHEN 'D' THEN f.D ELSE f.E END) AS failed
+            FROM flags),
+        cell AS (
+            SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+                   count(*) FILTER (WHERE toxic = 1) AS toxic
+            FROM fails GROUP BY part, failed),
+        letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letter a, letter b, letter c, letter d, letter e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (
+            SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier
+            FROM orders, range(1, 6) s(step)),
+        audit AS (
+            SELECT part, filter_order, step, own,
+                   sum(n) FILTER (WHERE NOT fails AND NOT gone) AS kept,
+                   sum(n) FILTER (WHERE fails AND NOT gone) AS removed,
+                   sum(n) FILTER (WHERE fails AND gone) AS redundant,
+                   sum(n) FILTER (WHERE fails AND len(failed) = 1) AS unique_fails,
+                   sum(good) FILTER (WHERE fails AND NOT gone) AS good_lost,
+                   sum(toxic) FILTER (WHERE fails AND NOT gone) AS toxic_lost
+            FROM (SELECT *, list_contains(failed, own) AS fails,
+                         len(list_filter(failed, lambda x: contains(earlier, x))) > 0 AS gone
+                  FROM cell, steps)
+            GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+               CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+               CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+               CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+               CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM audit""",
 }
