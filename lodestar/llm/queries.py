@@ -160,42 +160,6 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""",
-    "op5_line_dedup": """
-        WITH l AS (
-            SELECT doc_id, i, v, regexp_extract_all(v, '[^ \\t\\r\\f\\v\\n]+') AS raw
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS v,
-                         generate_subscripts(string_split(text, chr(10)), 1) AS i
-                  FROM documents WHERE text IS NOT NULL AND text <> '')),
-        t AS (
-            SELECT *, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END FOR x IN raw] AS w,
-                   len(raw) AS n
-            FROM l),
-        k AS (
-            SELECT doc_id, i, n, CAST(n AS VARCHAR) || ' ' || array_to_string(w, ' ') AS key
-            FROM t WHERE len(list_filter(w, lambda x: x <> '<*>')) >= 3
-            UNION ALL
-            SELECT doc_id, i, n, CAST(n AS VARCHAR) || ' ' || array_to_string(list_concat(
-                list_concat(w[1:a], ['<' || a || '-' || b || '>']), w[b + 1:n]), ' ') AS key
-            FROM (SELECT *, 2 + (n - 2) * c // 4 AS a, 2 + (n - 2) * (c + 1) // 4 AS b
-                  FROM (SELECT *, unnest([0, 1, 2, 3]) AS c FROM t WHERE n >= 8))
-            WHERE len(list_filter(list_concat(w[1:a], w[b + 1:n]), lambda x: x <> '<*>')) >= 3),
-        r AS (
-            SELECT key, min(doc_id) AS keeper FROM k
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-        gone AS (SELECT DISTINCT doc_id, i FROM k JOIN r USING (key) WHERE doc_id > keeper),
-        share AS (
-            SELECT t.doc_id, sum(CASE WHEN gone.i IS NULL THEN 0 ELSE n END) > 0.5 * sum(n) AS copy
-            FROM t LEFT JOIN gone ON t.doc_id = gone.doc_id AND t.i = gone.i GROUP BY t.doc_id),
-        kept AS (
-            SELECT l.doc_id, count(*) AS n_lines,
-                   count(*) FILTER (WHERE gone.i IS NOT NULL AND NOT copy) AS n_dropped,
-                   string_agg(v, chr(10) ORDER BY l.i)
-                       FILTER (WHERE gone.i IS NULL OR copy) AS text
-            FROM l JOIN share ON l.doc_id = share.doc_id
-            LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
-        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
-               sha256(coalesce(k2.text, '')) AS kept_sha256
-        FROM documents d LEFT JOIN kept k2 ON d.doc_id = k2.doc_id""",
     "op9_substring_dedup": """
         WITH d AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
