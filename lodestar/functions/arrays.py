@@ -70,11 +70,12 @@ def mean(a) -> Column:
 def std_pop(a) -> Column:
     """Population standard deviation of an array: deviations from the mean
     are squared and summed (sums of squares would cancel for large values
-    close together); NULL for an empty array."""
+    close together); NULL for an empty array. The mean is bound once, as the
+    only element of an array, so the fold reads each element once."""
     a = as_double(a)
-    mu = mean(a)
-    squares = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu))
-    return F.sqrt(F.try_divide(squares, F.size(a)))
+    squares = F.transform(F.array(mean(a)), lambda mu: F.aggregate(
+        a, F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu)))
+    return F.sqrt(F.try_divide(F.get(squares, F.lit(0)), F.size(a)))
 
 
 def trend(a, min_len: int = 4) -> Column:
@@ -95,7 +96,8 @@ def rolling_std_mean(a, width: int = 5) -> Column:
     n = F.size(a)
     starts = F.sequence(F.lit(1), n - width + 1)
     stds = F.transform(starts, lambda i: std_pop(F.slice(a, i, width)))
-    return F.when(a.isNull() | (n < width), F.lit(0.0)).otherwise(mean(stds))
+    total = F.aggregate(stds, F.lit(0.0), lambda acc, x: acc + x)    # one pass over the windows
+    return F.when(a.isNull() | (n < width), F.lit(0.0)).otherwise(total / (n - width + 1))
 
 
 def trailing(a, k: int) -> Column:

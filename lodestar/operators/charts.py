@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.joins import small_side
+from lodestar.session import cut_lineage
 
 
 def _bin(x: Column, lo, width, bins: int) -> Column:
@@ -63,14 +64,14 @@ def box_stats(df: DataFrame, key: str, value: str, k: float = 1.5,
     exact and distributed, or with ``approx`` from bounded sketches."""
     from lodestar.operators.windows import exact_quantiles
     if approx:
-        q = df.groupBy(key).agg(*[F.percentile_approx(value, p, 10000).alias(n) for p, n in
-                                  ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+        q = cut_lineage(df.groupBy(key).agg(*[F.percentile_approx(value, p, 10000).alias(n) for p, n in
+                                              ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]))
     else:
         q = exact_quantiles(df, key, value, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     fence = q.select(key, "q1", "median", "q3",
                      (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("_lf"),
                      (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("_uf"))
-    x = df.select(key, value).join(small_side(fence.select(key, "_lf", "_uf")), key)
+    x = df.select(key, value).join(small_side(fence.select(key, "_lf", "_uf"), fixed=True), key)
     inside = (F.col(value) >= F.col("_lf")) & (F.col(value) <= F.col("_uf"))
     w = x.groupBy(key).agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_lo"),

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.session import cut_lineage
+
 
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` — callers pass only frames whose row count is
@@ -23,11 +25,12 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df)
 
 
-def small_side(stats: DataFrame, most: int = 100_000) -> DataFrame:
-    """Statistics per group, to be joined back to the rows: their number is
-    counted (up to ``most`` + 1) and they are broadcast up to ``most``, so
-    the rows stay where they are; beyond, groups are many and an ordinary
-    join spreads them."""
+def small_side(stats: DataFrame, most: int = 100_000, fixed: bool = False) -> DataFrame:
+    """Statistics per group, to be joined back to the rows: they are written
+    once (unless ``fixed``: local or written rows already), counted, and
+    broadcast up to ``most`` rows, so the rows they describe stay where they
+    are; beyond, groups are many and an ordinary join spreads them."""
+    stats = stats if fixed else cut_lineage(stats)
     return F.broadcast(stats) if stats.limit(most + 1).count() <= most else stats
 
 

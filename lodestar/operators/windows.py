@@ -204,9 +204,18 @@ def positions_within(df: DataFrame, keys, order: Sequence[Column], parts: int |
 
 def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
                     parts: int | None = None, names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles per group by distributed
+    selection (``operators.quantiles``)."""
+    from lodestar.operators.quantiles import exact_quantiles as select
+    return select(df, keys, value, probs, names, parts)
+
+
+def ranked_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
+                     parts: int | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group (position
-    q * (n - 1), as numpy / SQL ``percentile_cont``), without holding a
-    group's values in one task.
+    q * (n - 1), as numpy / SQL ``percentile_cont``) for so many groups that
+    their targets cannot be broadcast, without holding a group's values in
+    one task.
 
     1. (keys, value) -> count: duplicates collapse map-side;
     2. global exclusive prefix of the counts over (keys, value) order, range

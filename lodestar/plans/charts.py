@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.operators import charts as D
+from lodestar.operators.joins import small_side
+from lodestar.operators.quantiles import exact_quantiles
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
 
@@ -126,8 +128,8 @@ GROUP BY b.l_returnflag, bin, m.median""")
 def d_class_conditional(spark, sf):
     li = Tables(spark, sf).lineitem
     h = D.histogram(li, "l_quantity", 5, keys=["l_returnflag"], lo=0, hi=50)
-    med = li.groupBy("l_returnflag").agg(F.median("l_quantity").alias("median"))
-    return h.select("l_returnflag", "bin", "n").join(med, "l_returnflag")
+    med = exact_quantiles(li, "l_returnflag", "l_quantity", [0.5], names=["median"])
+    return h.select("l_returnflag", "bin", "n").join(small_side(med, fixed=True), "l_returnflag")
 
 
 @query("d_completion_by_length", "D14 B30 J7", sql="""
