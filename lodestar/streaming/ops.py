@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestar.streaming.state import HotState
 from lodestar.tables import SCHEMAS
 
 
@@ -64,14 +65,57 @@ def windowed_counts(events: DataFrame, width: str = "1 hour", watermark: str = "
                   .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
 
 
-def open_windows(landed: DataFrame, emitted: DataFrame, width: str = "1 hour",
-                 watermark: str = "2 hours") -> DataFrame:
-    """K9: final flush of ``windowed_counts`` in a batch: the windows of the
-    landed events that the ended stream has not emitted."""
-    whole = windowed_counts(landed, width, watermark)
-    return whole.join(emitted.select("w", "event_type"),
-                      whole["w"].eqNullSafe(emitted["w"])
-                      & whole["event_type"].eqNullSafe(emitted["event_type"]), "left_anti")
+def last_watermark(query: StreamingQuery):
+    """The event-time watermark a query has reached, from its own progress
+    (None before the first event)."""
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress
+             if p["eventTime"].get("watermark")]
+    return max(marks) if marks else None
+
+
+def rows_of(query: StreamingQuery) -> int:
+    """Input rows a query has read since it started, from its progress."""
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def open_windows(landed: DataFrame, watermark: str | None, width: str = "1 hour") -> DataFrame:
+    """K9: final flush of ``windowed_counts`` in a batch: the windows that the
+    ended stream still held open at its ``watermark``. Only events of these
+    windows are read (the time filter reaches the scan)."""
+    if watermark is not None:
+        mark = F.lit(watermark).cast("timestamp")
+        landed = landed.where(F.col("ts").cast("timestamp") > mark - F.expr(f"INTERVAL {width}"))
+    whole = windowed_counts(landed, width, "0 seconds")
+    return whole if watermark is None else whole.where(F.col("w.end") > mark)
+
+
+def hourly_baseline(history: DataFrame, width: str = "1 hour") -> DataFrame:
+    """K9: batch mart of what is usual per event type: mean and deviation of
+    the windows' counts, and of the values (NULL deviation: one window only)."""
+    h = windowed_counts(history, width).groupBy("event_type").agg(
+        F.avg("n").alias("mean_n"), F.stddev_samp("n").alias("std_n"))
+    v = history.groupBy("event_type").agg(F.avg("value").alias("mean_value"),
+                                          F.stddev_samp("value").alias("std_value"))
+    return h.join(v, "event_type")
+
+
+def rule_alerts(windows: DataFrame, baseline: DataFrame, z: float = 2.0) -> DataFrame:
+    """K9 rule monitoring: closed live windows (a stream or a batch) joined to
+    the baseline mart, one row per broken rule: count above or below ``z``
+    deviations, mean value off by ``z`` standard errors, or a type without
+    baseline. The mart has one row per event type; each micro-batch reads it
+    anew, so a recomputed mart takes effect without a restart."""
+    j = windows.join(baseline, "event_type", "left")
+    off = F.abs(F.col("total") / F.col("n") - F.col("mean_value"))
+    rules = {
+        "count_high": F.col("n") > F.col("mean_n") + z * F.col("std_n"),
+        "count_low": F.col("n") < F.col("mean_n") - z * F.col("std_n"),
+        "value_shift": off > z * F.col("std_value") / F.sqrt("n"),
+        "unknown_type": F.col("mean_n").isNull(),
+    }
+    broken = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]))
+    return j.select(F.col("w.start").alias("window_start"), "event_type", "n", "total",
+                    F.explode(broken).alias("rule"))
 
 
 def latest_state(events: DataFrame) -> DataFrame:
@@ -96,42 +140,33 @@ def run_to_files(df: DataFrame, out: str, checkpoint: str, mode: str = "append",
     return w.start()
 
 
-def run_upserting(df: DataFrame, out: str, checkpoint: str, available_now: bool = True,
-                  interval: str = "5 seconds") -> StreamingQuery:
-    """K6/K7: complete-mode aggregate -> each micro-batch replaces the
-    serving table (written by the executors inside ``foreachBatch``)."""
+def run_idempotent(df: DataFrame, out: str, checkpoint: str, available_now: bool = False,
+                   interval: str = "1 second", after_batch=None) -> StreamingQuery:
+    """K3/K5: every micro-batch writes a folder of its own (``batch=N``), so a
+    batch that was written but not committed before a stop is written over
+    when the restart replays it: exactly once. ``after_batch`` (batch id) runs
+    between the write and the commit, for metrics."""
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+        if after_batch:
+            after_batch(epoch)
 
-    w = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-           .foreachBatch(write))
+    w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
-def run_changes(df: DataFrame, out: str, checkpoint: str, available_now: bool = True,
+def run_changes(df: DataFrame, state: HotState, checkpoint: str, available_now: bool = True,
                 interval: str = "5 seconds") -> StreamingQuery:
-    """K6/K7 at scale: update-mode aggregate; every micro-batch appends only
-    the keys it changed, tagged with the batch id (a replayed batch appends
-    identical rows again, which the reader collapses). Cost per batch is the
-    number of changed keys, not the size of the whole state."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(out)
-
+    """K6/K7 at scale: update-mode aggregate; every micro-batch hands only the
+    keys it changed to the state, so its cost is the number of changed keys,
+    and compaction keeps a read's cost at the size of the state."""
     w = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-           .foreachBatch(write))
+           .foreachBatch(state.apply))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
-def read_changes(spark: SparkSession, out: str, keys) -> DataFrame:
-    """Serving view of ``run_changes``: the latest emitted row per key (a
-    map-side combined ``max(struct(epoch, ...))``)."""
-    from lodestar.operators.windows import latest_per_key
-    ch = spark.read.parquet(out)
-    return latest_per_key(ch, keys, ["_epoch"]).drop("_epoch")
-
-
 def score_stream(events: DataFrame, model, out: str, checkpoint: str,
                  available_now: bool = True) -> StreamingQuery:
     """K8: apply a batch-trained ``PipelineModel`` to a streaming frame."""
