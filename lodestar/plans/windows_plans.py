@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestar.operators import recurrences as R
 from lodestar.operators import sampling as S
 from lodestar.operators import windows as W
 from lodestar.operators.business import NET_SQL, money, money_sql, net_sum, part_revenue
@@ -116,6 +117,29 @@ def w_moving_avg_daily(spark, sf):
                     F.round("ma7", 4).alias("ma7"), F.round("delta", 4).alias("delta"))
 
 
+@query("w_recursive_indicators", "W7", sql="""
+WITH RECURSIVE r AS (
+  SELECT event_id, user_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+y AS (
+  SELECT event_id, user_id, value, rn, value AS ema, CAST(0 AS DOUBLE) AS up, CAST(0 AS DOUBLE) AS down
+  FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.event_id, r.user_id, r.value, r.rn, 0.2 * r.value + 0.8 * y.ema,
+         (1 - 1 / 14.0) * y.up + greatest(r.value - y.value, 0),
+         (1 - 1 / 14.0) * y.down + greatest(y.value - r.value, 0)
+  FROM r JOIN y ON r.user_id = y.user_id AND r.rn = y.rn + 1)
+SELECT event_id, round(ema, 6) AS ema,
+       round(CASE WHEN up + down > 0 THEN 100 * up / (up + down) END, 6) AS rsi FROM y""")
+def w_recursive_indicators(spark, sf):
+    """Exponential average and relative strength of every user's values."""
+    e = Tables(spark, sf).events.select("event_id", "user_id", "ts", "value")
+    order = ["ts", "event_id"]
+    x = R.exponential_average(e, "user_id", order, "value", 0.2)
+    x = R.relative_strength(x, "user_id", order, "value", 14)
+    return x.select("event_id", F.round("ema", 6).alias("ema"), F.round("rsi", 6).alias("rsi"))
+
+
 @query("w_seconds_since_start", "W9 D11", sql="""
 SELECT event_id, user_id,
        round(epoch(ts) - epoch(min(ts) OVER (PARTITION BY user_id)), 6) AS t_rel_s
