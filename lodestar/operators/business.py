@@ -10,7 +10,7 @@ written out explicitly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators import windows as W
@@ -119,6 +119,41 @@ def slow_movers(lineitem: DataFrame, part: DataFrame, days: int = 365) -> DataFr
     return slow.join(last.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left")
 
 
+def stock_movements(lineitem: DataFrame, part: DataFrame, first: Column, last: Column) -> DataFrame:
+    """B3 stand-in for a stock ledger (the tables have none): every part
+    starts with 100 + 4 * p_size units, receives 20 + p_size at the start of
+    each quarter from ``first`` to ``last``, and loses what is shipped.
+    Columns p_partkey, ts, delta, opening."""
+    opening = (F.lit(100) + 4 * F.col("p_size")).cast("double")
+    quarters = F.sequence(F.trunc(F.to_date(first), "quarter"), F.to_date(last), F.expr("INTERVAL 3 MONTHS"))
+    supply = part.select("p_partkey", "p_size", F.explode(quarters).alias("day")).select(
+        "p_partkey", F.col("day").cast("timestamp_ntz").alias("ts"),
+        (F.lit(20) + F.col("p_size")).cast("double").alias("delta"))
+    sold = lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_shipdate").alias("ts"),
+                           (-F.col("l_quantity")).alias("delta"))
+    return supply.unionByName(sold).join(part.select("p_partkey", opening.alias("opening")), "p_partkey")
+
+
+def critical_stock(movements: DataFrame, key: str, ts: str, delta: str, opening: str,
+                   level: float) -> DataFrame:
+    """B3 critically low stock: per ``key`` the first time its running balance
+    (opening plus all movements up to then) falls below ``level``, the lowest
+    balance and the number of times it went from enough to too little. Keys
+    that never do are left out. Movements at one time count together. Balances
+    run per (key, stretch of rows) and are stitched, so a key with a third of
+    the movements is spread."""
+    from lodestar.operators.recurrences import previous_value
+    from lodestar.operators.windows import running_sum
+    net = movements.groupBy(key, ts).agg(F.sum(delta).alias("_d"), F.first(opening).alias("_o"))
+    x = running_sum(net, key, ts, "_d", "_run").withColumn("_balance", F.col("_o") + F.col("_run"))
+    x = x.withColumn("_low", F.col("_balance") < level)
+    x = previous_value(x, key, ts, "_low", "_was")
+    fell = F.col("_low") & ~F.coalesce(F.col("_was"), F.col("_o") < level)
+    out = x.groupBy(key).agg(F.min(F.when(F.col("_low"), F.col(ts))).alias("first_low"),
+                             F.min("_balance").alias("lowest"), F.count_if(fell).alias("times_fallen"))
+    return out.where("first_low is not null")
+
+
 def turnover(lineitem: DataFrame) -> DataFrame:
     """Units sold per active month, per part."""
     return lineitem.groupBy("l_partkey").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.numeric import fixed, fixed_sql
 from lodestar.operators import business as B
 from lodestar.operators.business import NET_SQL, money, money_sql  # noqa: F401
+from lodestar.operators.graph import item_graph
 from lodestar.plans.registry import query
 from lodestar.tables import Tables
 
@@ -74,6 +75,28 @@ def b3_slow_movers(spark, sf):
     return B.slow_movers(t.lineitem, t.part, 365)
 
 
+@query("b3_critical_stock", "B3", sql="""
+WITH m AS (
+  SELECT l_partkey AS p_partkey, l_shipdate AS ts, -l_quantity AS delta FROM lineitem
+  UNION ALL
+  SELECT p_partkey, q, CAST(20 + p_size AS DOUBLE)
+  FROM part, (SELECT unnest(generate_series(date_trunc('quarter', min(l_shipdate)), max(l_shipdate),
+                                            INTERVAL 3 MONTH)) AS q FROM lineitem)),
+n AS (SELECT p_partkey, ts, sum(delta) AS d FROM m GROUP BY 1, 2),
+b AS (SELECT n.p_partkey, ts, 100 + 4 * p_size AS opening,
+             100 + 4 * p_size + sum(d) OVER (PARTITION BY n.p_partkey ORDER BY ts) AS balance
+      FROM n JOIN part USING (p_partkey)),
+w AS (SELECT *, coalesce(lag(balance) OVER (PARTITION BY p_partkey ORDER BY ts), opening) AS was FROM b)
+SELECT p_partkey, min(ts) FILTER (WHERE balance < 50) AS first_low, min(balance) AS lowest,
+       count(*) FILTER (WHERE balance < 50 AND was >= 50) AS times_fallen
+FROM w GROUP BY 1 HAVING min(balance) < 50""")
+def b3_critical_stock(spark, sf):
+    t = Tables(spark, sf)
+    ends = t.lineitem.agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+    m = B.stock_movements(t.lineitem, t.part, ends.select("a").scalar(), ends.select("b").scalar())
+    return B.critical_stock(m, "p_partkey", "ts", "delta", "opening", 50.0)
+
+
 @query("b3_turnover", "B3", sql="""
 SELECT l_partkey, sum(l_quantity) AS qty,
        count(DISTINCT date_trunc('month', l_shipdate)) AS months_active,
@@ -139,7 +162,21 @@ def b7_abandoned_carts(spark, sf):
     return B.abandoned_carts(Tables(spark, sf).events)
 
 
-@query("b7_brand_pairs", "B7 G5 J9", sql="""
+@query("g_item_relations", "G5 B7 J9", sql="""
+WITH i AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+     e AS (SELECT a.l_partkey AS src, b.l_partkey AS dst, count(*) AS weight
+           FROM i a JOIN i b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY 1, 2),
+     d AS (SELECT item, count(*) AS degree FROM (SELECT src AS item FROM e UNION ALL SELECT dst FROM e)
+           GROUP BY 1)
+SELECT src, dst, weight, s.degree AS src_degree, t.degree AS dst_degree
+FROM e JOIN d s ON s.item = src JOIN d t ON t.item = dst""")
+def g_item_relations(spark, sf):
+    """Edges between parts of one order, with weight and degrees: at most
+    n * (n - 1) / 2 rows for an order of n parts."""
+    return item_graph(Tables(spark, sf).lineitem, "l_orderkey", "l_partkey")
+
+
+@query("b7_brand_pairs", "B7 J9", sql="""
 WITH ob AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey),
      n AS (SELECT count(DISTINCT l_orderkey) AS n FROM ob)
 SELECT a.p_brand AS item_a, b.p_brand AS item_b, count(*) AS support

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from lodestar.operators import clean as C
 from lodestar.operators import profile as P
+from lodestar.operators import sketches as SK
+from lodestar.operators.joins import small_side
 from lodestar.plans.fixtures import DIRTY_CUSTOMER_SQL, WORKOUT_SQL, dirty_customer, workout_series
 from lodestar.plans.registry import query
+from lodestar.session import scratch_dir
 from lodestar.tables import Tables
 
 
@@ -90,6 +96,42 @@ def i_approx_quantiles(spark, sf):
     return d.select("column", "p25", "p50", "p75")
 
 
+@query("i_mergeable_sketches", "A7 I5", sql="""
+WITH e AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+     r AS (SELECT 'all' AS span, DATE '1900-01-01' AS a, DATE '2999-01-01' AS b
+           UNION ALL SELECT 'to the 10th', DATE '1900-01-01', DATE '2024-01-10'
+           UNION ALL SELECT 'from the 8th to the 21st', DATE '2024-01-08', DATE '2024-01-21')
+SELECT span, event_type, count(*) AS n, TRUE AS distinct_ok, TRUE AS quantiles_ok
+FROM e JOIN r ON day BETWEEN a AND b GROUP BY 1, 2""")
+def i_mergeable_sketches(spark, sf):
+    """Sketches stored per event type and day, merged for three ranges of
+    days, and their errors held against the exact answers: distinct events
+    within four standard errors, quartiles within 2 % of rank."""
+    base = scratch_dir(spark, f"sketches-{uuid.uuid4().hex}")
+    e = Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
+    SK.daily_sketches(e, ["event_type"], F.col("day"), "event_id", "value").write.partitionBy(
+        "day").parquet(base)
+    mart = spark.read.parquet(base)
+    out = None
+    for span, a, b in (("all", None, None), ("to the 10th", None, date(2024, 1, 10)),
+                       ("from the 8th to the 21st", date(2024, 1, 8), date(2024, 1, 21))):
+        est = SK.merge_days(mart, ["event_type"], a, b)
+        rows = e if a is None else e.where(F.col("day") >= F.lit(a))
+        rows = rows if b is None else rows.where(F.col("day") <= F.lit(b))
+        x = rows.join(small_side(est.drop("n")), "event_type").groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("exact"),
+            F.first("n_distinct").alias("n_distinct"),
+            *[F.avg((F.col("value") <= F.col(q)).cast("double")).alias(q) for q in ("q25", "q50", "q75")])
+        x = x.select(
+            F.lit(span).alias("span"), "event_type", "n",
+            (F.abs(F.col("n_distinct") - F.col("exact"))
+             <= 4 * SK.distinct_error(12) * F.col("exact")).alias("distinct_ok"),
+            (F.greatest(*[F.abs(F.col(f"q{p}") - p / 100) for p in (25, 50, 75)])
+             <= 0.02 + 1 / F.col("n")).alias("quantiles_ok"))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
 @query("i_frequent_items", "I6", sql="""
 SELECT p_size, count(*) AS n FROM part GROUP BY p_size
 HAVING count(*) >= 0.021 * (SELECT count(*) FROM part)""")
