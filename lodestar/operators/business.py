@@ -271,13 +271,43 @@ def seasonality(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def price_elasticity(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Log-log slope of quantity on unit price, per category."""
-    unit = F.col("l_extendedprice") / F.col("l_quantity")
-    j = lineitem.select("l_partkey", "l_quantity", unit.alias("unit")).join(
-        part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    return j.groupBy("p_type").agg(
-        F.regr_slope(F.ln("l_quantity"), F.ln("unit")).alias("elasticity"),
-        F.count(F.lit(1)).alias("n"))
+    """Log-log slope of quantity on unit price, per category. Lines are
+    reduced to sums per part before they meet the catalogue (sums about fixed
+    points near the data, so that little cancels)."""
+    x = F.ln(F.col("l_extendedprice") / F.col("l_quantity")) - 7
+    y = F.ln("l_quantity") - 3
+    xy = lineitem.select("l_partkey", x.alias("x"), y.alias("y")).where("x is not null and y is not null")
+    per = xy.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"),
+        F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("x") * F.col("y")).alias("xy"))
+    j = per.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    t = j.groupBy("p_type").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "xy")])
+    slope = F.try_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"),
+                         F.col("n") * F.col("xx") - F.col("x") * F.col("x"))
+    return t.select("p_type", slope.alias("elasticity"), "n")
+
+
+def value_by_length(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
+                    edges=(120, 180)) -> DataFrame:
+    """Lifetime value and retention of customers by the length of what
+    they watch (stand-in: part length = 4 x p_size minutes). Per band: users,
+    mean value of a user there, and the share of users active in more than one
+    year. Lines are reduced per order and band, then per user, year and band."""
+    length = 4 * F.col("p_size")
+    band = F.when(length <= edges[0], f"<={edges[0]}").when(length <= edges[1], f"<={edges[1]}") \
+        .otherwise(f">{edges[1]}")
+    per_order = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum(net_units()).alias("v")).join(
+        part.select(F.col("p_partkey").alias("l_partkey"), band.alias("band")), "l_partkey").groupBy(
+        "l_orderkey", "band").agg(F.sum("v").alias("v"))
+    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+                      F.year("o_orderdate").alias("year"))
+    per_user = per_order.join(o, "l_orderkey").groupBy("o_custkey", "band", "year").agg(
+        F.sum("v").alias("v")).groupBy("o_custkey", "band").agg(
+        F.sum(F.col("v").cast("decimal(28,0)")).alias("v"), F.count(F.lit(1)).alias("years"))
+    return per_user.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n_users"),
+        (F.sum("v").cast("double") / 1e4 / F.count(F.lit(1))).alias("lifetime_value"),
+        F.avg((F.col("years") > 1).cast("double")).alias("retained_share"))
 
 
 def price_bands(lineitem: DataFrame, width: float) -> DataFrame:

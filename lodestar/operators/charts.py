@@ -87,6 +87,20 @@ def regression_line(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) ->
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
+def scatter_points(df: DataFrame, keys: Sequence[str], x: str, y: str, n: int,
+                   zone: float) -> DataFrame:
+    """``n`` distinct points for a scatter plot, those with the least
+    hashes of ``keys`` (a distributed take-ordered: each task keeps n), with
+    the regression line of all rows and whether the point lies above ``zone``
+    times the line."""
+    h = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    points = df.select(*keys, F.col(x).alias("x"), F.col(y).alias("y"), h.alias("_h")).distinct() \
+        .orderBy("_h", "x", "y").limit(n)
+    fit = regression_line(df, y, x)
+    line = fit.select("slope").scalar() * F.col("x") + fit.select("intercept").scalar()
+    return points.select("x", "y", line.alias("line")).withColumn("in_zone", F.col("y") > zone * F.col("line"))
+
+
 def ohlc(df: DataFrame, ts: str, price: str, tiebreak: str, period: str = "day",
          volume: str | None = None) -> DataFrame:
     """open/high/low/close per period. Open/close are the first/last
@@ -108,14 +122,15 @@ def heatmap(df: DataFrame, row: str, col: Column, values: Sequence, agg: Column)
 
 
 def banded_rate(df: DataFrame, length: str, edges: Sequence[float], num: Column,
-                den: Column, name: str = "band") -> DataFrame:
+                den: Column, name: str = "band", weight: str | None = None) -> DataFrame:
     """Mean of min(num/den, 1) per length band (<= e0, <= e1, ...,
-    > last)."""
+    > last). A row stands for ``weight`` views (one, if not given)."""
     b = None
     for i, e in enumerate(edges):
         lab = f"<={int(e)}"
         b = F.when(F.col(length) <= e, F.lit(lab)) if b is None else b.when(F.col(length) <= e, F.lit(lab))
     b = b.otherwise(F.lit(f">{int(edges[-1])}"))
     rate = F.least(num / den, F.lit(1.0))
-    return df.groupBy(b.alias(name)).agg(F.avg(rate).alias("completion"),
-                                         F.count(F.lit(1)).alias("n"))
+    n = F.col(weight) if weight else F.lit(1).cast("bigint")
+    return df.groupBy(b.alias(name)).agg(F.try_divide(F.sum(rate * n), F.sum(n)).alias("completion"),
+                                         F.sum(n).alias("n"))

@@ -460,6 +460,21 @@ def b31_retention_cohorts(spark, sf):
     return B.retention_cohorts(Tables(spark, sf).events)
 
 
+@query("b31_value_by_length", "B31", sql=f"""
+WITH u AS (
+  SELECT o_custkey, CASE WHEN 4 * p_size <= 120 THEN '<=120' WHEN 4 * p_size <= 180 THEN '<=180'
+                         ELSE '>180' END AS band,
+         sum({NET_SQL}) AS v, count(DISTINCT year(o_orderdate)) AS years
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+SELECT band, count(*) AS n_users, round(CAST(sum(v) AS DOUBLE) / count(*), 4) AS lifetime_value,
+       round(avg(CASE WHEN years > 1 THEN 1.0 ELSE 0.0 END), 6) AS retained_share
+FROM u GROUP BY 1""")
+def b31_value_by_length(spark, sf):
+    t = Tables(spark, sf)
+    r = B.value_by_length(t.lineitem, t.orders, t.part)
+    return r.select("band", "n_users", _r("lifetime_value", 4), _r("retained_share"))
+
+
 @query("b32_macro_factors", "B32 I7 P12 J1", sql="""
 WITH ny AS (SELECT c_nationkey, year(o_orderdate) AS yr, sum(o_totalprice) AS rev,
                    count(DISTINCT o_custkey) AS n_cust, avg(c_acctbal) AS bal

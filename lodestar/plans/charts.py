@@ -93,6 +93,24 @@ def d_scatter_sample(spark, sf):
     return li.sample(False, 0.05, seed=11)
 
 
+@query("d_scatter_zone", "D6", sql="""
+WITH r AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a,
+                  regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem),
+     d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem),
+     s AS (SELECT *, md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey) AS h FROM d
+           ORDER BY h, l_quantity, l_extendedprice LIMIT 500)
+SELECT l_quantity AS x, l_extendedprice AS y, round(a * l_quantity + b, 4) AS line,
+       l_extendedprice > 1.5 * (a * l_quantity + b) AS in_zone FROM s, r""")
+def d_scatter_zone(spark, sf):
+    """Scatter plot: 500 points at any size of the table (least hashes, each
+    task keeps 500), the regression line of all rows at each, and whether the
+    point lies in the shaded zone (over 1.5 times the line)."""
+    li = Tables(spark, sf).lineitem
+    p = D.scatter_points(li, ["l_orderkey", "l_linenumber", "l_partkey"], "l_quantity",
+                         "l_extendedprice", 500, zone=1.5)
+    return p.select("x", "y", F.round("line", 4).alias("line"), "in_zone")
+
+
 @query("d_ohlc_daily", "D7", sql="""
 SELECT date_trunc('day', ts) AS period, first(value ORDER BY ts, event_id) AS open,
        max(value) AS high, min(value) AS low, last(value ORDER BY ts, event_id) AS close,
@@ -144,7 +162,9 @@ def d_completion_by_length(spark, sf):
     t = Tables(spark, sf)
     cat = t.part.select(F.col("p_partkey").alias("l_partkey"),
                         (F.col("p_size") * 4).alias("length_min"))
-    v = t.lineitem.select("l_partkey", "l_quantity").join(cat, "l_partkey")
+    # the log is reduced to (title, minutes) counts before it meets the catalogue
+    v = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count(F.lit(1)).alias("views"))
+    v = v.join(cat, "l_partkey")
     v = v.withColumn("watched", F.least(F.col("l_quantity") * 4, F.col("length_min").cast("double")))
-    r = D.banded_rate(v, "length_min", [120, 180], F.col("watched"), F.col("length_min"))
+    r = D.banded_rate(v, "length_min", [120, 180], F.col("watched"), F.col("length_min"), weight="views")
     return r.select("band", F.round("completion", 6).alias("completion"), "n")

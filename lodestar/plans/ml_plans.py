@@ -68,7 +68,7 @@ def m_logistic_summary(spark, sf):
     return V.metrics_frame(spark, mets)
 
 
-@query("m_train_validation_split", "T2 T1 T5")
+@query("m_train_validation_split", "T2")
 def m_train_validation_split(spark, sf):
     """Every combination's validation ROC-AUC, and the best model's on the
     rows held out from all of it."""
@@ -318,6 +318,19 @@ def v_exact_auc(spark, sf):
     return a.select(F.round("auc", 10).alias("auc"), "n_pos", "n_neg")
 
 
+@query("v_average_precision", "V1", sql=f"""
+WITH {_SCORED_SQL},
+  c AS (SELECT score, pos, neg,
+               sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+        FROM t)
+SELECT round(sum(pos * (tp / (tp + fp))) / sum(pos), 10) AS average_precision,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""")
+def v_average_precision(spark, sf):
+    a = V.average_precision(_scored_customers(spark, sf), "score", "label")
+    return a.select(F.round("average_precision", 10).alias("average_precision"), "n_pos", "n_neg")
+
+
 @query("v_roc_points", "V6", sql=f"""
 WITH {_SCORED_SQL},
   c AS (SELECT score, pos, neg,

@@ -58,6 +58,6 @@ def query(name: str, ids: str = "", sql: str | None = None):
 def load_all() -> dict[str, Entry]:
     # importing the plan modules fills REGISTRY
     from lodestar.plans import (  # noqa: F401
-        business, charts, core, ml_plans, profiling, series_plans,
+        business, charts, core, ml_plans, model_selection, profiling, series_plans,
         sources_plans, streaming_plans, text_plans, triples_plans, windows_plans)
     return REGISTRY
