@@ -8,13 +8,17 @@ similar, exactly.
    pair across a band edge meets in a band of its own around that edge.
 3. Each class is held against one leader (the smallest class it meets), then
    against a few more, one a round; links found so give components, and large
-   groups of near copies are one before any pairs are made. Only classes that meet and lie in different
-   components are compared further, each pair once: a large meeting's classes,
-   ordered by size, fall into tiles, and tiles within the size band are compared
-   pairwise.
-4. A comparison bounds the overlap from above by bit counts: with hashed
-   parity bitmaps, every bit that differs takes a shingle that only one set
-   has. What passes is settled by intersecting sorted arrays.
+   groups of near copies are mostly one before any pairs are made. Then, in
+   rounds: the classes of each meeting that lie in different components are
+   compared inside a task, a large meeting in tiles, and each component keeps
+   only its most promising candidates (as many as the round allows, twice as
+   many each round). These are settled, links contract components, refuted
+   pairs are remembered, and the rounds end when no candidate is left.
+4. A comparison inside a tile bounds the overlap from above by bit counts: with
+   hashed parity bitmaps, every bit that differs takes a shingle that only one
+   set has. Pairs that it refutes die in the task. What is chosen is bounded
+   once more by whole bitmaps and settled by intersecting sorted arrays, which
+   are made once per class.
 
 No pair is skipped unless its ends are already connected, and no group is
 capped, so no component is lost.
@@ -34,8 +38,8 @@ from lodestar.llm.components import components, roots
 from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
 BAND_RATIO = 1.8
-TILE_BITS = 1024                  # of a bitmap inside a tile, at most
-MIXING = 3                        # rounds against further leaders before all pairs
+TILE_BITS = 4096                  # of a bitmap inside a tile, at most
+MIXING = 3                        # rounds against further leaders before tiles
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -155,27 +159,20 @@ def _keys(n: int, percent: int):
     return run
 
 
-def _bitmaps(n: int):
+def _signatures(n: int):
+    """Size, whole bitmap, bitmap for tiles (about one bit a shingle) and
+    sorted shingles of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), n) for t in batch.column(1)]
             bits = [bitmap(s) for s in sets]
+            few = [fold(np.frombuffer(b, np.uint8), min(TILE_BITS // 8, max(32, len(b) // 4)))
+                   .tobytes() for b in bits]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(bits, pa.binary()),
-                 pa.array([fold(np.frombuffer(b, np.uint8), TILE_BITS // 8).tobytes()
-                           for b in bits], pa.binary())], names=["doc", "size", "bits", "few"])
-    return run
-
-
-def _arrays(n: int, keep: int):
-    """The last column, a text, becomes its sorted shingle array."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), n).view(np.int64) for t in batch.column(keep)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:keep], pa.array(sets, pa.list_(pa.int64()))],
-                names=[*batch.schema.names[:keep], "shingles"])
+                 pa.array(bits, pa.binary()), pa.array(few, pa.binary()),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                names=["doc", "size", "bits", "few", "shingles"])
     return run
 
 
@@ -195,47 +192,115 @@ def _bit_bound(percent: int):
     return run
 
 
-def _few_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The classes of one small meeting -> their pairs across components."""
-    for batch in batches:
-        us, vs = [], []
-        for held in batch.column(0).to_pylist():
-            ids = np.array([r["doc"] for r in held], np.int64)
-            comps = np.array([r["component"] for r in held], np.int64)
-            i, j = np.nonzero((ids[:, None] > ids) & (comps[:, None] != comps))
-            us.append(ids[i])
-            vs.append(ids[j])
-        yield pa.RecordBatch.from_pydict(
-            {"u": pa.array(np.concatenate([np.zeros(0, np.int64), *us])),
-             "v": pa.array(np.concatenate([np.zeros(0, np.int64), *vs]))})
+def _best(comps: np.ndarray, most: int) -> np.ndarray:
+    """Which entries are among the first ``most`` of their component."""
+    order = np.argsort(comps, kind="stable")
+    start = np.flatnonzero(np.diff(comps[order], prepend=comps[order[:1]] - 1))
+    rank = np.arange(len(comps)) - np.repeat(start, np.diff(np.append(start, len(comps))))
+    out = np.empty(len(comps), bool)
+    out[order] = rank < most
+    return out
 
 
-def _tile_pairs(percent: int):
-    """Two tiles of one meeting -> the pairs across components that may link."""
+class Tile:
+    """Columns of the classes of a tile."""
+
+    def __init__(self, rows: list[dict], size: int):
+        self.ids = np.array([r["doc"] for r in rows], np.int64)
+        self.comps = np.array([r["component"] for r in rows], np.int64)
+        self.sizes = np.array([r["size"] for r in rows], np.int64)
+        self.bits = np.stack([fold(np.frombuffer(r["few"], np.uint8), size) for r in rows])
+        self.refuted = {(r["doc"], v) for r in rows for v in r["refuted"] or ()}
+
+
+def candidates(x: list[dict], y: list[dict], percent: int, most: int) -> list[np.ndarray]:
+    """(u, v, components of u and v, differing bits in a million of the sizes)
+    of the pairs of two tiles (or of one with itself) that lie in different
+    components, are not refuted and may link; of each component the ``most``
+    that differ least."""
+    size = min(len(r["few"]) for r in x + y)
+    a = Tile(x, size)
+    b = a if x is y else Tile(y, size)
+    us, vs, cus, cvs, far = [], [], [], [], []
+    for i in range(len(a.ids)):
+        may = np.flatnonzero((a.comps[i] != b.comps) & (b.ids > a.ids[i] if a is b else b.ids != a.ids[i]))
+        apart = np.bitwise_count(a.bits[i] ^ b.bits[may]).sum(axis=-1, dtype=np.int64)
+        both = (a.sizes[i] + b.sizes[may] - apart) // 2       # overlap at most
+        ok = (both >= 0) & (100 * both >= percent * (a.sizes[i] + b.sizes[may] - both))
+        may, apart = may[ok], apart[ok]
+        if not len(may):
+            continue
+        u = np.maximum(a.ids[i], b.ids[may])
+        v = np.minimum(a.ids[i], b.ids[may])
+        known = a.refuted | b.refuted
+        if known:
+            new = np.array([p not in known for p in zip(u.tolist(), v.tolist(), strict=True)], bool)
+            may, apart, u, v = may[new], apart[new], u[new], v[new]
+        mine = a.ids[i] == u
+        us.append(u)
+        vs.append(v)
+        cus.append(np.where(mine, a.comps[i], b.comps[may]))
+        cvs.append(np.where(mine, b.comps[may], a.comps[i]))
+        far.append(apart * 1_000_000 // (a.sizes[i] + b.sizes[may]))
+    if not us:
+        return [np.zeros(0, np.int64)] * 5
+    out = [np.concatenate(c) for c in (us, vs, cus, cvs, far)]
+    order = np.lexsort((out[1], out[0], out[4]))
+    out = [c[order] for c in out]
+    keep = _best(out[2], most) | _best(out[3], most)
+    return [c[keep] for c in out]
+
+
+def _tile_candidates(percent: int, most: int):
+    """Rows of one tile, or of two (the second column), -> ``candidates``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = [], []
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                size = min(len(r["few"]) for r in x + y)
-                bits, ids, sizes, comps = [], [], [], []
-                for tile in (x, y):
-                    bits.append(np.stack([fold(np.frombuffer(r["few"], np.uint8), size)
-                                          for r in tile]))
-                    ids.append(np.array([r["doc"] for r in tile], np.int64))
-                    sizes.append(np.array([r["size"] for r in tile], np.int64))
-                    comps.append(np.array([r["component"] for r in tile], np.int64))
-                for i in range(len(x)):
-                    may = (comps[0][i] != comps[1]) & can_link(
-                        bits[0][i], bits[1], sizes[0][i], sizes[1], percent)
-                    vs.append(ids[1][may])
-                    us.append(np.full(len(vs[-1]), ids[0][i]))
-            u = np.concatenate([np.zeros(0, np.int64), *us])
-            v = np.concatenate([np.zeros(0, np.int64), *vs])
-            yield pa.RecordBatch.from_pydict({"u": pa.array(np.maximum(u, v)),
-                                              "v": pa.array(np.minimum(u, v))})
+            found = []
+            for i in range(batch.num_rows):
+                x = batch.column(0)[i].as_py()
+                y = batch.column(1)[i].as_py() if batch.num_columns > 1 else x
+                found.append(candidates(x, y, percent, most))
+            columns = [np.concatenate([np.zeros(0, np.int64), *c])
+                       for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
+                                             names=["u", "v", "cu", "cv", "far"])
     return run
 
 
+def _chosen(apart: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int, tile: int,
+            most: int) -> DataFrame:
+    """(u, v): the ``most`` best candidates of each component over all
+    meetings, written. A meeting of more than ``tile`` classes is dealt into
+    tiles by hash, and each pair of its tiles is a row of its own."""
+    out = "u long, v long, cu long, cv long, far long"
+    known = refuted.groupBy("u").agg(F.collect_list("v").alias("refuted"))
+    held = (apart.join(sets.select("doc", "size", "few"), "doc")
+            .join(known.withColumnRenamed("u", "doc"), "doc", "left"))
+    row = F.struct("doc", "component", "size", "few", "refuted")
+    n_tiles = F.ceil(F.col("n") / tile)
+    one = held.filter(F.col("n") <= tile).groupBy("key").agg(F.collect_list(row).alias("x"))
+    cut = materialise(
+        held.filter(F.col("n") > tile)
+        .withColumn("t", F.pmod(F.xxhash64(F.lit(7), "doc"), n_tiles)).withColumn("tiles", n_tiles)
+        .groupBy("key", "t", "tiles").agg(F.collect_list(row).alias("x")), "tiles")
+    left = cut.filter("t + 1 < tiles").select(
+        "key", "t", "x", F.explode(F.sequence(F.col("t") + 1, F.col("tiles") - 1)).alias("u"))
+    right = cut.filter("t > 0").select(
+        "key", F.col("t").alias("u"), F.col("x").alias("y"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("t") - 1)).alias("t"))
+    pairs = left.join(right, ["key", "t", "u"]).select("x", "y")
+    run = _tile_candidates(percent, most)
+    found = (one.select("x").mapInArrow(run, out)
+             .unionByName(cut.select("x").mapInArrow(run, out))
+             .unionByName(pairs.mapInArrow(run, out)))
+    ends = found.select("u", "v", "far", F.explode(F.array("cu", "cv")).alias("c"))
+    first = Window.partitionBy("c").orderBy("far", "u", "v")
+    # a pair may meet in several parts: rank distinct ones
+    return materialise(
+        ends.distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most)
+        .select("u", "v").distinct(), "candidates")
+
+
 def _exact(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,27 +311,17 @@ def _exact(percent: int):
     return run
 
 
-def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that bit counts of whole bitmaps let through, written."""
-    bits = bits.select("doc", "size", "bits")
-    return materialise(
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that link, written: whole bitmaps first, then arrays."""
+    bits = sets.select("doc", "size", "bits")
+    may = materialise(
         pairs.join(bits.toDF("u", "nu", "bu"), "u").join(bits.toDF("v", "nv", "bv"), "v")
         .select("u", "v", "nu", "nv", "bu", "bv")
         .mapInArrow(_bit_bound(percent), "u long, v long").distinct(), "pairs")
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v), a written table, that link: arrays are made from the
-    texts that any pair names, and meet at v."""
-    x = (join_by_id(rows.select(F.col("doc").alias("u"), "text"), pairs, "u").select("u", "v", "text")
-         .mapInArrow(_arrays(n, 2), "u long, v long, shingles array<long>")
-         .withColumnRenamed("shingles", "x"))
-    ends = materialise(pairs.select("v").distinct(), "ends")
-    y = (join_by_id(rows.select(F.col("doc").alias("v"), "text"), ends, "v", "left_semi")
-         .mapInArrow(_arrays(n, 1), "v long, shingles array<long>")
-         .withColumnRenamed("shingles", "y"))
-    return (x.join(y, "v").select("u", "v", "x", "y")
-            .mapInArrow(_exact(percent), "u long, v long").distinct())
+    arrays = sets.select("doc", "shingles")
+    return materialise(
+        may.join(arrays.toDF("u", "x"), "u").join(arrays.toDF("v", "y"), "v")
+        .select("u", "v", "x", "y").mapInArrow(_exact(percent), "u long, v long").distinct(), "links")
 
 
 def _apart(met: DataFrame, found: DataFrame) -> DataFrame:
@@ -334,12 +389,12 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         .filter("leader < last").select("key", "doc", "leader"), "meetings")
 
     involved = materialise(met.select("doc").distinct(), "involved")
-    bits = materialise(join_by_id(rows, involved, "doc", "left_semi").mapInArrow(
-        _bitmaps(n), "doc long, size long, bits binary, few binary"), "bitmaps")
+    sets = materialise(join_by_id(rows, involved, "doc", "left_semi").mapInArrow(
+        _signatures(n), "doc long, size long, bits binary, few binary, shingles array<long>"), "sets")
     first = met.groupBy("doc").agg(F.min("leader").alias("v")).filter("v < doc").select(
         F.col("doc").alias("u"), "v")
     # one leader each, and smaller: the links found form a forest
-    found = roots(_verified(_bounded(first, bits, percent), rows, n, percent).select(
+    found = roots(_verified(first, sets, percent).select(
         F.col("u").alias("node"), F.col("v").alias("parent")))
 
     # meetings of more than one component: first against a few more leaders
@@ -354,35 +409,26 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
                  .agg(F.min_by("other", F.xxhash64(F.lit(r), "other", "doc")).alias("other"))
                  .select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v"))
                  .distinct())
-        more = _verified(_bounded(tried, bits, percent), rows, n, percent)
+        more = _verified(tried, sets, percent)
         found = _merged(found, components(_contracted(more, found)))
         apart = _apart(met, found)
-    # then all pairs that are left, large meetings tile by tile
-    small = (apart.filter(F.col("n") <= tile).groupBy("key")
-             .agg(F.collect_list(F.struct("doc", "component")).alias("held")).select("held")
-             .mapInArrow(_few_pairs, "u long, v long"))
-    by_size = Window.partitionBy("key").orderBy("size", "doc")
-    tiles = materialise(
-        apart.filter(F.col("n") > tile).join(bits.select("doc", "size", "few"), "doc")
-        .withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / tile))
-        .groupBy("key", "tile")
-        .agg(F.collect_list(F.struct("doc", "component", "size", "few")).alias("held"),
-             F.min("size").alias("least"), F.max("size").alias("most")), "tiles")
-    a = tiles.select("key", F.col("tile").alias("ta"), F.col("held").alias("x"), "most")
-    b = tiles.select("key", F.col("tile").alias("tb"), F.col("held").alias("y"),
-                     F.col("least").alias("from"))
-    near = a.join(b, "key").filter(
-        (F.col("ta") <= F.col("tb")) & (F.col("most") * 100 >= F.col("from") * percent))
-    pairs = (near.select("x", "y").mapInArrow(_tile_pairs(percent), "u long, v long")
-             .unionByName(small).distinct())
+    # then the best candidates of each component, until none is left
+    refuted, most = first.limit(0), 1
+    while not apart.isEmpty():
+        tried = _chosen(apart, sets, refuted, percent, tile, most)
+        if tried.isEmpty():
+            break
+        more = _verified(tried, sets, percent)
+        refuted = materialise(refuted.unionByName(tried.join(more, ["u", "v"], "left_anti")), "refuted")
+        found = _merged(found, components(_contracted(more, found)))
+        apart, most = _apart(met, found), 2 * most
     placed = member.join(classes, ["a", "b"], "left").select(
         "doc", "size", F.when(F.col("size") > 0, F.col("class")).otherwise(F.col("doc")).alias("class"))
     # an id that repeats with other texts ties its classes together
     twice = (placed.groupBy("doc").agg(F.min("class").alias("v"), F.max("class").alias("last"))
              .filter("v < last").select("doc", "v"))
     ties = placed.join(twice, "doc").select(F.col("class").alias("u"), "v")
-    more = _verified(_bounded(pairs, bits, percent), rows, n, percent).unionByName(ties)
-    joined = components(_contracted(more, found)).select(F.col("node").alias("at"), F.col("component").alias("above"))
+    joined = components(_contracted(ties, found)).select(F.col("node").alias("at"), F.col("component").alias("above"))
     own = F.coalesce("component", "class")
     return (placed.join(found, F.col("class") == F.col("node"), "left").withColumn("own", own)
             .join(joined, F.col("own") == F.col("at"), "left")

@@ -90,6 +90,37 @@ def test_join_against_brute_force(make, n, percent, tile):
     assert got == brute_components(docs, n, percent)
 
 
+def test_many_near_copies_that_hardly_link(make, monkeypatch):
+    """2,000 copies of one text, each with four words changed, without the
+    text itself: all meet, most pairs do not link. Candidates stay near the
+    number of copies, and no link is lost."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(200)]
+    docs, sets = [], []
+    for i in range(2000):
+        ws = list(base)
+        for at in rng.sample(range(200), 4):
+            ws[at] = f"x{rng.randint(0, 40)}"
+        docs.append((i, " ".join(ws)))
+        sets.append({hash(tuple(ws[j:j + 3])) for j in range(198)})
+    column = {h: k for k, h in enumerate(set().union(*sets))}
+    held = np.zeros((len(docs), len(column)), np.float32)
+    for i, x in enumerate(sets):
+        held[i, [column[h] for h in x]] = 1
+    both, sizes = held @ held.T, np.array(list(map(len, sets)))
+    u = Union()
+    hit = 100 * both >= 90 * (sizes[:, None] + sizes - both)
+    for i, j in zip(*np.nonzero(np.triu(hit, 1)), strict=True):
+        u.join(int(i), int(j))
+    asked = []
+    settle = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: (
+        asked.append(pairs.count()), settle(pairs, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_components(make(docs)).collect()}
+    assert got == {i: u.find(i) for i in range(2000)}
+    assert 0 < hit.sum() - 2000 < 0.1 * 2000 * 2000 and sum(asked) < 15 * 2000
+
+
 def test_every_link_meets_in_a_part():
     """Part keys lose no pair, also where parts are empty or sizes straddle bands."""
     rng = np.random.default_rng(2)
