@@ -19,7 +19,6 @@ texts.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,44 +29,122 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import materialise, unused, without
+from lodestar.llm.hashing import mix, word_hashes
 
 OUTPUTS = ("n_lines", "n_dropped")
-VARIABLE = b"<*>"
 #: Depth of the tree below the token count, and stretches of the tokens behind.
 LEADING, STRETCHES = 2, 4
-LINES = pa.schema([
-    ("doc", pa.int64()), ("crc", pa.int64()), ("line", pa.int32()), ("size", pa.int32()),
-    ("total", pa.int32()), ("keys", pa.list_(pa.int64())), ("new", pa.list_(pa.int64())),
-    ("leaf", pa.int64()), ("new_leaf", pa.bool_())])
 LINE = ["doc", "crc", "line", "size", "total"]
-CELLS = pa.schema([
-    ("doc", pa.int64()), ("crc", pa.int64()), ("line", pa.int32()), ("size", pa.int32()),
-    ("total", pa.int32()), ("cells", pa.list_(pa.int64())), ("new", pa.list_(pa.int64()))])
+LONGS = pa.list_(pa.int64())
 #: Buckets of the leaves in the filter that tells which lines to compare.
 LEAF_BITS = 24
-_FIELD = re.compile(rb"[^ \t\r\f\v\n]*[0-9][^ \t\r\f\v\n]*")
-
-
-def templates(tokens: list[bytes], general: int, least: int) -> list[bytes]:
-    """The templates of a line whose variable fields are wildcards already;
-    each has ``least`` constant tokens or more."""
-    n = len(tokens)
-    constant = n - tokens.count(VARIABLE)
-    if constant < least:
-        return []
-    head = str(n).encode() + b" "
-    out = [head + b" ".join(tokens)]
-    if n >= general:
-        cuts = [LEADING + (n - LEADING) * i // STRETCHES for i in range(STRETCHES + 1)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if constant - (b - a - tokens[a:b].count(VARIABLE)) >= least:
-                out.append(head + b" ".join([*tokens[:a], b"<%d-%d>" % (a, b), *tokens[b:]]))
+_DIGITS = np.zeros(256, bool)
+_DIGITS[0x30:0x3A] = True
+#: Odd multipliers that keep token counts, leading tokens, places and
+#: stretches apart in hashes, and the hash of a variable field.
+_N, _LEAD, _PLACE, _CUT, VARIABLE = (np.uint64(x) for x in (
+    0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
+    0x85EBCA77C2B2AE63))
+_POWERS = [np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> np.ndarray:
+    if len(_POWERS[0]) < n:
+        row = np.full(1 << (n - 1).bit_length(), 0xD6E8FEB86659FD93, np.uint64)
+        row[0] = 1
+        _POWERS[0] = np.cumprod(row)
+    return _POWERS[0][:n]
+
+
+class Lines:
+    """The lines of some texts (which begin at ``begin`` in the bytes, each but
+    the last with a line feed behind it) that have tokens, as arrays: ``text``
+    (which one), ``line`` (number in the text), ``size`` (tokens), ``constant`` (tokens that are no variable
+    fields), ``leaf`` (hash of token count and leading tokens); and by token:
+    ``words`` (hashes, variable fields all alike), ``variable``, ``row`` (index
+    of its line here) and ``place``."""
+
+    def __init__(self, data: bytes, begin: np.ndarray):
+        self.words, at = word_hashes(data)
+        raw = np.frombuffer(data, np.uint8)
+        # digits belong to words, so those up to the next word's start are a word's
+        digits = np.concatenate([[0], np.cumsum(_DIGITS[raw])])
+        self.variable = np.diff(digits[np.append(at, len(raw))]) > 0
+        self.words = np.where(self.variable, VARIABLE, self.words)
+        feeds = np.flatnonzero(raw == 0x0A)
+        number = np.searchsorted(feeds, at)
+        self.start = np.flatnonzero(np.diff(number, prepend=-1))
+        self.text = np.searchsorted(begin, at[self.start], side="right") - 1
+        self.line = number[self.start] - np.searchsorted(feeds, begin)[self.text]
+        self.size = np.diff(np.append(self.start, len(at)))
+        self.row = np.repeat(np.arange(len(self.line)), self.size)
+        self.place = np.arange(len(at)) - self.start[self.row]
+        self.total = np.bincount(self.text, self.size, len(begin)).astype(np.int64)
+        self.fixed = np.concatenate([[0], np.cumsum(~self.variable)])
+        self.constant = self.fixed[self.start + self.size] - self.fixed[self.start]
+        second = np.where(self.size > 1, self.words[np.minimum(self.start + 1, len(at) - 1)], np.uint64(0)) \
+            if len(at) else np.zeros(0, np.uint64)
+        self.leaf = mix(self.words[self.start] + second * _LEAD + self.size.astype(np.uint64) * _N)
+
+    def templates(self, general: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lines x (1 + STRETCHES)) hashes of the lines' templates and which
+        of them there are: each has ``least`` constant tokens or more. The
+        first has the variable fields as wildcards, the others one of the
+        stretches behind the leading tokens too."""
+        upto = np.concatenate([[np.uint64(0)], np.cumsum(
+            self.words * powers(max(1, int(self.size.max(initial=1))))[self.place], dtype=np.uint64)])
+        total = upto[self.start + self.size] - upto[self.start]
+        n = self.size.astype(np.uint64) * _N
+        keys, there = [mix(total + n)], [self.constant >= least]
+        for i in range(STRETCHES):
+            a = LEADING + (self.size - LEADING) * i // STRETCHES
+            b = LEADING + (self.size - LEADING) * (i + 1) // STRETCHES
+            long = self.size >= general
+            a, b = (self.start + np.where(long, x, 0) for x in (a, b))
+            rest = total - (upto[b] - upto[a]) + n
+            keys.append(mix(mix(rest) + np.uint64(i + 1) * _CUT))
+            there.append(long & (self.constant >= least)
+                         & (self.constant - (self.fixed[b] - self.fixed[a]) >= least))
+        return np.stack(keys, 1), np.stack(there, 1)
+
+
+def first_of(x: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which entries are the first of their value in their text."""
+    out = np.zeros(len(x), bool)
+    out[np.unique(mix(x ^ mix(text.astype(np.uint64))), return_index=True)[1]] = True
     return out
 
 
-def leaf_of(tokens: list[bytes]) -> int:
-    """Hash of the leaf: token count and leading tokens."""
-    return xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:LEADING])) - (1 << 63)
+def lists(counts: list[np.ndarray], values: list[np.ndarray]) -> pa.ListArray:
+    """Arrow lists of ``counts`` entries each from their joined values."""
+    n = np.concatenate([np.zeros(0, np.int64), *counts])
+    v = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
+                                    pa.array(v))
+
+
+def longs(parts: list[np.ndarray], kind=np.int64) -> pa.Array:
+    return pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind))
+
+
+def texts_of(batch: pa.RecordBatch, block: int = 1 << 20) -> Iterator[tuple]:
+    """(ids, checksums, Lines) of consecutive texts of about ``block`` bytes
+    in all (or one longer text)."""
+    def done():
+        begin = np.cumsum([0, *[len(d) + 1 for d in held[:-1]]])
+        return np.array(ids, np.int64), np.array([zlib.crc32(d) for d in held]), Lines(b"\n".join(held), begin)
+
+    ids, held, size = [], [], 0
+    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        data = text.as_py().encode()
+        if held and size + len(data) > block:
+            yield done()
+            ids, held, size = [], [], 0
+        ids.append(doc)
+        held.append(data)
+        size += len(data)
+    if held:
+        yield done()
 
 
 def constants(n: int, least: int, agree: float) -> int:
@@ -82,27 +159,33 @@ def _cells(shared: bytes, least: int, agree: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = text.as_py().encode()
-                crc, seen = zlib.crc32(data), set()
-                lines = [x.split() for x in _FIELD.sub(VARIABLE, data).split(b"\n")]
-                total = sum(map(len, lines))
-                for i, tokens in enumerate(lines):
-                    if len(tokens) - tokens.count(VARIABLE) < constants(len(tokens), least, agree):
-                        continue
-                    leaf = leaf_of(tokens)
-                    at = leaf % (1 << LEAF_BITS)
-                    if not bits[at >> 3] >> (at & 7) & 1:
-                        continue
-                    cells = [xxhash.xxh64_intdigest(b"%d %d " % (leaf, k) + t) - (1 << 63)
-                             for k, t in enumerate(tokens) if t != VARIABLE]
-                    rows.append((doc, crc, i, len(tokens), total, cells,
-                                 [c for c in cells if c not in seen]))
-                    seen.update(cells)
-            columns = list(zip(*rows, strict=True)) or [[]] * len(CELLS)
+            out: dict[str, list] = {c: [] for c in (*LINE, "n", "cells", "m", "new")}
+            for doc, crc, x in texts_of(batch):
+                at = (x.leaf & np.uint64((1 << LEAF_BITS) - 1)).astype(np.int64)
+                need = np.maximum(least, np.ceil(agree * x.size - 1e-9))
+                on = (x.constant >= need) & ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+                if not on.any():
+                    continue
+                taken = on[x.row] & ~x.variable
+                row = x.row[taken]
+                cells = mix(x.leaf[row] ^ mix(x.words[taken] + x.place[taken].astype(np.uint64) * _PLACE))
+                new = first_of(cells, x.text[row])
+                number = np.cumsum(on) - 1
+                k, text = int(on.sum()), x.text[on]
+                out["doc"].append(doc[text])
+                out["crc"].append(crc[text])
+                out["line"].append(x.line[on])
+                out["size"].append(x.size[on])
+                out["total"].append(x.total[text])
+                out["n"].append(np.bincount(number[row], minlength=k))
+                out["cells"].append(cells)
+                out["m"].append(np.bincount(number[row[new]], minlength=k))
+                out["new"].append(cells[new])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, CELLS.types, strict=True)], schema=CELLS)
+                [longs(out["doc"]), longs(out["crc"]),
+                 *[longs(out[c], np.int32) for c in ("line", "size", "total")],
+                 lists(out["n"], out["cells"]), lists(out["m"], out["new"])],
+                names=[*LINE, "cells", "new"])
     return run
 
 
@@ -164,25 +247,33 @@ def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
 def _keys(general: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = text.as_py().encode()
-                crc, seen = zlib.crc32(data), set()
-                lines = [x.split() for x in _FIELD.sub(VARIABLE, data).split(b"\n")]
-                total = sum(map(len, lines))
-                leaves = set()
-                for i, tokens in enumerate(lines):
-                    keys = [xxhash.xxh64_intdigest(t) - (1 << 63)
-                            for t in templates(tokens, general, least)]
-                    if keys:
-                        leaf = leaf_of(tokens)
-                        rows.append((doc, crc, i, len(tokens), total, keys,
-                                     [k for k in keys if k not in seen], leaf, leaf not in leaves))
-                        seen.update(keys)
-                        leaves.add(leaf)
-            columns = list(zip(*rows, strict=True)) or [[]] * len(LINES)
+            out: dict[str, list] = {c: [] for c in (*LINE, "n", "keys", "m", "new", "leaf", "new_leaf")}
+            for doc, crc, x in texts_of(batch):
+                keys, there = x.templates(general, least)
+                on = there.any(1)
+                if not on.any():
+                    continue
+                keys, there, k, text = keys[on], there[on], int(on.sum()), x.text[on]
+                flat = keys[there]
+                row = np.nonzero(there)[0]
+                new = first_of(flat, text[row])
+                out["doc"].append(doc[text])
+                out["crc"].append(crc[text])
+                out["line"].append(x.line[on])
+                out["size"].append(x.size[on])
+                out["total"].append(x.total[text])
+                out["n"].append(there.sum(1))
+                out["keys"].append(flat)
+                out["m"].append(np.bincount(row[new], minlength=k))
+                out["new"].append(flat[new])
+                out["leaf"].append(x.leaf[on].view(np.int64))
+                out["new_leaf"].append(first_of(x.leaf[on], text))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, LINES.types, strict=True)], schema=LINES)
+                [longs(out["doc"]), longs(out["crc"]),
+                 *[longs(out[c], np.int32) for c in ("line", "size", "total")],
+                 lists(out["n"], out["keys"]), lists(out["m"], out["new"]),
+                 longs(out["leaf"]), longs(out["new_leaf"], bool)],
+                names=[*LINE, "keys", "new", "leaf", "new_leaf"])
     return run
 
 
