@@ -11,8 +11,8 @@ similar, exactly.
    groups of near copies are mostly one before any pairs are made. Then, in
    rounds: the classes of each meeting that lie in different components are
    compared inside a task, a large meeting in tiles, and each component keeps
-   only its most promising candidates (as many as the round allows, twice as
-   many each round). These are settled, links contract components, refuted
+   only its most promising candidates (as many as the round allows, four times
+   as many each round). Meetings of the same classes are one. These are settled, links contract components, refuted
    pairs are remembered, and the rounds end when no candidate is left.
 4. A comparison inside a tile bounds the overlap from above by bit counts: with
    hashed parity bitmaps, every bit that differs takes a shingle that only one
@@ -38,7 +38,7 @@ from lodestar.llm.components import components, roots
 from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
 BAND_RATIO = 1.8
-TILE_BITS = 4096                  # of a bitmap inside a tile, at most
+TILE_BITS = 2048                  # of a bitmap inside a tile, at most
 MIXING = 3                        # rounds against further leaders before tiles
 
 
@@ -381,12 +381,18 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     own = join_by_id(rows.filter("doc is not null"), copies, "doc", "left_anti")
 
     by_key = Window.partitionBy("key")
-    met = materialise(
+    hashes = [F.bit_xor(F.xxhash64(F.lit(i), "doc")).over(by_key).alias(f"h{i}") for i in (1, 2)]
+    every = materialise(
         own.mapInArrow(_keys(n, percent), "doc long, keys array<long>")
         .select(F.explode("keys").alias("key"), "doc")
         .select("key", "doc", F.min("doc").over(by_key).alias("leader"),
-                F.max("doc").over(by_key).alias("last"))
-        .filter("leader < last").select("key", "doc", "leader"), "meetings")
+                F.max("doc").over(by_key).alias("last"), F.count(F.lit(1)).over(by_key).alias("n"),
+                *hashes)
+        .filter("leader < last"), "meetings")
+    # copies of a text meet in many parts: meetings of the same classes (by two
+    # hashes and their number) are one
+    one = every.groupBy("n", "h1", "h2").agg(F.min("key").alias("key")).select("key")
+    met = materialise(every.join(one, "key", "left_semi").select("key", "doc", "leader"), "met")
 
     involved = materialise(met.select("doc").distinct(), "involved")
     sets = materialise(join_by_id(rows, involved, "doc", "left_semi").mapInArrow(
@@ -413,7 +419,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         found = _merged(found, components(_contracted(more, found)))
         apart = _apart(met, found)
     # then the best candidates of each component, until none is left
-    refuted, most = first.limit(0), 1
+    refuted, most = first.limit(0), 4
     while not apart.isEmpty():
         tried = _chosen(apart, sets, refuted, percent, tile, most)
         if tried.isEmpty():
@@ -421,7 +427,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         more = _verified(tried, sets, percent)
         refuted = materialise(refuted.unionByName(tried.join(more, ["u", "v"], "left_anti")), "refuted")
         found = _merged(found, components(_contracted(more, found)))
-        apart, most = _apart(met, found), 2 * most
+        apart, most = _apart(met, found), 4 * most
     placed = member.join(classes, ["a", "b"], "left").select(
         "doc", "size", F.when(F.col("size") > 0, F.col("class")).otherwise(F.col("doc")).alias("class"))
     # an id that repeats with other texts ties its classes together
