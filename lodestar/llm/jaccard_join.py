@@ -39,6 +39,7 @@ from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
 BAND_RATIO = 1.8
 TILE_BITS = 2048                  # of a bitmap inside a tile, at most
+AT_ONCE = 256                     # texts whose arrays a worker holds
 MIXING = 3                        # rounds against further leaders before tiles
 
 
@@ -152,10 +153,12 @@ def _sets(n: int):
 
 def _keys(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [part_keys(shingle_set(t.as_py(), n), percent) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(at, AT_ONCE)
+                keys = [part_keys(shingle_set(t.as_py(), n), percent) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"])
     return run
 
 
@@ -163,16 +166,18 @@ def _signatures(n: int):
     """Size, whole bitmap, bitmap for tiles (about one bit a shingle) and
     sorted shingles of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), n) for t in batch.column(1)]
-            bits = [bitmap(s) for s in sets]
-            few = [fold(np.frombuffer(b, np.uint8), min(TILE_BITS // 8, max(32, len(b) // 4)))
-                   .tobytes() for b in bits]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(bits, pa.binary()), pa.array(few, pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["doc", "size", "bits", "few", "shingles"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(at, AT_ONCE)
+                sets = [shingle_set(t.as_py(), n) for t in batch.column(1)]
+                bits = [bitmap(s) for s in sets]
+                few = [fold(np.frombuffer(b, np.uint8), min(TILE_BITS // 8, max(32, len(b) // 4)))
+                       .tobytes() for b in bits]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(bits, pa.binary()), pa.array(few, pa.binary()),
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    names=["doc", "size", "bits", "few", "shingles"])
     return run
 
 

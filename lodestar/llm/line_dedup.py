@@ -35,7 +35,6 @@ OUTPUTS = ("n_lines", "n_dropped")
 #: Depth of the tree below the token count, and stretches of the tokens behind.
 LEADING, STRETCHES = 2, 4
 LINE = ["doc", "crc", "line", "size", "total"]
-LONGS = pa.list_(pa.int64())
 #: Buckets of the leaves in the filter that tells which lines to compare.
 LEAF_BITS = 24
 _DIGITS = np.zeros(256, bool)
@@ -115,16 +114,14 @@ def first_of(x: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def lists(counts: list[np.ndarray], values: list[np.ndarray]) -> pa.ListArray:
+def lists(counts: np.ndarray, values: np.ndarray) -> pa.ListArray:
     """Arrow lists of ``counts`` entries each from their joined values."""
-    n = np.concatenate([np.zeros(0, np.int64), *counts])
-    v = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
-                                    pa.array(v))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)),
+                                    pa.array(values.view(np.int64)))
 
 
-def longs(parts: list[np.ndarray], kind=np.int64) -> pa.Array:
-    return pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind))
+def longs(x: np.ndarray, kind=np.int64) -> pa.Array:
+    return pa.array(x.astype(kind))
 
 
 def texts_of(batch: pa.RecordBatch, block: int = 1 << 20) -> Iterator[tuple]:
@@ -159,8 +156,7 @@ def _cells(shared: bytes, least: int, agree: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*LINE, "n", "cells", "m", "new")}
-            for doc, crc, x in texts_of(batch):
+            for doc, crc, x in texts_of(batch):              # memory follows a block of texts
                 at = (x.leaf & np.uint64((1 << LEAF_BITS) - 1)).astype(np.int64)
                 need = np.maximum(least, np.ceil(agree * x.size - 1e-9))
                 on = (x.constant >= need) & ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
@@ -170,22 +166,13 @@ def _cells(shared: bytes, least: int, agree: float):
                 row = x.row[taken]
                 cells = mix(x.leaf[row] ^ mix(x.words[taken] + x.place[taken].astype(np.uint64) * _PLACE))
                 new = first_of(cells, x.text[row])
-                number = np.cumsum(on) - 1
-                k, text = int(on.sum()), x.text[on]
-                out["doc"].append(doc[text])
-                out["crc"].append(crc[text])
-                out["line"].append(x.line[on])
-                out["size"].append(x.size[on])
-                out["total"].append(x.total[text])
-                out["n"].append(np.bincount(number[row], minlength=k))
-                out["cells"].append(cells)
-                out["m"].append(np.bincount(number[row[new]], minlength=k))
-                out["new"].append(cells[new])
-            yield pa.RecordBatch.from_arrays(
-                [longs(out["doc"]), longs(out["crc"]),
-                 *[longs(out[c], np.int32) for c in ("line", "size", "total")],
-                 lists(out["n"], out["cells"]), lists(out["m"], out["new"])],
-                names=[*LINE, "cells", "new"])
+                number, k, text = np.cumsum(on) - 1, int(on.sum()), x.text[on]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[text]), longs(crc[text]), longs(x.line[on], np.int32),
+                     longs(x.size[on], np.int32), longs(x.total[text], np.int32),
+                     lists(np.bincount(number[row], minlength=k), cells),
+                     lists(np.bincount(number[row[new]], minlength=k), cells[new])],
+                    names=[*LINE, "cells", "new"])
     return run
 
 
@@ -247,8 +234,7 @@ def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
 def _keys(general: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*LINE, "n", "keys", "m", "new", "leaf", "new_leaf")}
-            for doc, crc, x in texts_of(batch):
+            for doc, crc, x in texts_of(batch):              # memory follows a block of texts
                 keys, there = x.templates(general, least)
                 on = there.any(1)
                 if not on.any():
@@ -257,23 +243,12 @@ def _keys(general: int, least: int):
                 flat = keys[there]
                 row = np.nonzero(there)[0]
                 new = first_of(flat, text[row])
-                out["doc"].append(doc[text])
-                out["crc"].append(crc[text])
-                out["line"].append(x.line[on])
-                out["size"].append(x.size[on])
-                out["total"].append(x.total[text])
-                out["n"].append(there.sum(1))
-                out["keys"].append(flat)
-                out["m"].append(np.bincount(row[new], minlength=k))
-                out["new"].append(flat[new])
-                out["leaf"].append(x.leaf[on].view(np.int64))
-                out["new_leaf"].append(first_of(x.leaf[on], text))
-            yield pa.RecordBatch.from_arrays(
-                [longs(out["doc"]), longs(out["crc"]),
-                 *[longs(out[c], np.int32) for c in ("line", "size", "total")],
-                 lists(out["n"], out["keys"]), lists(out["m"], out["new"]),
-                 longs(out["leaf"]), longs(out["new_leaf"], bool)],
-                names=[*LINE, "keys", "new", "leaf", "new_leaf"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[text]), longs(crc[text]), longs(x.line[on], np.int32),
+                     longs(x.size[on], np.int32), longs(x.total[text], np.int32),
+                     lists(there.sum(1), flat), lists(np.bincount(row[new], minlength=k), flat[new]),
+                     pa.array(x.leaf[on].view(np.int64)), pa.array(first_of(x.leaf[on], text))],
+                    names=[*LINE, "keys", "new", "leaf", "new_leaf"])
     return run
 
 
