@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from lodestar.session import ensure_checkpoint_dir
 
@@ -59,12 +60,23 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-#: Ids of a broadcast table at most; larger tables are shuffled.
+#: Rows, and items of array columns, of a broadcast table at most; larger
+#: tables are shuffled.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_ITEMS = 4_000_000
 
 
 def join_by_id(big: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join a table with texts to a written table of a few numbers a row: the
-    small one is counted and broadcast up to ``BROADCAST_ROWS`` rows, so the
-    texts stay where they are; beyond that both are shuffled."""
-    return big.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, on, how)
+    small one is counted, with the items of its arrays, and broadcast up to
+    ``BROADCAST_ROWS`` and ``BROADCAST_ITEMS``, so the texts stay where they
+    are; beyond that both are shuffled."""
+    return big.join(F.broadcast(ids) if is_small(ids) else ids, on, how)
+
+
+def is_small(ids: DataFrame) -> bool:
+    """Whether a written table of numbers and arrays of numbers may be broadcast."""
+    lists = [f"`{f.name}`" for f in ids.schema.fields if isinstance(f.dataType, ArrayType)]
+    items = [F.sum(F.greatest(F.size(c), F.lit(0)).cast("long")) for c in lists]
+    row = ids.agg(F.count(F.lit(1)), *items).first()
+    return row[0] <= BROADCAST_ROWS and sum(n or 0 for n in row[1:]) <= BROADCAST_ITEMS

@@ -35,9 +35,11 @@ def shard_records(docs: DataFrame, shards: int = 16, seed: int = 42,
     from 0 in each shard, in shuffled order) and ``grown_shard`` (the shard
     with one more shard). Input columns of these names are replaced.
 
-    ``bucket_bytes`` is what a bucket holds of texts on average. A bucket
-    that many rows of one id overfill is shuffled in pieces of that size,
-    so memory stays bounded whatever the ids.
+    ``bucket_bytes`` is what a bucket holds of texts on average. The shard of
+    a row follows its id alone, its bucket id and text, so the rows of an id
+    that repeats often spread over the buckets of their shard. A bucket that
+    equal rows overfill is shuffled in pieces of that size, so memory stays
+    bounded whatever the ids.
 
     Null ids count as one more id value; a null text has no bytes; repeated
     rows are all kept, in the same shard; an empty table gives no rows.
@@ -49,11 +51,12 @@ def shard_records(docs: DataFrame, shards: int = 16, seed: int = 42,
 
     def place(rows: DataFrame) -> DataFrame:
         return (rows.withColumn("_shard", rendezvous(key, shards, seed))
-                    .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(~seed), key), F.lit(spread))))
+                    .withColumn("_bucket", F.pmod("_deal", F.lit(spread))))
 
-    # where each bucket starts in its shard: from the ids alone
+    # where each bucket starts in its shard: from the hashes alone
     by_shard = Window.partitionBy("_shard").orderBy("_bucket")
-    starts = (place(df.select(id_col)).groupBy("_shard", "_bucket")
+    deal = F.xxhash64(F.lit(~seed), key, F.col(text_col)).alias("_deal")
+    starts = (place(df.select(id_col, deal)).groupBy("_shard", "_bucket")
               .agg(F.count(F.lit(1)).alias("_n"))
               .select("_shard", "_bucket",
                       (F.sum("_n").over(by_shard) - F.col("_n")).alias("_start")))
@@ -63,8 +66,8 @@ def shard_records(docs: DataFrame, shards: int = 16, seed: int = 42,
     scattered = (
         place(df.select(id_col, record.alias("_record"), size.cast("long").alias("_size"),
                         F.xxhash64(F.lit(seed), key, F.col(text_col)).alias("_mix"),
-                        key.alias("_key")))
-        .drop(id_col)                       # texts travel once, inside the record
+                        key.alias("_key"), deal))
+        .drop(id_col, "_deal")              # texts travel once, inside the record
         .select("*", F.row_number().over(in_bucket).cast("long").alias("_rank"),
                 F.sum("_size").over(in_bucket.rowsBetween(
                     Window.unboundedPreceding, 0)).alias("_upto"))

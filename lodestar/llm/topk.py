@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import shared_path
 
-#: Quantised components must stay below this, so that scores fit in a long.
-COMPONENT_LIMIT = 1 << 24
+#: Quantised components stay below this, so that their differences fit in a
+#: long, and products of two vectors below that, so that scores do.
+COMPONENT_LIMIT = 1 << 61
+SCORE_LIMIT = 9.2e18
 
 
 class SlicedBlock:
@@ -39,6 +41,7 @@ class SlicedBlock:
         self.words = -(-n // 64)
         self.rows = self._bitmap(np.ones(n, bool))
         low = vectors.min(axis=0) if dims else np.zeros(0, np.int64)
+        self.most = np.abs(vectors).max(axis=0).astype(float) if dims else np.zeros(0)
         shifted = vectors - low
         self.bits = [int(x).bit_length() for x in shifted.max(axis=0)] if dims else []
         self.dropped = dropped
@@ -65,7 +68,7 @@ class SlicedBlock:
         p = 0
         while p < top or carried:
             shift = p - self.bit
-            use = (shift >= 0) & ((weight >> np.maximum(shift, 0)) & 1 == 1)
+            use = (shift >= 0) & ((weight >> np.clip(shift, 0, 63)) & 1 == 1)
             now = np.concatenate([self.slices[at[use]], *carried])
             carried = []
             while len(now) > 2:
@@ -83,6 +86,8 @@ class SlicedBlock:
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows other than ``query_id``'s own."""
+        if np.abs(query).astype(float) @ self.most >= SCORE_LIMIT:
+            raise ValueError("a quantised component is so large that a score need not fit in a long")
         own = self.ids == query_id
         live = self.rows & ~self._bitmap(own) if own.any() else self.rows
         sums = self.sums(query)
@@ -94,7 +99,7 @@ class SlicedBlock:
                 open_, kth = one, kth | (1 << p)
             else:
                 sure, open_ = sure + n, open_ & ~sums[p]
-        least = kth - int(np.abs(query).sum()) * ((1 << self.dropped) - 1)
+        least = kth - sum(np.abs(query).tolist()) * ((1 << self.dropped) - 1)
         found = live
         if least > 0:
             more, same = np.zeros_like(live), live
@@ -116,7 +121,7 @@ def _quantised(array: pa.ListArray, scale: int) -> dict[int, tuple[np.ndarray, n
     lengths = np.asarray(array.value_lengths().to_numpy(zero_copy_only=False), np.int64)
     values = np.floor(array.flatten().to_numpy(zero_copy_only=False).astype(np.float64) * scale)
     if len(values) and np.abs(values).max() >= COMPONENT_LIMIT:
-        raise ValueError(f"a quantised component reaches {COMPONENT_LIMIT}: scores need not fit")
+        raise ValueError(f"a quantised component reaches {COMPONENT_LIMIT}")
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     out = {}
     for n in np.unique(lengths):
@@ -169,6 +174,10 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
     take no part; a vector meets those of its own length only; rows that
     repeat an id are candidates each, none of them for a query of that id,
     and repeated query rows count once. An empty table gives no rows.
+    Components may be large: only if a query's absolute components times the
+    largest of a block (its own row included) reach 9.2e18, so that a score
+    need not fit in a long, or a quantised component reaches 2^61, the search
+    ends with a ValueError, as Spark's checked arithmetic does.
     """
     spark = vectors.sparkSession
     x = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))

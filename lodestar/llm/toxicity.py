@@ -8,8 +8,10 @@ estimates, by expectation maximisation over the votes alone, how often each
 voter fires on either class, and from the votes' correlations within a class
 how much of each voter's vote is its own: voters that always fire together
 share one vote. A linear classifier learns the resulting posteriors; its
-scores are brought to the scale of the sample's labels (one slope, one
-shift), and it scores all rows.
+scores are brought to the scale of the labels (one slope, one shift), and it
+scores all rows. The two classes are sampled apart; each sampled row weighs
+as many labelled rows of its class as it stands for, so prior, purity of
+terms and scale are those of all training rows, whatever the sample's bounds.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import without
+from lodestar.llm.common import materialise, without
 from lodestar.llm.quality import held_out
 
 #: After lower-casing, ASCII other than letters ends words.
@@ -76,21 +78,23 @@ class Voters:
         return out
 
 
-def label_model(votes: np.ndarray, first: np.ndarray, prior: float, rounds: int = 12) -> np.ndarray:
+def label_model(votes: np.ndarray, first: np.ndarray, prior: float, rounds: int = 12,
+                weight: np.ndarray | float = 1.0) -> np.ndarray:
     """Posterior of toxicity of each row of ``votes`` (0: abstains). ``first``:
-    posteriors to start from. Voters that all but always agree share a vote
+    posteriors to start from; ``weight``: of the rows. Voters that all but always agree share a vote
     from the start; what voters share within a class beyond that is estimated
     from a first fit's posteriors and settles the shares of the second."""
-    same = correlations(votes, np.ones(len(votes)))
+    same = correlations(votes, weight * np.ones(len(votes)))
     share = 1 / (same > 0.8).sum(1)
     for _ in range(2):
         p = first
         for _ in range(rounds):
-            a1 = (p @ votes + 0.5 * prior) / (p.sum() + 1)  # fires on toxic / clean rows
-            a0 = ((1 - p) @ votes + 0.5 * (1 - prior)) / ((1 - p).sum() + 1)
+            w1, w0 = weight * p, weight * (1 - p)
+            a1 = (w1 @ votes + 0.5 * prior) / (w1.sum() + 1)    # fires on toxic / clean rows
+            a0 = (w0 @ votes + 0.5 * (1 - prior)) / (w0.sum() + 1)
             logit = np.log(prior / (1 - prior)) + votes @ (share * np.log(a1 / a0))
             p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        tied = np.maximum(correlations(votes, p), correlations(votes, 1 - p))
+        tied = np.maximum(correlations(votes, weight * p), correlations(votes, weight * (1 - p)))
         share = np.minimum(share, 1 / np.where(tied > 0.5, tied, 0).sum(1))
     return p
 
@@ -106,14 +110,15 @@ def correlations(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float = 1e-4,
-               rate: float = 0.1) -> np.ndarray:
-    """Logistic regression on soft targets; the last weight is the bias."""
+               rate: float = 0.1, weight: np.ndarray | float = 1.0) -> np.ndarray:
+    """Logistic regression on soft targets, rows weighted by ``weight`` (1 on
+    average); the last weight is the bias."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         s = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (s - target) / len(x) + ridge * w
+        g = x.T @ (weight * (s - target)) / len(x) + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w
@@ -163,18 +168,23 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = 4000, clean_sa
     y = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
          .filter("id is not null and y is not null").filter(~held_out("id"))
          .groupBy("id").agg(F.max("y").alias("y")))
+    every = {int(r["y"]): r["count"] for r in y.groupBy("y").count().collect()}
     order = [F.xxhash64(F.lit(21), "id"), F.col("id")]
     chosen = (y.filter("y = 1").orderBy(*order).limit(toxic_sample)
               .unionByName(y.filter("y = 0").orderBy(*order).limit(clean_sample)))
-    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(chosen), "id").filter("text is not null")
-             .groupBy("text").agg(F.max("y").cast("int").alias("y"))    # copies count once
-             .select("y", "text"))
+    texts = materialise(
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .join(F.broadcast(chosen), "id").filter("text is not null")
+        .groupBy("text").agg(F.max("y").cast("int").alias("y"))         # copies count once
+        .select("y", "text"), "voters")
     counts = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     n1, n0 = counts.get(1, 0), counts.get(0, 0)
     if not n1 or not n0:
         return None
     share = n1 / (n1 + n0)
+    # labelled rows that a row of the sample stands for
+    w1, w0 = max(1.0, every[1] / toxic_sample), max(1.0, every[0] / clean_sample)
+    prior = n1 * w1 / (n1 * w1 + n0 * w0)
     toxic, clean = F.col("toxic"), F.col("clean")
     n = toxic + clean
     # likelihood ratio of the term's toxic share against the sample's
@@ -184,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = 4000, clean_sa
              .select("y", F.explode("terms").alias("term")).groupBy("term")
              .agg(F.sum("y").cast("double").alias("toxic"),
                   F.sum(1 - F.col("y")).cast("double").alias("clean"))
-             .filter((toxic >= 3) & (toxic / n >= 0.97))
+             .filter((toxic >= 3) & (toxic * w1 / (toxic * w1 + clean * w0) >= 0.97))
              .withColumn("telling", telling).filter(F.col("telling") >= TELLING)
              .orderBy(F.desc("telling"), "term").limit(lexicon).collect())
     terms = [bytes(r["term"]) for r in found]
@@ -204,10 +214,12 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = 4000, clean_sa
     order = np.lexsort((y, *votes.T[::-1]))                 # rows come in any order
     votes, y = votes[order], y[order]
     heard = votes[:, :len(terms)].any(1)
-    p = label_model(votes, np.where(heard, 0.9, 0.05), share)
-    weights = fit_linear(votes, p)
+    weight = np.where(y == 1, w1, w0)
+    weight = weight / weight.mean()
+    p = label_model(votes, np.where(heard, 0.9, 0.05), prior, weight=weight)
+    weights = fit_linear(votes, p, weight=weight)
     z = votes @ weights[:-1] + weights[-1]
-    a, b = fit_linear(z[:, None], y, ridge=1e-3)            # to the scale of the labels
+    a, b = fit_linear(z[:, None], y, ridge=1e-3, weight=weight)     # to the scale of the labels
     return Model(terms, np.append(a * weights[:-1], a * weights[-1] + b))
 
 
