@@ -21,9 +21,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go; n_chars follows the text."""
-    out = line_dedup.drop_recurring_lines(docs)
-    kept = out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Lines of recurring templates go; n_chars follows the text. The other
+    columns stay as they are, whatever their names."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    out = line_dedup.drop_recurring_lines(
+        docs.toDF(*names), id_col=names[docs.columns.index("doc_id")],
+        text_col=names[docs.columns.index("text")])
+    kept = out.select(*names).toDF(*docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns \
         else kept
 
