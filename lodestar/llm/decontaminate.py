@@ -88,7 +88,7 @@ class Windows:
         of every occurrence."""
         if self.letters:
             get, unknown = self.letters.get, self.unknown
-            spelt = "".join([get(w, unknown) for w in words])
+            spelt = "".join(map(get, words, itertools.repeat(unknown)))
             for last, held in self.automaton.iter(spelt):
                 yield (last + 1) // self.width, held
 

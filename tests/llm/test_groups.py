@@ -325,6 +325,6 @@ def test_entry_lists_the_queries():
     import __spark_entry__ as e
     names = e.queries()
     found = {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))}
-    assert found == set(range(1, 11)) and "pipeline" in names
-    assert {"op3_decontaminate", "op5_line_dedup", "op9_substring_dedup", "op10_topk"} <= set(
-        e.oracle_sql())
+    assert found == set(range(1, 14)) and "pipeline" in names
+    assert {"op3_decontaminate", "op9_substring_dedup", "op10_topk", "op11_importance",
+            "op12_line_rules", "op13_filter_audit"} <= set(e.oracle_sql())
