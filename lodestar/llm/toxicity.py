@@ -34,6 +34,7 @@ N_PATTERNS = 4
 #: Likelihood ratio that a term must reach: well beyond what the best of some
 #: millions of terms reaches by chance.
 TELLING = 30.0
+AT_ONCE = 256                     # texts that a worker takes and hands on at a time
 
 
 def normal(text: str | None) -> bytes:
@@ -141,8 +142,15 @@ class Model:
         self.terms, self.weights = terms, weights
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches`` in blocks of AT_ONCE rows, so that no more is held at a time."""
     for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _blocks(batches):
         terms = [sorted(terms_of(t.as_py())) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(terms, pa.list_(pa.binary()))], names=["y", "terms"])
@@ -151,7 +159,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _votes(terms: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(terms)
-        for batch in batches:
+        for batch in _blocks(batches):
             fired = [np.flatnonzero(voters.votes(t.as_py())).astype(np.int32)
                      for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -235,7 +243,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(model.terms) if model else None
-        for batch in batches:
+        for batch in _blocks(batches):
             column = batch.column(batch.schema.names.index(text_col))
             s = np.zeros(len(column))
             if model and len(column):
