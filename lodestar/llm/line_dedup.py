@@ -18,13 +18,11 @@ texts.
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,11 +142,6 @@ def texts_of(batch: pa.RecordBatch, block: int = 1 << 20) -> Iterator[tuple]:
         yield done()
 
 
-def constants(n: int, least: int, agree: float) -> int:
-    """Constant tokens that a line of ``n`` tokens must share with others."""
-    return max(least, math.ceil(agree * n - 1e-9))
-
-
 def _cells(shared: bytes, least: int, agree: float):
     """Lines in ``shared`` leaves with one hash of (leaf, place, token) for
     each constant token; ``new`` has those not seen before in the document."""
@@ -176,28 +169,39 @@ def _cells(shared: bytes, least: int, agree: float):
     return run
 
 
-def field_templates(counts: list[int], cells: list[int], need: int) -> list[int]:
-    """Hashes of the templates of a line: for each count, the cells that as
-    many documents or more hold, if they are ``need`` or more."""
-    ranked = sorted(zip(counts, cells, strict=True), key=lambda x: (-x[0], x[1]))
-    out = []
-    for k in range(need, len(ranked) + 1):
-        if k == len(ranked) or ranked[k][0] < ranked[k - 1][0]:
-            cut = np.sort(np.array([c for _, c in ranked[:k]], np.int64))
-            out.append(xxhash.xxh64_intdigest(cut.tobytes()) - (1 << 63))
-    return out
+def field_templates(counts: np.ndarray, cells: np.ndarray, begin: np.ndarray,
+                    need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of the templates of some lines. Line i has the cells
+    ``begin[i]`` up to ``begin[i + 1]``, each held by ``counts`` documents; for
+    each count, the cells that as many documents or more hold are a template
+    if they are ``need[i]`` or more."""
+    line = np.repeat(np.arange(len(need)), np.diff(begin))
+    order = np.lexsort((-counts, line))                      # lines stay in order
+    counts = counts[order]
+    upto = np.concatenate([[np.uint64(0)], np.cumsum(mix(cells[order].view(np.uint64)), dtype=np.uint64)])
+    held = np.arange(1, len(line) + 1) - begin[line]         # cells of the line so far
+    last = np.ones(len(line), bool)
+    last[:-1] = (line[1:] != line[:-1]) | (counts[1:] < counts[:-1])
+    at = np.flatnonzero(last & (held >= need[line]))
+    sums = upto[at + 1] - upto[begin[line[at]]]
+    return line[at], mix(mix(sums) + held[at].astype(np.uint64) * _N)
 
 
 def _fields(least: int, agree: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             names = batch.schema.names
-            keys = [field_templates([c["n"] for c in found], [c["cell"] for c in found],
-                                    constants(n, least, agree))
-                    for found, n in zip(batch.column(names.index("found")).to_pylist(),
-                                        batch.column(names.index("size")).to_pylist(), strict=True)]
+            found = batch.column(names.index("found"))
+            counts, cells = (x.to_numpy() for x in found.flatten().flatten())
+            begin = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
+            size = batch.column(names.index("size")).to_numpy()
+            need = np.maximum(least, np.ceil(agree * size - 1e-9)).astype(np.int64)
+            line, keys = field_templates(counts, cells, begin, need)
             columns = {n: c for n, c in zip(names, batch.columns, strict=True) if n != "found"}
-            yield pa.RecordBatch.from_pydict(columns | {"keys": pa.array(keys, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict(
+                columns | {"keys": lists(np.bincount(line, minlength=batch.num_rows), keys)})
     return run
 
 
