@@ -27,9 +27,11 @@ capped, so no component is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,19 +41,43 @@ from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
 BAND_RATIO = 1.8
 TILE_BITS = 2048                  # of a bitmap inside a tile, at most
-AT_ONCE = 256                     # texts whose arrays a worker holds
+AT_ONCE = 256                     # texts whose arrays a worker holds, at most
+ROWS = 32                         # of a tile compared with another at once
 MIXING = 3                        # rounds against further leaders before tiles
 
 
-def shingle_set(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the ``n``-word shingles (A-Z lower-cased); of
-    fewer words, the whole sequence is one; without words there is none."""
-    words, _ = word_hashes((text or "").encode().translate(LOWER))
-    if not len(words):
-        return words
-    short = len(words) < n
-    h = window_hashes(words, len(words) if short else n)
-    return np.unique(mix(h ^ np.uint64(len(words)) if short else h))
+def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its ``n``-word shingles (A-Z
+    lower-cased); of fewer words, the whole sequence is one; without words
+    there is none. The texts are hashed as one stretch of bytes."""
+    data = [(t or "").encode() for t in texts.to_pylist()]
+    begin = np.cumsum([0, *[len(d) + 1 for d in data]])
+    words, at = word_hashes(b"\n".join(data).translate(LOWER))
+    first = np.searchsorted(at, begin)
+    shingles = mix(window_hashes(words, n))
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= n:
+            out.append(np.unique(shingles[a:b - n + 1]))
+        elif b > a:
+            out.append(mix(window_hashes(words[a:b], b - a) ^ np.uint64(b - a)))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
+def blocks(batch: pa.RecordBatch, block: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Stretches of the rows with texts (second column) of about ``block``
+    bytes in all, or one longer text; ``AT_ONCE`` rows at most."""
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    start = held = 0
+    for i, s in enumerate(size):
+        if i > start and (held + s > block or i - start == AT_ONCE):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += s
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
 def set_key(shingles: np.ndarray) -> tuple[int, int]:
@@ -61,6 +87,7 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.array(a, np.uint64).view(np.int64)), int(np.array(b, np.uint64).view(np.int64))
 
 
+@lru_cache(1 << 14)
 def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
     """(band, k, parts) of a set: its own size band, and the band around an
     edge that is near enough for links across it."""
@@ -137,26 +164,22 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, a, b = [], [], []
-            for text in batch.column(1):
-                s = shingle_set(text.as_py(), n)
-                key = set_key(s)
-                size.append(len(s))
-                a.append(key[0])
-                b.append(key[1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (size, a, b))],
-                names=["doc", "size", "a", "b"])
+        for whole in batches:
+            for batch in blocks(whole):
+                sets = shingle_sets(batch.column(1), n)
+                keys = [set_key(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                     *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))],
+                    names=["doc", "size", "a", "b"])
     return run
 
 
 def _keys(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, AT_ONCE):
-                batch = whole.slice(at, AT_ONCE)
-                keys = [part_keys(shingle_set(t.as_py(), n), percent) for t in batch.column(1)]
+            for batch in blocks(whole):
+                keys = [part_keys(s, percent) for s in shingle_sets(batch.column(1), n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"])
     return run
@@ -167,9 +190,8 @@ def _signatures(n: int):
     sorted shingles of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, AT_ONCE):
-                batch = whole.slice(at, AT_ONCE)
-                sets = [shingle_set(t.as_py(), n) for t in batch.column(1)]
+            for batch in blocks(whole):
+                sets = shingle_sets(batch.column(1), n)
                 bits = [bitmap(s) for s in sets]
                 few = [fold(np.frombuffer(b, np.uint8), min(TILE_BITS // 8, max(32, len(b) // 4)))
                        .tobytes() for b in bits]
@@ -208,48 +230,65 @@ def _best(comps: np.ndarray, most: int) -> np.ndarray:
 
 
 class Tile:
-    """Columns of the classes of a tile."""
-
-    def __init__(self, rows: list[dict], size: int):
-        self.ids = np.array([r["doc"] for r in rows], np.int64)
-        self.comps = np.array([r["component"] for r in rows], np.int64)
-        self.sizes = np.array([r["size"] for r in rows], np.int64)
-        self.bits = np.stack([fold(np.frombuffer(r["few"], np.uint8), size) for r in rows])
-        self.refuted = {(r["doc"], v) for r in rows for v in r["refuted"] or ()}
-
-
-def candidates(x: list[dict], y: list[dict], percent: int, most: int) -> list[np.ndarray]:
+    """Columns of the classes of a tile (doc, component, size, few, refuted)."""
+
+    def __init__(self, rows: pa.StructArray, size: int):
+        doc, component, sizes, few, refuted = rows.flatten()
+        self.ids, self.comps, self.sizes = (x.to_numpy() for x in (doc, component, sizes))
+        few = few.to_pylist()
+        length = np.array([len(b) for b in few])
+        bits = np.empty((len(few), size), np.uint8)
+        for n in np.unique(length).tolist():
+            at = np.flatnonzero(length == n)
+            bits[at] = fold(np.frombuffer(b"".join([few[i] for i in at]), np.uint8).reshape(-1, n), size)
+        self.bits = bits.view(np.uint64)
+        n = pc.fill_null(refuted.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        self.refuted = np.repeat(self.ids, n), refuted.flatten().to_numpy()
+
+
+def known(a: Tile, b: Tile) -> np.ndarray | None:
+    """Which pairs of rows of two tiles are refuted, if any may be."""
+    u, v = (np.concatenate([a.refuted[i], b.refuted[i]]) for i in (0, 1))
+    if not len(u):
+        return None
+    (one, i), (two, j) = (np.unique(t.ids, return_inverse=True) for t in (a, b))
+    out = np.zeros((len(one), len(two)), bool)
+    for x, y in ((u, v), (v, u)):
+        p, q = (np.minimum(np.searchsorted(ids, z), len(ids) - 1) for ids, z in ((one, x), (two, y)))
+        here = (one[p] == x) & (two[q] == y)
+        out[p[here], q[here]] = True
+    return out[i][:, j]
+
+
+def candidates(x: pa.StructArray, y: pa.StructArray, percent: int, most: int) -> list[np.ndarray]:
     """(u, v, components of u and v, differing bits in a million of the sizes)
     of the pairs of two tiles (or of one with itself) that lie in different
     components, are not refuted and may link; of each component the ``most``
     that differ least."""
-    size = min(len(r["few"]) for r in x + y)
+    size = min(pc.min(pc.binary_length(rows.field("few"))).as_py() for rows in (x, y))
     a = Tile(x, size)
     b = a if x is y else Tile(y, size)
-    us, vs, cus, cvs, far = [], [], [], [], []
-    for i in range(len(a.ids)):
-        may = np.flatnonzero((a.comps[i] != b.comps) & (b.ids > a.ids[i] if a is b else b.ids != a.ids[i]))
-        apart = np.bitwise_count(a.bits[i] ^ b.bits[may]).sum(axis=-1, dtype=np.int64)
-        both = (a.sizes[i] + b.sizes[may] - apart) // 2       # overlap at most
-        ok = (both >= 0) & (100 * both >= percent * (a.sizes[i] + b.sizes[may] - both))
-        may, apart = may[ok], apart[ok]
-        if not len(may):
-            continue
-        u = np.maximum(a.ids[i], b.ids[may])
-        v = np.minimum(a.ids[i], b.ids[may])
-        known = a.refuted | b.refuted
-        if known:
-            new = np.array([p not in known for p in zip(u.tolist(), v.tolist(), strict=True)], bool)
-            may, apart, u, v = may[new], apart[new], u[new], v[new]
-        mine = a.ids[i] == u
-        us.append(u)
-        vs.append(v)
-        cus.append(np.where(mine, a.comps[i], b.comps[may]))
-        cvs.append(np.where(mine, b.comps[may], a.comps[i]))
-        far.append(apart * 1_000_000 // (a.sizes[i] + b.sizes[may]))
-    if not us:
-        return [np.zeros(0, np.int64)] * 5
-    out = [np.concatenate(c) for c in (us, vs, cus, cvs, far)]
+    no = known(a, b)
+    found = []
+    for at in range(0, len(a.ids), ROWS):
+        ids, comps = a.ids[at:at + ROWS, None], a.comps[at:at + ROWS, None]
+        may = (comps != b.comps) & (b.ids > ids if a is b else b.ids != ids)
+        if no is not None:
+            may &= ~no[at:at + ROWS]
+        i, j = np.nonzero(may)
+        i += at
+        total = a.sizes[i] + b.sizes[j]
+        apart = np.bitwise_count(a.bits[i] ^ b.bits[j]).sum(axis=-1, dtype=np.int64)
+        both = (total - apart) // 2                           # overlap at most
+        ok = (both >= 0) & (100 * both >= percent * (total - both))
+        i, j = i[ok], j[ok]
+        mine = a.ids[i] >= b.ids[j]
+        found.append((np.maximum(a.ids[i], b.ids[j]), np.minimum(a.ids[i], b.ids[j]),
+                      np.where(mine, a.comps[i], b.comps[j]), np.where(mine, b.comps[j], a.comps[i]),
+                      apart[ok] * 1_000_000 // total[ok]))
+    out = [np.concatenate(c) for c in zip(*found, strict=True)]
+    if not len(out[0]):
+        return out
     order = np.lexsort((out[1], out[0], out[4]))
     out = [c[order] for c in out]
     keep = _best(out[2], most) | _best(out[3], most)
@@ -262,8 +301,8 @@ def _tile_candidates(percent: int, most: int):
         for batch in batches:
             found = []
             for i in range(batch.num_rows):
-                x = batch.column(0)[i].as_py()
-                y = batch.column(1)[i].as_py() if batch.num_columns > 1 else x
+                x = batch.column(0)[i].values
+                y = batch.column(1)[i].values if batch.num_columns > 1 else x
                 found.append(candidates(x, y, percent, most))
             columns = [np.concatenate([np.zeros(0, np.int64), *c])
                        for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
