@@ -228,7 +228,7 @@ def m_series_cv_verdict(spark, sf):
         X.trend(v).alias("v_trend"), X.rolling_std_mean(v, 5).alias("v_rstd"),
         F.size(v).cast("double").alias("length"),
         F.when(F.array_contains("event_type", "purchase"), 1.0).otherwise(0.0).alias("label"))
-    f = f.persist(StorageLevel.DISK_ONLY)
+    f = M.kept_rows(f)
     train, test = _split(f, "k")
     asm = VectorAssembler(inputCols=["v_mean", "v_max", "v_min", "v_trend", "v_rstd", "length"],
                           outputCol="features")
