@@ -10,6 +10,8 @@ written out explicitly.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,14 +121,20 @@ def slow_movers(lineitem: DataFrame, part: DataFrame, days: int = 365) -> DataFr
     return slow.join(last.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left")
 
 
+# fixed value: parts whose quarterly receipts one task makes
+PARTS_PER_TASK = 20_000
+
+
 def stock_movements(lineitem: DataFrame, part: DataFrame, first: Column, last: Column) -> DataFrame:
     """B3 stand-in for a stock ledger (the tables have none): every part
     starts with 100 + 4 * p_size units, receives 20 + p_size at the start of
     each quarter from ``first`` to ``last``, and loses what is shipped.
     Columns p_partkey, ts, delta, opening."""
     opening = (F.lit(100) + 4 * F.col("p_size")).cast("double")
+    # one row becomes one per quarter: spread first, so that no task makes them all
+    spread = part.select("p_partkey", "p_size").repartition(max(1, math.ceil(part.count() / PARTS_PER_TASK)))
     quarters = F.sequence(F.trunc(F.to_date(first), "quarter"), F.to_date(last), F.expr("INTERVAL 3 MONTHS"))
-    supply = part.select("p_partkey", "p_size", F.explode(quarters).alias("day")).select(
+    supply = spread.select("p_partkey", "p_size", F.explode(quarters).alias("day")).select(
         "p_partkey", F.col("day").cast("timestamp_ntz").alias("ts"),
         (F.lit(20) + F.col("p_size")).cast("double").alias("delta"))
     sold = lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_shipdate").alias("ts"),

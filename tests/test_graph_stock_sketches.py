@@ -94,3 +94,28 @@ def test_merged_days_agree_with_the_whole(spark):
             assert abs(rank - q / 100) < 0.02
     some = {r["k"]: r["n"] for r in SK.merge_days(mart, ["k"], 2, 4).collect()}
     assert some == Counter(k for k, d, _, _ in rows if 2 <= d <= 4)
+
+
+def test_receipts_of_many_parts_are_spread(spark, monkeypatch):
+    """All parts in one file partition: their rows per quarter come from many tasks."""
+    monkeypatch.setattr(B, "PARTS_PER_TASK", 10)
+    part = spark.range(95).coalesce(1).select(F.col("id").alias("p_partkey"), F.lit(3).alias("p_size"))
+    line = spark.createDataFrame([(1, 5.0)], "l_partkey long, l_quantity double").withColumn(
+        "l_shipdate", F.expr("TIMESTAMP_NTZ '2020-02-03'"))
+    out = B.stock_movements(line, part, F.expr("DATE '2020-01-15'"), F.expr("DATE '2020-12-31'"))
+    assert out.count() == 95 * 4 + 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 10, true" in plan
+
+
+def test_pairs_to_recommend_are_compared_in_tasks_by_lines(spark, duck, monkeypatch):
+    from lodestar.plans import triples_plans as P
+    from lodestar.plans.registry import load_all
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(P, "LINES_PER_TASK", 1000)
+    got = P.g_multi_hop_recommend(spark, SF_SMALL)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    lines = duck.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    assert plan.count(f", {-(-lines // 1000)}") == 2 and plan.count("RepartitionByExpression") == 2
+    sql = load_all()["g_multi_hop_recommend"].sql
+    assert sorted(map(tuple, got.collect())) == sorted(duck.execute(sql).fetchall())
