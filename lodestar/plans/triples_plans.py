@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Window
@@ -76,6 +77,10 @@ def g_turtle_roundtrip(spark, sf):
     return back.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count("datatype").alias("n_typed"))
 
 
+# fixed value: lines whose (customer, part) pairs one task compares
+LINES_PER_TASK = 250_000
+
+
 @query("g_multi_hop_recommend", "G4 J4 W1 M7", sql="""
 WITH cb AS (SELECT o_custkey, p_brand, count(*) AS n FROM orders
             JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
@@ -112,7 +117,10 @@ def g_multi_hop_recommend(spark, sf):
     wanted = top.select("o_custkey", "p_brand", F.explode(F.sequence(
         F.lit(1), (F.col("m") + 3).cast("int"))).alias("at"))
     near = wanted.join(ranked.select("p_brand", "at", "l_partkey", "n"), ["p_brand", "at"])
-    fresh = anti(near, bought.select("o_custkey", "l_partkey"), ["o_custkey", "l_partkey"])
+    # both sides are sorted in memory: as many tasks as the lines call for, however well they compress
+    n = max(1, math.ceil(t.lineitem.count() / LINES_PER_TASK))
+    pair = ["o_custkey", "l_partkey"]
+    fresh = anti(near.repartition(n, *pair), bought.select(*pair).repartition(n, *pair), pair)
     best = fresh.withColumn("r", F.row_number().over(
         Window.partitionBy("o_custkey", "p_brand").orderBy("at"))).where("r <= 3")
     return best.select("o_custkey", F.col("l_partkey").alias("rec_partkey"), "p_brand")
