@@ -69,3 +69,25 @@ def test_unseen_items_with_one_heavy_user(spark):
     for u in {u for u, _, _ in rows}:
         left = n_items - len({i for x, i in seen if x == u})
         assert sorted(by.get(u, [])) == list(range(1, min(3, left) + 1))
+
+
+def test_unseen_items_are_those_of_mllib(spark, monkeypatch):
+    """Every customer was scored against every part several lists long; cells
+    of few users and items must give the same items in the same order."""
+    import random
+    from lodestar.ml import models as M
+    rng = random.Random(7)
+    rows = sorted({(rng.randrange(70), rng.randrange(90)) for _ in range(900)}) + [(3, i) for i in range(85)]
+    rows = [(u, i, float(rng.randrange(1, 4))) for u, i in sorted(set(rows))]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating float")
+    model = M.als(rank=4).fit(ratings)
+    users = ratings.select("user").union(spark.createDataFrame([(999,), (3,)], "user int"))
+    monkeypatch.setattr(model, "recommendForUserSubset", None, raising=False)
+    for name, value in (("CELL_MOST", 40), ("USERS_AT_ONCE", 16), ("ITEMS_AT_ONCE", 8)):
+        monkeypatch.setattr(M, name, value)
+    got = M.recommend_unseen(model, ratings.union(ratings), users, 5).collect()
+    seen, want = {(u, i) for u, i, _ in rows}, []
+    for r in model.recommendForAllUsers(90).collect():
+        left = [x for x in r["recommendations"] if (r["user"], x["item"]) not in seen][:5]
+        want += [(r["user"], k + 1, x["item"], x["rating"]) for k, x in enumerate(left)]
+    assert sorted((r["user"], r["rank"], r["item"], r["score"]) for r in got) == sorted(want)
