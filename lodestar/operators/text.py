@@ -8,6 +8,8 @@ document frequencies).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
@@ -50,3 +52,20 @@ def tfidf_model(text: str = "text", features: int = 10_000) -> Pipeline:
         HashingTF(inputCol="terms", outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="features", minDocFreq=1),
     ])
+
+
+def hashed_beforehand(df: DataFrame, hashing: HashingTF, counts: Sequence[int]) -> DataFrame:
+    """``df`` with the term frequencies for each feature count, as columns
+    that ``Hashed`` takes."""
+    for n in counts:
+        df = hashing.copy({hashing.numFeatures: n, hashing.outputCol: f"{hashing.getOutputCol()}_{n}"}).transform(df)
+    return df
+
+
+class Hashed(HashingTF):
+    """A ``HashingTF`` for tuning, whose frames hold the term frequencies
+    of each feature count already (``hashed_beforehand``)."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.getOutputCol()
+        return dataset.withColumn(out, F.col(f"{out}_{self.getNumFeatures()}"))
