@@ -1,10 +1,13 @@
 """Hot ids, large components, large benchmarks, bounds of samples and broadcasts."""
 
+import contextlib
+import os
 import random
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.llm import common, decontaminate, sharding, topk, toxicity
 from lodestar.llm.common import read_table
@@ -166,3 +169,33 @@ def test_line_stage_keeps_clashing_columns(spark):
     got = {r["doc_id"]: r for r in out.collect()}
     assert all((got[i]["n_lines"], got[i]["n_dropped"]) == ("mine", i) for i in range(6))
     assert got[5]["text"] == "own words of document number 5"
+
+
+def test_written_tables_leave_no_shuffle_files_and_can_go(spark):
+    """The pipeline kept the shuffles and helper tables of every stage to its end."""
+    before = spark.conf.get(common.CLEANUP)
+    with common.written_tables() as tables:
+        first = common.materialise(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "one")
+        second = common.materialise(first.groupBy("count").agg(F.count("k").alias("n")), "two")
+    assert spark.conf.get(common.CLEANUP) == before and len(tables) == 2
+    common.delete_tables(spark, tables[:-1])
+    assert [os.path.exists(p.removeprefix("file:")) for p in tables] == [False, True]
+    assert sum(r["n"] for r in second.collect()) == 7
+    common.materialise(second, "three")
+    assert len(tables) == 2
+
+
+def test_pipeline_keeps_only_what_the_last_stage_reads(spark, monkeypatch):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    written, whole = [], pipeline.written_tables
+
+    @contextlib.contextmanager
+    def noted():
+        with whole() as tables:
+            yield tables
+        written.append(list(tables))
+    monkeypatch.setattr(pipeline, "written_tables", noted)
+    assert pipeline.run(spark, SF).count() > 0
+    assert len(written) == 4
+    left = [p for tables in written for p in tables if os.path.exists(p.removeprefix("file:"))]
+    assert left == [written[-1][-1]]
