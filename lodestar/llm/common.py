@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 #: Folders written by ``materialise`` within ``written_tables``.
 _WRITTEN: ContextVar[list | None] = ContextVar("written", default=None)
+#: The folder of each table that ``materialise`` returned.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: Makes Spark delete the shuffle files of a query when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -46,17 +49,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     if _WRITTEN.get() is not None:
         _WRITTEN.get().append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
 
 
 @contextmanager
 def written_tables() -> Iterator[list[str]]:
-    """The folders that ``materialise`` writes inside, in order."""
-    token = _WRITTEN.set([])
+    """The folders that ``materialise`` writes inside, in order; those around
+    it list them too."""
+    token = _WRITTEN.set(inner := [])
     try:
-        yield _WRITTEN.get()
+        yield inner
     finally:
         _WRITTEN.reset(token)
+        if _WRITTEN.get() is not None:
+            _WRITTEN.get().extend(inner)
 
 
 def delete_tables(spark: SparkSession, paths: list[str]) -> None:
@@ -65,6 +73,14 @@ def delete_tables(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned and no later step reads;
+    other tables are left alone."""
+    for table in tables:
+        if table in _FOLDERS:
+            delete_tables(table.sparkSession, [_FOLDERS.pop(table)])
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     """UTF-8 bytes of a text column plus one per row: one pass, one number."""
     row = df.agg(F.sum(F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + F.lit(1))
@@ -104,7 +120,12 @@ def join_by_id(big: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> D
     small one is counted, with the items of its arrays, and broadcast up to
     ``BROADCAST_ROWS`` and ``BROADCAST_ITEMS``, so the texts stay where they
     are; beyond that both are shuffled."""
-    return big.join(F.broadcast(ids) if is_small(ids) else ids, on, how)
+    return big.join(maybe_broadcast(ids), on, how)
+
+
+def maybe_broadcast(ids: DataFrame) -> DataFrame:
+    """A written table of numbers, marked for broadcast if it is small."""
+    return F.broadcast(ids) if is_small(ids) else ids
 
 
 def is_small(ids: DataFrame) -> bool:

@@ -35,7 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import join_by_id, materialise
+from lodestar.llm.common import (
+    delete_tables, discard, is_small, join_by_id, materialise, maybe_broadcast, written_tables)
 from lodestar.llm.components import components, roots
 from lodestar.llm.hashing import LOWER, mix, window_hashes, word_hashes
 
@@ -340,9 +341,11 @@ def _chosen(apart: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int,
     ends = found.select("u", "v", "far", F.explode(F.array("cu", "cv")).alias("c"))
     first = Window.partitionBy("c").orderBy("far", "u", "v")
     # a pair may meet in several parts: rank distinct ones
-    return materialise(
+    best = materialise(
         ends.distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most)
         .select("u", "v").distinct(), "candidates")
+    discard(cut)
+    return best
 
 
 def _exact(percent: int):
@@ -355,22 +358,36 @@ def _exact(percent: int):
     return run
 
 
+def _with_ends(pairs: DataFrame, rows: DataFrame, u: list[str], v: list[str]) -> DataFrame:
+    """The written ``pairs`` (u, v) with the further columns of ``rows`` (their
+    first is doc) for both ends, under the names ``u`` and ``v``. While the
+    pairs are few enough to be broadcast, only rows of their ends travel."""
+    left, right = rows.toDF("u", *u), rows.toDF("v", *v)
+    if is_small(pairs):
+        left = left.join(F.broadcast(pairs), "u")
+        right = right.join(F.broadcast(pairs.select("v").distinct()), "v", "left_semi")
+    else:
+        left = pairs.join(left, "u")
+    return left.join(right, "v").select("u", "v", *(c for both in zip(u, v, strict=True) for c in both))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that link, written: whole bitmaps first, then arrays."""
-    bits = sets.select("doc", "size", "bits")
+    """Those of the written pairs (u, v) that link, written: whole bitmaps
+    first, then arrays."""
     may = materialise(
-        pairs.join(bits.toDF("u", "nu", "bu"), "u").join(bits.toDF("v", "nv", "bv"), "v")
-        .select("u", "v", "nu", "nv", "bu", "bv")
+        _with_ends(pairs, sets.select("doc", "size", "bits"), ["nu", "bu"], ["nv", "bv"])
         .mapInArrow(_bit_bound(percent), "u long, v long").distinct(), "pairs")
-    arrays = sets.select("doc", "shingles")
-    return materialise(
-        may.join(arrays.toDF("u", "x"), "u").join(arrays.toDF("v", "y"), "v")
-        .select("u", "v", "x", "y").mapInArrow(_exact(percent), "u long, v long").distinct(), "links")
+    links = materialise(
+        _with_ends(may, sets.select("doc", "shingles"), ["x"], ["y"])
+        .mapInArrow(_exact(percent), "u long, v long").distinct(), "links")
+    discard(may)
+    return links
 
 
 def _apart(met: DataFrame, found: DataFrame) -> DataFrame:
     """(key, doc, component, n) of the meetings of more than one component."""
-    placed = met.select("key", "doc").join(found, F.col("doc") == F.col("node"), "left").select(
+    placed = met.select("key", "doc").join(
+        maybe_broadcast(found), F.col("doc") == F.col("node"), "left").select(
         "key", "doc", F.coalesce("component", "doc").alias("component"))
     split = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                        F.count(F.lit(1)).alias("n"))
@@ -380,7 +397,7 @@ def _apart(met: DataFrame, found: DataFrame) -> DataFrame:
 
 def _contracted(links: DataFrame, found: DataFrame) -> DataFrame:
     """Links between documents -> links between their components."""
-    at = found.select(F.col("node").alias("at"), F.col("component").alias("above"))
+    at = maybe_broadcast(found.select(F.col("node").alias("at"), F.col("component").alias("above")))
     for end in ("u", "v"):
         links = links.join(at, F.col(end) == F.col("at"), "left").withColumn(
             end, F.coalesce("above", end)).select("u", "v")
@@ -391,11 +408,13 @@ def _merged(found: DataFrame, joined: DataFrame) -> DataFrame:
     """``found`` after its components were ``joined`` to smaller ones."""
     at = materialise(joined.select(F.col("node").alias("at"), F.col("component").alias("above")),
                      "joined")
-    moved = found.join(at, F.col("component") == F.col("at"), "left").select(
+    moved = found.join(maybe_broadcast(at), F.col("component") == F.col("at"), "left").select(
         "node", F.coalesce("above", "component").alias("component"))
-    tops = at.join(found.select(F.col("node").alias("at")), "at", "left_anti").select(
+    tops = at.join(maybe_broadcast(found.select(F.col("node").alias("at"))), "at", "left_anti").select(
         F.col("at").alias("node"), F.col("above").alias("component"))
-    return materialise(moved.unionByName(tops), "components")
+    merged = materialise(moved.unionByName(tops), "components")
+    discard(at, found)
+    return merged
 
 
 def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
@@ -414,6 +433,16 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     if not 67 <= percent < 100:                             # bands link to the next at most
         raise ValueError("percent must lie in 67 .. 99")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    with written_tables() as tables:
+        out = materialise(_joined(rows, n, percent, tile), "joined")
+    delete_tables(docs.sparkSession, tables[:-1])
+    return out.withColumnRenamed("doc", id_col)
+
+
+def _joined(rows: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """``join_components`` of rows (doc, text), the id column named doc. What
+    it reads of written tables goes with them; the large ones go as soon as no
+    later step reads them."""
     member = materialise(
         rows.mapInArrow(_sets(n), "doc long, size long, a long, b long"), "members")
     # written, so that joins on it are plain ones, whose large partitions split
@@ -437,31 +466,37 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     # hashes and their number) are one
     one = every.groupBy("n", "h1", "h2").agg(F.min("key").alias("key")).select("key")
     met = materialise(every.join(one, "key", "left_semi").select("key", "doc", "leader"), "met")
+    discard(every, copies)
 
     involved = materialise(met.select("doc").distinct(), "involved")
     sets = materialise(join_by_id(rows, involved, "doc", "left_semi").mapInArrow(
         _signatures(n), "doc long, size long, bits binary, few binary, shingles array<long>"), "sets")
-    first = met.groupBy("doc").agg(F.min("leader").alias("v")).filter("v < doc").select(
-        F.col("doc").alias("u"), "v")
+    first = materialise(met.groupBy("doc").agg(F.min("leader").alias("v")).filter("v < doc").select(
+        F.col("doc").alias("u"), "v"), "first")
     # one leader each, and smaller: the links found form a forest
-    found = roots(_verified(first, sets, percent).select(
-        F.col("u").alias("node"), F.col("v").alias("parent")))
+    links = _verified(first, sets, percent)
+    found = materialise(roots(links.select(F.col("u").alias("node"), F.col("v").alias("parent")),
+                              is_small(links)), "components")
 
-    # meetings of more than one component: first against a few more leaders
+    # meetings of more than one component (components only grow, so the others
+    # stay settled): first against a few more leaders
     apart = _apart(met, found)
+    discard(met)
     for r in range(MIXING):
         if apart.isEmpty():
             break
         lead = (apart.groupBy("key").agg(F.min_by(
             F.struct("doc", "component"), F.xxhash64(F.lit(r), "doc")).alias("l"))
             .select("key", F.col("l.doc").alias("other"), F.col("l.component").alias("theirs")))
-        tried = (apart.join(lead, "key").filter("component <> theirs").groupBy("doc")
-                 .agg(F.min_by("other", F.xxhash64(F.lit(r), "other", "doc")).alias("other"))
-                 .select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v"))
-                 .distinct())
+        tried = materialise(
+            apart.join(lead, "key").filter("component <> theirs").groupBy("doc")
+            .agg(F.min_by("other", F.xxhash64(F.lit(r), "other", "doc")).alias("other"))
+            .select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v"))
+            .distinct(), "tried")
         more = _verified(tried, sets, percent)
         found = _merged(found, components(_contracted(more, found)))
-        apart = _apart(met, found)
+        before, apart = apart, _apart(apart, found)
+        discard(before, tried)
     # then the best candidates of each component, until none is left
     refuted, most = first.limit(0), 4
     while not apart.isEmpty():
@@ -471,7 +506,9 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         more = _verified(tried, sets, percent)
         refuted = materialise(refuted.unionByName(tried.join(more, ["u", "v"], "left_anti")), "refuted")
         found = _merged(found, components(_contracted(more, found)))
-        apart, most = _apart(met, found), 4 * most
+        before, apart, most = apart, _apart(apart, found), 4 * most
+        discard(before, tried)
+    discard(sets, apart)
     placed = member.join(classes, ["a", "b"], "left").select(
         "doc", "size", F.when(F.col("size") > 0, F.col("class")).otherwise(F.col("doc")).alias("class"))
     # an id that repeats with other texts ties its classes together
@@ -482,7 +519,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     own = F.coalesce("component", "class")
     return (placed.join(found, F.col("class") == F.col("node"), "left").withColumn("own", own)
             .join(joined, F.col("own") == F.col("at"), "left")
-            .select(F.col("doc").alias(id_col), F.col("size").alias("n_shingles"),
+            .select("doc", F.col("size").alias("n_shingles"),
                     F.when(F.col("doc").isNotNull(), F.col("class")).alias("class_id"),
                     F.when(F.col("doc").isNotNull(), F.coalesce("above", "own"))
                     .alias("component_id")))
@@ -491,6 +528,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows
     with a null id stay. Columns unchanged."""
-    gone = join_components(docs, id_col=id_col, **kw).filter(
-        F.col(id_col) > F.col("component_id")).select(F.col(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    placed = join_components(docs, id_col=id_col, **kw)
+    gone = materialise(placed.filter(F.col(id_col) > F.col("component_id")).select(id_col).distinct(), "gone")
+    discard(placed)
+    return join_by_id(docs, gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.llm import common, decontaminate, sharding, topk, toxicity
+from lodestar.llm import common, decontaminate, jaccard_join, line_dedup, sharding, topk, toxicity
 from lodestar.llm.common import read_table
+from lodestar.llm.components import components
 
 SF = "/root/testdata/sf0.01"
 
@@ -199,3 +200,36 @@ def test_pipeline_keeps_only_what_the_last_stage_reads(spark, monkeypatch):
     assert len(written) == 4
     left = [p for tables in written for p in tables if os.path.exists(p.removeprefix("file:"))]
     assert left == [written[-1][-1]]
+
+
+@pytest.mark.parametrize("operator", [jaccard_join.join_components, line_dedup.drop_recurring_lines])
+def test_operators_leave_only_what_their_result_reads(spark, small, operator):
+    """Each left all its helper tables on disk until the session ended."""
+    with common.written_tables() as tables:
+        out = operator(small("documents").select("doc_id", "text"))
+    assert len(tables) > 5
+    assert len([p for p in tables if os.path.exists(p.removeprefix("file:"))]) == 1
+    assert out.count() == small("documents").count()
+
+
+def test_ends_of_few_pairs_are_not_sorted_and_merged(spark, monkeypatch):
+    """Every round shuffled the bitmaps and arrays of all classes, twice, and
+    the table of components for each join with it."""
+    rows = spark.createDataFrame([(1, 10, b"a"), (2, 20, b"b"), (2, 21, b"c"), (3, 30, b"d"), (4, 40, b"e")],
+                                 "doc long, size long, bits binary")
+    pairs = spark.createDataFrame([(3, 1), (3, 2), (2, 1), (9, 1), (2, 8)], "u long, v long")
+    monkeypatch.setitem(jaccard_join.__dict__, "is_small", lambda table: True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join._with_ends(pairs, rows, ["nu", "bu"], ["nv", "bv"])
+        plan = found._jdf.queryExecution().toString()
+        few = sorted(map(tuple, found.collect()))
+        joined = components(pairs)._jdf.queryExecution().toString()
+        monkeypatch.setitem(jaccard_join.__dict__, "is_small", lambda table: False)
+        many = sorted(map(tuple, jaccard_join._with_ends(pairs, rows, ["nu", "bu"], ["nv", "bv"]).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few == many and [(r[0], r[1], r[2], r[3]) for r in few] == [
+        (2, 1, 20, 10), (2, 1, 21, 10), (3, 1, 30, 10), (3, 2, 30, 20), (3, 2, 30, 21)]
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in joined and "BroadcastHashJoin" in joined
