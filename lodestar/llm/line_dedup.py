@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, unused, without
+from lodestar.llm.common import discard, materialise, maybe_broadcast, unused, without
 from lodestar.llm.hashing import mix, word_hashes
 
 OUTPUTS = ("n_lines", "n_dropped")
@@ -205,10 +205,8 @@ def _fields(least: int, agree: float):
     return run
 
 
-def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
-                 agree: float) -> DataFrame:
-    """Lines with the recurring templates that are found position by position
-    in the leaves, and the keepers of these."""
+def _shared_leaves(lines: DataFrame, min_docs: int) -> bytes:
+    """One bit per bucket of leaves: whether ``min_docs`` documents reach one."""
     shared = (lines.filter("new_leaf").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") >= min_docs)
               .select(F.pmod("leaf", F.lit(1 << LEAF_BITS)).alias("at"))
@@ -217,8 +215,14 @@ def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
     whole = bytearray((1 << LEAF_BITS) // 8)
     for r in shared:
         whole[r["part"] * 4096:(r["part"] + 1) * 4096] = r["bits"]
+    return bytes(whole)
+
+
+def _field_lines(rows: DataFrame, shared: bytes, min_docs: int, least: int, agree: float) -> DataFrame:
+    """Lines with the recurring templates that are found position by position
+    in the ``shared`` leaves, and the keepers of these, written."""
     cells = materialise(rows.mapInArrow(
-        _cells(bytes(whole), least, agree),
+        _cells(shared, least, agree),
         "doc long, crc long, line int, size int, total int, cells array<long>, new array<long>"),
         "cells")
     counts = (cells.select(F.explode("new").alias("cell")).groupBy("cell")
@@ -229,10 +233,13 @@ def _field_lines(rows: DataFrame, lines: DataFrame, min_docs: int, least: int,
     keyed = materialise(
         found.mapInArrow(_fields(least, agree), "doc long, crc long, line int, size int, total int, "
                          "keys array<long>").select(*LINE, F.explode("keys").alias("key")), "fields")
+    discard(cells)
     recurring = (keyed.select("doc", "crc", "key").distinct().groupBy("key")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    return keyed.join(recurring, "key")
+    hits = materialise(keyed.join(recurring, "key"), "field-hits")
+    discard(keyed)
+    return hits
 
 
 def _keys(general: int, least: int):
@@ -324,19 +331,24 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, l
     recurring = (lines.select("doc", F.explode("new").alias("key")).groupBy("key")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    hits = materialise(
-        lines.select(*LINE, F.explode("keys").alias("key")).join(recurring, "key")
-        .unionByName(_field_lines(rows, lines, min_docs, least, agree)), "hits")
+    found = materialise(
+        lines.select(*LINE, F.explode("keys").alias("key")).join(recurring, "key"), "hits")
+    shared = _shared_leaves(lines, min_docs)
+    discard(lines)
+    fields = _field_lines(rows, shared, min_docs, least, agree)
+    hits = found.unionByName(fields)
     lost = (hits.filter("doc > keeper").select(*LINE).distinct()
             .groupBy("doc", "crc", "total")
             .agg(F.collect_list("line").alias(dropped), F.sum("size").alias("size")))
     copies = _copies(hits, whole).withColumn("copy", F.lit(True))
-    gone = (lost.join(copies, ["doc", "crc"], "left")
-            .filter(F.col("copy").isNull() | (F.col("size") <= most * F.col("total")))
-            .select("doc", "crc", dropped).withColumnsRenamed({"doc": a, "crc": b}))
+    gone = materialise(
+        lost.join(copies, ["doc", "crc"], "left")
+        .filter(F.col("copy").isNull() | (F.col("size") <= most * F.col("total")))
+        .select("doc", "crc", dropped).withColumnsRenamed({"doc": a, "crc": b}), "gone")
+    discard(found, fields)
     keyed = df.withColumns({i: F.col(id_col).cast("long"),
                             j: F.crc32(F.col(text_col).cast("binary"))})
-    joined = keyed.join(gone, (F.col(i) == F.col(a)) & (F.col(j) == F.col(b)), "left").drop(
+    joined = keyed.join(maybe_broadcast(gone), (F.col(i) == F.col(a)) & (F.col(j) == F.col(b)), "left").drop(
         i, j, a, b)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return joined.mapInArrow(_drop(text_col, dropped), f"{fields}, n_lines long, n_dropped long")
