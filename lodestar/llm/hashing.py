@@ -60,8 +60,9 @@ def word_hashes(data: bytes, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarr
                 cut = np.flatnonzero(gap)
             if stop < len(data):
                 raw, gap = raw[:cut[-1] + 1], gap[:cut[-1] + 1]
-        edge = np.diff(gap.astype(np.int8), prepend=1, append=1)
-        begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        gap = np.concatenate([[True], gap, [True]])
+        edge = np.flatnonzero(gap[1:] != gap[:-1])          # words begin and end in turn
+        begin, end = edge[::2], edge[1::2]
         up, down = _powers(len(raw) + 1)
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTE_VALUE[raw] * up[:-1], out=total[1:])

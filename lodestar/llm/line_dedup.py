@@ -13,7 +13,8 @@ the smallest id.
 
 Templates are hashed where the text is; counting is one aggregation (combined
 before its shuffle) over hashes, and only the lines to drop travel to the
-texts.
+texts. Hashes that recur are broadcast to the lines while they are few; beyond
+that the hashes travel with a line's number alone, never with the line.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import discard, materialise, maybe_broadcast, unused, without
+from lodestar.llm.common import discard, is_small, materialise, maybe_broadcast, unused, without
 from lodestar.llm.hashing import mix, word_hashes
 
 OUTPUTS = ("n_lines", "n_dropped")
@@ -35,8 +36,7 @@ LEADING, STRETCHES = 2, 4
 LINE = ["doc", "crc", "line", "size", "total"]
 #: Buckets of the leaves in the filter that tells which lines to compare.
 LEAF_BITS = 24
-_DIGITS = np.zeros(256, bool)
-_DIGITS[0x30:0x3A] = True
+_ZERO = np.uint8(0x30)
 #: Odd multipliers that keep token counts, leading tokens, places and
 #: stretches apart in hashes, and the hash of a variable field.
 _N, _LEAD, _PLACE, _CUT, VARIABLE = (np.uint64(x) for x in (
@@ -65,14 +65,15 @@ class Lines:
         self.words, at = word_hashes(data)
         raw = np.frombuffer(data, np.uint8)
         # digits belong to words, so those up to the next word's start are a word's
-        digits = np.concatenate([[0], np.cumsum(_DIGITS[raw])])
-        self.variable = np.diff(digits[np.append(at, len(raw))]) > 0
+        self.variable = np.zeros(len(at), bool)
+        self.variable[np.searchsorted(at, np.flatnonzero(raw - _ZERO < 10), side="right") - 1] = True
         self.words = np.where(self.variable, VARIABLE, self.words)
         feeds = np.flatnonzero(raw == 0x0A)
-        number = np.searchsorted(feeds, at)
-        self.start = np.flatnonzero(np.diff(number, prepend=-1))
+        edges = np.concatenate([[0], np.searchsorted(at, feeds), [len(at)]])
+        number = np.flatnonzero(np.diff(edges))              # lines with tokens
+        self.start = edges[number]
         self.text = np.searchsorted(begin, at[self.start], side="right") - 1
-        self.line = number[self.start] - np.searchsorted(feeds, begin)[self.text]
+        self.line = number - np.searchsorted(feeds, begin)[self.text]
         self.size = np.diff(np.append(self.start, len(at)))
         self.row = np.repeat(np.arange(len(self.line)), self.size)
         self.place = np.arange(len(at)) - self.start[self.row]
@@ -144,7 +145,8 @@ def texts_of(batch: pa.RecordBatch, block: int = 1 << 20) -> Iterator[tuple]:
 
 def _cells(shared: bytes, least: int, agree: float):
     """Lines in ``shared`` leaves with one hash of (leaf, place, token) for
-    each constant token; ``new`` has those not seen before in the document."""
+    each constant token: ``new`` has those not seen before in the document,
+    ``again`` the others."""
     bits = np.frombuffer(shared, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +165,9 @@ def _cells(shared: bytes, least: int, agree: float):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[text]), longs(crc[text]), longs(x.line[on], np.int32),
                      longs(x.size[on], np.int32), longs(x.total[text], np.int32),
-                     lists(np.bincount(number[row], minlength=k), cells),
-                     lists(np.bincount(number[row[new]], minlength=k), cells[new])],
-                    names=[*LINE, "cells", "new"])
+                     lists(np.bincount(number[row[new]], minlength=k), cells[new]),
+                     lists(np.bincount(number[row[~new]], minlength=k), cells[~new])],
+                    names=[*LINE, "new", "again"])
     return run
 
 
@@ -188,20 +190,30 @@ def field_templates(counts: np.ndarray, cells: np.ndarray, begin: np.ndarray,
 
 
 def _fields(least: int, agree: float):
+    """Rows (at, size, n, cell), those of a line (``at``) in a row, -> the line's
+    templates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(rows: list[np.ndarray]) -> pa.RecordBatch:
+            at, size, n, cells = rows
+            begin = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            need = np.maximum(least, np.ceil(agree * size[begin] - 1e-9)).astype(np.int64)
+            line, keys = field_templates(n, cells, np.append(begin, len(at)), need)
+            return pa.RecordBatch.from_arrays([pa.array(at[begin[line]]), pa.array(keys.view(np.int64))],
+                                              names=["at", "key"])
+
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = batch.schema.names
-            found = batch.column(names.index("found"))
-            counts, cells = (x.to_numpy() for x in found.flatten().flatten())
-            begin = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
-            size = batch.column(names.index("size")).to_numpy()
-            need = np.maximum(least, np.ceil(agree * size - 1e-9)).astype(np.int64)
-            line, keys = field_templates(counts, cells, begin, need)
-            columns = {n: c for n, c in zip(names, batch.columns, strict=True) if n != "found"}
-            yield pa.RecordBatch.from_pydict(
-                columns | {"keys": lists(np.bincount(line, minlength=batch.num_rows), keys)})
+            rows = [c.to_numpy() for c in batch.columns]
+            if held is not None:
+                rows = [np.concatenate(both) for both in zip(held, rows, strict=True)]
+            cut = np.searchsorted(rows[0], rows[0][-1])      # the last line may go on
+            held = [c[cut:] for c in rows]
+            if cut:
+                yield done([c[:cut] for c in rows])
+        if held is not None:
+            yield done(held)
     return run
 
 
@@ -223,17 +235,19 @@ def _field_lines(rows: DataFrame, shared: bytes, min_docs: int, least: int, agre
     in the ``shared`` leaves, and the keepers of these, written."""
     cells = materialise(rows.mapInArrow(
         _cells(shared, least, agree),
-        "doc long, crc long, line int, size int, total int, cells array<long>, new array<long>"),
-        "cells")
-    counts = (cells.select(F.explode("new").alias("cell")).groupBy("cell")
-              .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
-    found = (cells.select(*LINE, F.explode("cells").alias("cell")).join(counts, "cell").groupBy(*LINE)
-             .agg(F.collect_set(F.struct("n", "cell")).alias("found"))
-             .filter(F.size("found") >= least))
-    keyed = materialise(
-        found.mapInArrow(_fields(least, agree), "doc long, crc long, line int, size int, total int, "
-                         "keys array<long>").select(*LINE, F.explode("keys").alias("key")), "fields")
-    discard(cells)
+        "doc long, crc long, line int, size int, total int, new array<long>, again array<long>")
+        .withColumn("at", F.monotonically_increasing_id()), "cells")
+    counts = materialise(
+        cells.select(F.explode("new").alias("cell")).groupBy("cell")
+        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs), "counts")
+    small = is_small(counts)
+    every = cells.select("at", "size", F.explode(F.concat("new", "again")).alias("cell"))
+    held = every.join(F.broadcast(counts), "cell") if small else every.join(counts, "cell").repartition("at")
+    found = materialise(
+        held.select("at", "size", "n", "cell").sortWithinPartitions("at")
+        .mapInArrow(_fields(least, agree), "at long, key long"), "found")
+    keyed = materialise(found.join(cells.select("at", *LINE), "at").select(*LINE, "key"), "fields")
+    discard(cells, counts, found)
     recurring = (keyed.select("doc", "crc", "key").distinct().groupBy("key")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
                  .filter(F.col("n") >= min_docs).select("key", "keeper"))
@@ -257,9 +271,10 @@ def _keys(general: int, least: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[text]), longs(crc[text]), longs(x.line[on], np.int32),
                      longs(x.size[on], np.int32), longs(x.total[text], np.int32),
-                     lists(there.sum(1), flat), lists(np.bincount(row[new], minlength=k), flat[new]),
+                     lists(np.bincount(row[new], minlength=k), flat[new]),
+                     lists(np.bincount(row[~new], minlength=k), flat[~new]),
                      pa.array(x.leaf[on].view(np.int64)), pa.array(first_of(x.leaf[on], text))],
-                    names=[*LINE, "keys", "new", "leaf", "new_leaf"])
+                    names=[*LINE, "new", "again", "leaf", "new_leaf"])
     return run
 
 
@@ -326,15 +341,21 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, general: int = 8, l
             .filter("doc is not null and text is not null"))
     lines = materialise(
         rows.mapInArrow(_keys(general, least),
-                        "doc long, crc long, line int, size int, total int, keys array<long>, "
-                        "new array<long>, leaf long, new_leaf boolean"), "lines")
-    recurring = (lines.select("doc", F.explode("new").alias("key")).groupBy("key")
-                 .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
-                 .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    found = materialise(
-        lines.select(*LINE, F.explode("keys").alias("key")).join(recurring, "key"), "hits")
+                        "doc long, crc long, line int, size int, total int, new array<long>, "
+                        "again array<long>, leaf long, new_leaf boolean")
+        .withColumn("at", F.monotonically_increasing_id()), "lines")
+    recurring = materialise(
+        lines.select("doc", F.explode("new").alias("key")).groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("keeper"))
+        .filter(F.col("n") >= min_docs).select("key", "keeper"), "recurring")
+    key = F.explode(F.concat("new", "again")).alias("key")
+    if is_small(recurring):
+        found = lines.select(*LINE, key).join(F.broadcast(recurring), "key")
+    else:
+        found = lines.select("at", key).join(recurring, "key").join(lines.select("at", *LINE), "at").drop("at")
+    found = materialise(found, "hits")
     shared = _shared_leaves(lines, min_docs)
-    discard(lines)
+    discard(lines, recurring)
     fields = _field_lines(rows, shared, min_docs, least, agree)
     hits = found.unionByName(fields)
     lost = (hits.filter("doc > keeper").select(*LINE).distinct()
