@@ -36,6 +36,8 @@ N_FEATURES = N_CLASSES ** 2 + 6
 LIMIT = 6.0
 #: Features that hardly vary are not blown up beyond this.
 LEAST_SCALE = 1.0
+#: Rows whose features a worker holds at once, and returns at once.
+AT_ONCE = 500
 
 
 def features(text: str | None) -> np.ndarray:
@@ -115,8 +117,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, ridge:
     return model
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, ``AT_ONCE`` at a time."""
     for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
         x = [features(t.as_py()) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))],
                                          names=["positive", "x"])
@@ -160,9 +169,9 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text",
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column(batch.schema.names.index(text_col))
-            if model is None or not len(column):
+            if model is None:
                 s = np.full(len(column), 0.5)
             else:
                 s = model.scores(np.stack([features(t.as_py()) for t in column]))
@@ -175,6 +184,6 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text",
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, columns unchanged."""
-    kept = score(docs.withColumn("_all", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-                 .select("_all", "text"), train(docs, labels, **kw))
-    return kept.filter("predicted = 1").select("_all.*")
+    names = [f"c{i}" for i in range(len(docs.columns))]      # whatever the columns are called
+    kept = score(docs.toDF(*names), train(docs, labels, **kw), names[docs.columns.index("text")])
+    return kept.filter("predicted = 1").select(*names).toDF(*docs.columns)
