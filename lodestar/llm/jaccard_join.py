@@ -13,7 +13,8 @@ similar, exactly.
    compared inside a task, a large meeting in tiles, and each component keeps
    only its most promising candidates (as many as the round allows, four times
    as many each round). Meetings of the same classes are one. These are settled, links contract components, refuted
-   pairs are remembered, and the rounds end when no candidate is left.
+   pairs are remembered, classes without a candidate leave their meetings, and
+   the rounds end when no candidate is left.
 4. A comparison inside a tile bounds the overlap from above by bit counts: with
    hashed parity bitmaps, every bit that differs takes a shingle that only one
    set has. Pairs that it refutes die in the task. What is chosen is bounded
@@ -265,7 +266,7 @@ def candidates(x: pa.StructArray, y: pa.StructArray, percent: int, most: int) ->
     """(u, v, components of u and v, differing bits in a million of the sizes)
     of the pairs of two tiles (or of one with itself) that lie in different
     components, are not refuted and may link; of each component the ``most``
-    that differ least."""
+    that differ least. Last, the classes that are ends of the others only."""
     size = min(pc.min(pc.binary_length(rows.field("few"))).as_py() for rows in (x, y))
     a = Tile(x, size)
     b = a if x is y else Tile(y, size)
@@ -289,15 +290,17 @@ def candidates(x: pa.StructArray, y: pa.StructArray, percent: int, most: int) ->
                       apart[ok] * 1_000_000 // total[ok]))
     out = [np.concatenate(c) for c in zip(*found, strict=True)]
     if not len(out[0]):
-        return out
+        return [*out, out[0]]
     order = np.lexsort((out[1], out[0], out[4]))
     out = [c[order] for c in out]
     keep = _best(out[2], most) | _best(out[3], most)
-    return [c[keep] for c in out]
+    rest = np.setdiff1d(np.concatenate([c[~keep] for c in out[:2]]), np.concatenate([c[keep] for c in out[:2]]))
+    return [*(c[keep] for c in out), rest]
 
 
 def _tile_candidates(percent: int, most: int):
-    """Rows of one tile, or of two (the second column), -> ``candidates``."""
+    """Rows of one tile, or of two (the second column), -> ``candidates``; an
+    end of none but candidates that were left out is a row of its own, without v."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
@@ -305,22 +308,27 @@ def _tile_candidates(percent: int, most: int):
                 x = batch.column(0)[i].values
                 y = batch.column(1)[i].values if batch.num_columns > 1 else x
                 found.append(candidates(x, y, percent, most))
-            columns = [np.concatenate([np.zeros(0, np.int64), *c])
-                       for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
-                                             names=["u", "v", "cu", "cv", "far"])
+            *columns, rest = [np.concatenate([np.zeros(0, np.int64), *c])
+                              for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 6
+            names = ["u", "v", "cu", "cv", "far"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rest), *(pa.nulls(len(rest), pa.int64()) for _ in names[1:])], names=names)
     return run
 
 
 def _chosen(apart: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int, tile: int,
-            most: int) -> DataFrame:
+            most: int) -> tuple[DataFrame, DataFrame]:
     """(u, v): the ``most`` best candidates of each component over all
-    meetings, written. A meeting of more than ``tile`` classes is dealt into
+    meetings, written; and (doc): the ends of all candidates, written. What is
+    no candidate never becomes one (components and refuted pairs only grow),
+    so the other classes are done. A meeting of more than ``tile`` classes is dealt into
     tiles by hash, and each pair of its tiles is a row of its own."""
     out = "u long, v long, cu long, cv long, far long"
     known = refuted.groupBy("u").agg(F.collect_list("v").alias("refuted"))
-    held = (apart.join(sets.select("doc", "size", "few"), "doc")
-            .join(known.withColumnRenamed("u", "doc"), "doc", "left"))
+    # a class has its refuted pairs before it is dealt to its meetings
+    rows = sets.select("doc", "size", "few").join(known.withColumnRenamed("u", "doc"), "doc", "left")
+    held = apart.join(rows, "doc")
     row = F.struct("doc", "component", "size", "few", "refuted")
     n_tiles = F.ceil(F.col("n") / tile)
     one = held.filter(F.col("n") <= tile).groupBy("key").agg(F.collect_list(row).alias("x"))
@@ -335,17 +343,19 @@ def _chosen(apart: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int,
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("t") - 1)).alias("t"))
     pairs = left.join(right, ["key", "t", "u"]).select("x", "y")
     run = _tile_candidates(percent, most)
-    found = (one.select("x").mapInArrow(run, out)
-             .unionByName(cut.select("x").mapInArrow(run, out))
-             .unionByName(pairs.mapInArrow(run, out)))
-    ends = found.select("u", "v", "far", F.explode(F.array("cu", "cv")).alias("c"))
+    found = materialise(one.select("x").mapInArrow(run, out)
+                        .unionByName(cut.select("x").mapInArrow(run, out))
+                        .unionByName(pairs.mapInArrow(run, out)).distinct(), "found")
+    opened = materialise(found.select(F.explode(F.array("u", "v")).alias("doc"))
+                         .filter("doc is not null").distinct(), "open")
+    ends = found.filter("v is not null").select("u", "v", "far", F.explode(F.array("cu", "cv")).alias("c"))
     first = Window.partitionBy("c").orderBy("far", "u", "v")
     # a pair may meet in several parts: rank distinct ones
     best = materialise(
         ends.distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most)
         .select("u", "v").distinct(), "candidates")
-    discard(cut)
-    return best
+    discard(cut, found)
+    return best, opened
 
 
 def _exact(percent: int):
@@ -500,14 +510,15 @@ def _joined(rows: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
     # then the best candidates of each component, until none is left
     refuted, most = first.limit(0), 4
     while not apart.isEmpty():
-        tried = _chosen(apart, sets, refuted, percent, tile, most)
+        tried, opened = _chosen(apart, sets, refuted, percent, tile, most)
         if tried.isEmpty():
             break
         more = _verified(tried, sets, percent)
         refuted = materialise(refuted.unionByName(tried.join(more, ["u", "v"], "left_anti")), "refuted")
         found = _merged(found, components(_contracted(more, found)))
-        before, apart, most = apart, _apart(apart, found), 4 * most
-        discard(before, tried)
+        left = apart.join(maybe_broadcast(opened), "doc", "left_semi")
+        before, apart, most = apart, _apart(left, found), 4 * most
+        discard(before, tried, opened)
     discard(sets, apart)
     placed = member.join(classes, ["a", "b"], "left").select(
         "doc", "size", F.when(F.col("size") > 0, F.col("class")).otherwise(F.col("doc")).alias("class"))
