@@ -91,3 +91,44 @@ def test_unseen_items_are_those_of_mllib(spark, monkeypatch):
         left = [x for x in r["recommendations"] if (r["user"], x["item"]) not in seen][:5]
         want += [(r["user"], k + 1, x["item"], x["rating"]) for k, x in enumerate(left)]
     assert sorted((r["user"], r["rank"], r["item"], r["score"]) for r in got) == sorted(want)
+
+
+def test_few_factors_are_dealt_to_cells():
+    """At 5.4 million customers and 7.2 million parts, 36 x 27 cells sent 1.4
+    billion rows through the shuffle."""
+    from lodestar.ml import models as M
+    for users, items, cores in ((5_400_000, 7_200_000, 12), (900_000, 1_200_000, 12), (15_000, 20_000, 8),
+                                (10, 3_000_000, 4), (3_000_000, 10, 4), (0, 0, 1)):
+        down, across = M.cell_grid(users, items, cores, 5)
+        assert users <= down * M.CELL_MOST and items <= across * M.CELL_ITEMS
+        assert down * across >= min(4 * cores, users / 1_000)
+        if min(users, items) > 500_000:
+            assert users * across * 6 + items * down < 40 * (users + items) / 2
+
+
+def test_recommendations_leave_no_ratings_and_few_shuffle_files(spark, tmp_path):
+    """The ratings were made again by every step, and ALS kept what all of its
+    iterations had shuffled: beyond the disk at 6 GB."""
+    import os
+    from pyspark.sql import functions as F
+    from lodestar.ml import models as M
+    from lodestar.plans.registry import load_all
+    from lodestar.session import ensure_checkpoint_dir
+    n = spark.range(600)
+    n.select(F.col("id").alias("l_orderkey"), (F.col("id") * 7 % 40).alias("l_partkey")).write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    n.select(F.col("id").alias("o_orderkey"), (F.col("id") % 30).alias("o_custkey")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.range(40).select(F.col("id").alias("p_partkey"), F.lit("p").alias("p_name")).write.parquet(
+        f"{tmp_path}/part.parquet")
+    kept = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(kept))
+    out = load_all()["m_als_recommend"].build(spark, str(tmp_path))
+    assert not any("lineitem" in f or "orders" in f for f in out.inputFiles())
+    new = {f.split("-")[1] for f in set(os.listdir(kept)) - before if f.startswith("als-")}
+    assert new == {"users", "items", "places"}
+    assert M.als().getCheckpointInterval() == 1
+    rows = out.collect()
+    seen = {(i % 30, i * 7 % 40) for i in range(600)}
+    assert rows and not any((r["o_custkey"], r["l_partkey"]) in seen for r in rows)
+    assert len({r["rmse"] for r in rows}) == 1 and {r["p_name"] for r in rows} == {"p"}
